@@ -23,11 +23,10 @@ def _days(c: str) -> Column:
     return F.datediff(F.col(c), F.lit(REFERENCE_DAY).cast("date"))
 
 
-def application(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, bal, nation = F.col("c_custkey"), F.col("c_acctbal"), F.col("c_nationkey")
-    return read(spark, sf_dir, "customer").select(
+def _applicants(df: DataFrame, key: Column, bal: Column, nation: Column, income: Column, *more: Column) -> DataFrame:
+    return df.select(
         key.alias("SK_ID_CURR"),
-        (bal < 0).cast("int").alias("TARGET"),
+        *more,
         F.when(key % 50 == 7, "XNA").when(key % 3 == 0, "M").otherwise("F").alias("CODE_GENDER"),
         F.when(key % 2 == 0, "Y").otherwise("N").alias("FLAG_OWN_CAR"),
         F.when(key % 5 < 3, "Y").otherwise("N").alias("FLAG_OWN_REALTY"),
@@ -39,10 +38,24 @@ def application(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.nullif(nation * 1000.0, F.lit(3000.0)).alias("AMT_ANNUITY"),
         (F.floor(bal) * 18 + 200000).cast("double").alias("AMT_GOODS_PRICE"),
         ((nation % 7) * 15000.0).alias("AMT_INCOME_TOTAL"),
-        F.when(key % 13 == 5, "Unknown").otherwise(F.col("c_mktsegment")).alias("NAME_INCOME_TYPE"),
+        income.alias("NAME_INCOME_TYPE"),
     )
 
 
+def application(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key, bal = F.col("c_custkey"), F.col("c_acctbal")
+    income = F.when(key % 13 == 5, "Unknown").otherwise(F.col("c_mktsegment"))
+    return _applicants(read(spark, sf_dir, "customer"), key, bal, F.col("c_nationkey"), income,
+                       (bal < 0).cast("int").alias("TARGET"))
+
+
+def new_application(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New loans: suppliers as applicants, without a target and with an income type never trained on."""
+    key = F.col("s_suppkey")
+    income = F.when(key % 3 == 0, "BUILDING").otherwise("STARTUP")
+    return _applicants(read(spark, sf_dir, "supplier"), key, F.col("s_acctbal"), F.col("s_nationkey"), income)
+
+
 def bureau(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, price, status = F.col("o_orderkey"), F.floor("o_totalprice").cast("double"), F.col("o_orderstatus")
     opened = _days("o_orderdate")
