@@ -1 +1,236 @@
-"""Queries."""
+"""Queries that fit, score, resample and select."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from creditloom.catalog import views as V
+from creditloom.catalog.evaluation import _COUNTS, _METRICS, _AUC, cv_metrics
+from creditloom.catalog.explanation import FEATURES, _TABLE, table
+from creditloom.catalog.registry import query, settled
+from creditloom.functions import gain as G
+from creditloom.operators import importance as I
+from creditloom.operators import metrics as M
+from creditloom.operators import models as L
+from creditloom.operators import runs as R
+from creditloom.operators import selection as S
+from creditloom.operators.neighbours import nearest_neighbours
+from creditloom.operators.profiling import missing_pct
+from creditloom.operators.resampling import smote, synthetic_minority
+from creditloom.operators.splitting import stratified_folds
+from creditloom.session import scratch_path
+from creditloom.sources import starschema as star
+from creditloom.streaming import scoring
+
+# The target is the sign of BALANCE, so fitted models see the other features and a noisy score.
+INPUTS = ["NATION", "N_CREDITS", "DEBT", "DAYS", "PROBA"]
+
+
+def training(spark, sf):
+    return stratified_folds(table(spark, sf), "SK_ID_CURR", "TARGET", 5)
+
+
+def _logistic(features):
+    return L.logistic(features, weight="weight", max_iter=20)
+
+
+@query("cv_logreg")
+def cv_logreg(spark, sf):
+    df = L.with_balanced_weight(training(spark, sf), "TARGET")
+    cv = L.cross_validate(df, INPUTS, "TARGET", "fold", 5, _logistic, extra=["weight"])
+    return cv.metrics("TARGET")
+
+
+@query("cv_trees")
+def cv_trees(spark, sf):
+    df = L.with_balanced_weight(training(spark, sf), "TARGET")
+    cv = L.cross_validate(df, INPUTS, "TARGET", "fold", 5, lambda f: L.boosted_trees(f, weight="weight", max_iter=5, max_depth=3), extra=["weight"])
+    return cv.metrics("TARGET")
+
+
+@query("cv_importance")
+def cv_importance(spark, sf):
+    df = training(spark, sf)
+    cv = L.cross_validate(df, INPUTS, "TARGET", "fold", 5, lambda f: L.boosted_trees(f, max_iter=5, max_depth=3))
+    ranked = I.ranked(I.fold_importance(cv.fold_importance))
+    return I.with_missing(ranked, missing_pct(df, INPUTS))
+
+
+@query("feature_elimination")
+def feature_elimination(spark, sf):
+    history = S.eliminate(training(spark, sf), INPUTS, "TARGET", "fold", 4, lambda f: L.logistic(f, max_iter=10), min_features=2, step=0.4)
+    return S.history_view(history, 1, 100)
+
+
+@query("feature_elbow")
+def feature_elbow(spark, sf):
+    return S.elbow(training(spark, sf), ["PROBA", "NATION", "N_CREDITS", "DEBT", "DAYS"], "TARGET", "fold", 3,
+                   lambda f: L.logistic(f, max_iter=10), sizes=(5, 3, 1), threshold=0.2)
+
+
+@query("parameter_search")
+def parameter_search(spark, sf):
+    df = L.with_balanced_weight(training(spark, sf), "TARGET")
+    return S.search(df, INPUTS, "TARGET", "fold", 3, lambda f, p: L.logistic(f, weight="weight", c=p["c"], l1_ratio=p["l1_ratio"], max_iter=10),
+                    S.trials(S.LOGISTIC_SPACE, 3), extra=["weight"])
+
+
+@query("best_trial")
+def best_trial(spark, sf):
+    return S.best_trial(parameter_search(spark, sf))
+
+
+@query("batch_predict")
+def batch_predict(spark, sf):
+    df = table(spark, sf)
+    model = L.logistic(INPUTS, max_iter=20).fit(df)
+    return L.predict(model, df, ["SK_ID_CURR"], threshold=0.48)
+
+
+def _scaled(spark, sf):
+    return table(spark, sf).select("SK_ID_CURR", "TARGET", (F.col("BALANCE") / 1000).alias("X1"), (F.col("NATION") / 10).alias("X2"),
+                                   (F.col("N_CREDITS") / 10).alias("X3"))
+
+
+_SCALED = "SELECT SK_ID_CURR, TARGET, BALANCE / 1000 AS X1, NATION / 10 AS X2, N_CREDITS / 10 AS X3 FROM t"
+_NEAR = """SELECT a.SK_ID_CURR, b.SK_ID_CURR AS neighbour, sqrt(power(a.X1 - b.X1, 2) + power(a.X2 - b.X2, 2) + power(a.X3 - b.X3, 2)) AS distance,
+  b.X1 AS Y1, b.X2 AS Y2, b.X3 AS Y3, row_number() OVER (PARTITION BY a.SK_ID_CURR ORDER BY
+    round(sqrt(power(a.X1 - b.X1, 2) + power(a.X2 - b.X2, 2) + power(a.X3 - b.X3, 2)), 12), b.SK_ID_CURR) AS place
+FROM {0} a JOIN {0} b ON a.SK_ID_CURR <> b.SK_ID_CURR QUALIFY place <= 5"""
+_MINORITY = "SELECT * FROM s WHERE TARGET = 1"
+
+
+@query("nearest_neighbours", V.using("scored bureau", """
+SELECT SK_ID_CURR, neighbour, round(distance, 6) AS distance, CAST(place AS INTEGER) AS place FROM near""",
+                                     t=_TABLE, s=_SCALED, near=_NEAR.format("s")))
+def neighbours(spark, sf):
+    points = _scaled(spark, sf).select("SK_ID_CURR", F.array("X1", "X2", "X3").alias("vec"))
+    return settled(nearest_neighbours(points, 5).drop("neighbour_vec"))
+
+
+def _unit(text: str) -> str:
+    return f"(CAST('0x' || substr({text}, 1, 8) AS BIGINT) / CAST(4294967296 AS DOUBLE))"
+
+
+@query("smote_rows", V.using("scored bureau", f"""
+SELECT SK_ID_CURR AS parent, neighbour, CAST(copy AS INTEGER) AS copy, CAST(1 AS INTEGER) AS TARGET, round(X1 + w * (Y1 - X1), 6) AS X1,
+  round(X2 + w * (Y2 - X2), 6) AS X2, round(X3 + w * (Y3 - X3), 6) AS X3
+FROM (SELECT c.*, {_unit('draw')} AS w, CAST(floor({_unit('md5(draw)')} * 5) + 1 AS BIGINT) AS pick FROM (
+  SELECT r.*, copy, md5(SK_ID_CURR || '-42-' || copy) AS draw FROM ranked r, LATERAL (SELECT unnest(range(1, copies + 1)) AS copy)) c) d
+JOIN near n USING (SK_ID_CURR) WHERE n.place = d.pick""", t=_TABLE, s=_SCALED, mi=_MINORITY, near=_NEAR.format("mi"), ranked="""
+SELECT *, needed // n + CASE WHEN r <= needed % n THEN 1 ELSE 0 END AS copies FROM (
+  SELECT *, row_number() OVER (ORDER BY md5(CAST(SK_ID_CURR AS VARCHAR) || '-42'), SK_ID_CURR) AS r, count(*) OVER () AS n,
+    (SELECT count(*) FROM s WHERE TARGET = 0) - count(*) OVER () AS needed FROM mi)"""))
+def smote_rows(spark, sf):
+    return settled(synthetic_minority(_scaled(spark, sf), ["X1", "X2", "X3"], "TARGET"))
+
+
+@query("smote_balance", V.using("scored", """
+SELECT TARGET, CAST(synthetic AS INTEGER) AS synthetic, n FROM (
+  SELECT TARGET, 0 AS synthetic, count(*) AS n FROM scored GROUP BY TARGET
+  UNION ALL SELECT 1, 1, (SELECT count(*) FROM scored WHERE TARGET = 0) - (SELECT count(*) FROM scored WHERE TARGET = 1))"""))
+def smote_balance(spark, sf):
+    out = smote(_scaled(spark, sf), ["X1", "X2", "X3"], "TARGET")
+    return out.groupBy("TARGET", "synthetic").agg(F.count(F.lit(1)).alias("n"))
+
+
+_RECORD = f"""SELECT 'md5 score' AS "name", avg(auc) AS auc, avg(accuracy) AS accuracy, avg(recall) AS recall, avg(f1_score) AS f1_score,
+  avg(business_gain) AS business_gain, avg(tn) AS tn, avg(fp) AS fp, avg(fn) AS fn, avg(tp) AS tp, (SELECT count(*) FROM scored) AS n_rows
+FROM m JOIN a USING (fold)"""
+
+
+def record(spark, sf, name, threshold):
+    scores = M.fold_summary(cv_metrics(spark, sf), ["auc", "accuracy", "recall", "f1_score", "business_gain", "tn", "fp", "fn", "tp"])
+    n_rows = star.scored_population(spark, sf).agg(F.count(F.lit(1))).scalar()
+    return R.run_record(scores, {"name": name}, G.UNIT_GAINS, "Score", 1, n_rows, threshold, "none")
+
+
+@query("run_record", V.using("folded", """
+SELECT "name", round(auc, 5) AS auc, round(accuracy, 5) AS accuracy, round(recall, 5) AS recall, round(f1_score, 5) AS f1_score,
+  round(business_gain, 5) AS business_gain, tn, fp, fn, tp, CAST(1 AS DOUBLE) AS gain_tp, CAST(1 AS DOUBLE) AS gain_tn, CAST(-1 AS DOUBLE) AS loss_fp,
+  CAST(-10 AS DOUBLE) AS loss_fn, 'Score' AS model_name, CAST(1 AS INTEGER) AS n_feat, n_rows, CAST(0.48 AS DOUBLE) AS threshold, 'none' AS balancing FROM r""",
+                             counts=_COUNTS, m=_METRICS, a=_AUC, r=_RECORD))
+def run_record(spark, sf):
+    return settled(record(spark, sf, "md5 score", 0.48), 5)
+
+
+def _runs(spark, sf):
+    """A small run table: one run per market segment."""
+    counts = M.with_metrics(M.confusion(star.scored_population(spark, sf), "TARGET", "PROBA", 0.48, ["SEGMENT"]))
+    place = F.dense_rank().over(Window.partitionBy(F.lit(0)).orderBy("SEGMENT")).cast("double")
+    return counts.select(place.alias("position"), F.col("SEGMENT").alias("name"), "tp", "accuracy", "business_gain",
+                         (F.col("tn") * 100.0).alias("fit_time"))
+
+
+_RUNS = f"""SELECT CAST(dense_rank() OVER (ORDER BY SEGMENT) AS DOUBLE) AS position, SEGMENT AS "name", tp, accuracy, business_gain,
+  CAST(tn AS DOUBLE) * 100 AS fit_time FROM m"""
+_SEGMENT_COUNTS = _COUNTS.replace("fold,", "SEGMENT,").replace("GROUP BY fold", "GROUP BY SEGMENT").replace("FROM folded", "FROM scored")
+
+
+@query("run_table", V.using("scored", """
+SELECT "name", CAST(tp AS BIGINT) AS tp, printf('%.4f', accuracy) AS accuracy, printf('%.2f', business_gain) AS business_gain,
+  printf('%d:%02d:%02d', CAST(fit_time AS BIGINT) // 3600, CAST(fit_time AS BIGINT) % 3600 // 60, CAST(fit_time AS BIGINT) % 60) AS fit_time FROM r""",
+                            counts=_SEGMENT_COUNTS, m=_METRICS, r=_RUNS))
+def run_table(spark, sf):
+    return R.comparison(_runs(spark, sf), ["name", "tp", "accuracy", "business_gain", "fit_time"], ["business_gain", "name"], custom={"business_gain": 2})
+
+
+@query("run_edit", V.using("scored", """
+SELECT position, "name", tp FROM r WHERE position <> 4 UNION ALL SELECT 1.5::DOUBLE, 'inserted ' || "name", tp FROM r WHERE position = 5
+UNION ALL SELECT 6, 'appended ' || "name", tp FROM r WHERE position = 3""", counts=_SEGMENT_COUNTS, m=_METRICS, r=_RUNS))
+def run_edit(spark, sf):
+    runs = _runs(spark, sf).select("position", "name", "tp")
+
+    def copy(position, word):
+        return runs.filter(F.col("position") == position).select(F.concat(F.lit(word), "name").alias("name"), "tp")
+
+    edited = R.insert_before(runs, copy(5.0, "inserted "), 2.0)
+    return R.drop_run(R.append(edited, copy(3.0, "appended ")), 4.0)
+
+
+@query("merge_params", V.using("scored", """
+SELECT SK_ID_CURR, 'metric__threshold=' || CAST(NATION AS VARCHAR) || ';model__c=' || CAST(TARGET AS VARCHAR) || ';model__depth=' || CAST(NATION + 1 AS VARCHAR) AS params
+FROM scored"""))
+def merge_params(spark, sf):
+    df = star.scored_population(spark, sf)
+    merged = R.merge_prefixed({
+        "model": F.create_map(F.lit("c"), F.col("TARGET").cast("string"), F.lit("depth"), (F.col("NATION") + 1).cast("string")),
+        "metric": F.create_map(F.lit("threshold"), F.col("NATION").cast("string"))})
+    pairs = F.array_sort(F.transform(F.map_entries(merged), lambda e: F.concat_ws("=", e["key"], e["value"])))
+    return df.select("SK_ID_CURR", F.array_join(pairs, ";").alias("params"))
+
+
+STREAM_SCHEMA = T.StructType([
+    T.StructField("c_custkey", T.LongType()), T.StructField("c_nationkey", T.IntegerType()), T.StructField("c_acctbal", T.DoubleType())])
+
+
+@query("stream_score", """
+SELECT c_custkey AS client_id, round(1 / (1 + exp(c_acctbal / 2000 + 0.1::DOUBLE * c_nationkey)), 6) AS proba,
+  CAST(1 / (1 + exp(c_acctbal / 2000 + 0.1::DOUBLE * c_nationkey)) > 0.2 AS INTEGER) AS prediction, CAST(0.2 AS DOUBLE) AS threshold FROM customer""")
+def stream_score(spark, sf):
+    arriving = scoring.arriving(spark, sf, STREAM_SCHEMA, "customer.parquet").select(
+        F.col("c_custkey").alias("SK_ID_CURR"), F.col("c_acctbal").alias("BALANCE"), F.col("c_nationkey").alias("NATION"))
+
+    def predict(df):
+        return df.withColumn("PROBA", 1 / (1 + F.exp(F.col("BALANCE") / 2000 + 0.1 * F.col("NATION"))))
+
+    out, state = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-state")
+    scoring.start(scoring.score_stream(arriving, predict, 0.2), out, state, available_now=True).awaitTermination()
+    return settled(spark.read.parquet(out))
+
+
+@query("stream_static_score", V.using("scored bureau", """
+SELECT SK_ID_CURR AS client_id, round(1 / (1 + exp(-(BALANCE * CAST(-0.0005 AS DOUBLE) + N_CREDITS * CAST(0.05 AS DOUBLE)))), 6) AS proba,
+  CAST(1 / (1 + exp(-(BALANCE * CAST(-0.0005 AS DOUBLE) + N_CREDITS * CAST(0.05 AS DOUBLE)))) > 0.48 AS INTEGER) AS prediction, CAST(0.48 AS DOUBLE) AS threshold FROM t""", t=_TABLE))
+def stream_static_score(spark, sf):
+    ids = scoring.arriving(spark, sf, STREAM_SCHEMA, "customer.parquet").select(F.col("c_custkey").alias("SK_ID_CURR"))
+    features = table(spark, sf).select("SK_ID_CURR", *FEATURES)
+
+    def predict(df):
+        return df.withColumn("PROBA", 1 / (1 + F.exp(-(F.col("BALANCE") * -0.0005 + F.col("N_CREDITS") * 0.05))))
+
+    out, state = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-state")
+    scoring.start(scoring.score_stream(ids, predict, 0.48, features=features), out, state, available_now=True).awaitTermination()
+    return settled(spark.read.parquet(out))

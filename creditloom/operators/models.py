@@ -138,6 +138,12 @@ class CrossValidation:
     models: list[PipelineModel]
     train_scores: DataFrame | None = None
 
+    def release(self) -> None:
+        """Drop the kept scores, once their metrics are known."""
+        self.scores.unpersist()
+        if self.train_scores is not None:
+            self.train_scores.unpersist()
+
     def metrics(self, label: str, threshold: float = 0.5, gains: Mapping[str, float] = G.UNIT_GAINS, train: bool = False) -> DataFrame:
         return evaluate(self.train_scores if train else self.scores, label, "PROBA", threshold, ["fold"], gains)
 
@@ -145,11 +151,14 @@ class CrossValidation:
 def cross_validate(df: DataFrame, features: Sequence[str], label: str, fold: str, k: int,
                    make: Callable[[Sequence[str]], Pipeline], key: str = "SK_ID_CURR", extra: Sequence[str] = (),
                    resample: Callable[[DataFrame], DataFrame] | None = None, score_train: bool = False,
-                   parallelism: int = 4) -> CrossValidation:
+                   parallelism: int = 8, cached: bool = False) -> CrossValidation:
     """Fit once per fold, score the held-out rows. Folds are independent jobs run from driver threads,
-    so executors stay busy while one fit waits on its tree or gradient aggregate."""
+    so executors stay busy while one fit waits on its tree or gradient aggregate. `cached` says that
+    `df` is persisted already, as the loops around this function arrange. Scores are kept too: every
+    metric reads them, and they are three columns."""
     spark = df.sparkSession
-    data = df.select(key, label, fold, *extra, *features).persist(StorageLevel.MEMORY_AND_DISK)
+    data = df.select(key, label, fold, *extra, *features)
+    data = data if cached else data.persist(StorageLevel.MEMORY_AND_DISK)
 
     def run(i: int):
         train = data if k == 1 else data.filter(F.col(fold) != i)
@@ -166,6 +175,8 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, fold: str
     for _, _, _, s, t in done[1:]:
         scores = scores.unionByName(s)
         train_scores = train_scores.unionByName(t) if score_train else None
+    scores = scores.persist(StorageLevel.MEMORY_AND_DISK)
+    train_scores = train_scores.persist(StorageLevel.MEMORY_AND_DISK) if score_train else None
     rows = [(f, float(v), i) for i, m, *_ in done for f, v in importances(m, features).items()]
     table = spark.createDataFrame(rows, "feature string, importance double, fold int")
     return CrossValidation(scores, table, {i: s for i, _, s, *_ in done}, [m for _, m, *_ in done], train_scores)

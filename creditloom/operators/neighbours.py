@@ -79,9 +79,9 @@ def nearest_neighbours(points: DataFrame, k: int, key: str = "SK_ID_CURR", vecto
     visited = {r["cell"]: r["n"] for r in routed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
     chunk_count = F.element_at(F.lit([max(1, -(-visited.get(c, 0) // block_rows)) for c in range(n_pivots)]), F.col("cell") + 1)
     queries = routed.withColumn("chunk", F.pmod(F.xxhash64("id", F.lit(seed)), chunk_count).cast("int")) \
-        .withColumn("block", F.explode(F.sequence(F.lit(0), block_count - 1)).cast("int"))
+        .withColumn("block", F.explode(F.sequence(F.lit(0), block_count - 1)))
     targets = blocked.select("id", "vec", "cell", "block",
-                             F.explode(F.sequence(F.lit(0), chunk_count - 1)).cast("int").alias("chunk"))
+                             F.explode(F.sequence(F.lit(0), chunk_count - 1)).alias("chunk"))
 
     def compare(q: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         out = []

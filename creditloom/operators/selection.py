@@ -3,40 +3,55 @@
 from __future__ import annotations
 
 import random
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.functions import gain as G
-from creditloom.operators.metrics import fold_summary, roc_auc, score_totals
+from creditloom.operators.metrics import confusion, roc_auc, score_totals, with_metrics
 from creditloom.operators.models import cross_validate
 
+@contextmanager
+def kept(df: DataFrame, features: Sequence[str], label: str, fold: str, key: str, extra: Sequence[str]) -> Iterator[DataFrame]:
+    """The columns all rounds read, persisted for the length of a loop."""
+    data = df.select(key, label, fold, *extra, *features).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield data
+    finally:
+        data.unpersist()
+
+
 HISTORY = "iteration int, n_features int, auc double, features array<string>, removed array<string>"
 
 
 def eliminate(df: DataFrame, features: Sequence[str], label: str, fold: str, k: int, make: Callable[[Sequence[str]], Pipeline],
-              min_features: int = 100, step: float = 1, **kw) -> DataFrame:
+              min_features: int = 100, step: float = 1, key: str = "SK_ID_CURR", extra: Sequence[str] = (), **kw) -> DataFrame:
     """Recursive elimination history: (iteration, n_features, auc, features, removed).
 
     Each round drops the least important features: `step` of them, or that share of what is left
     when below 1, which bounds the number of rounds by a logarithm.
     """
     left, rows, i = list(features), [], 0
-    while left:
-        i += 1
-        cv = cross_validate(df, left, label, fold, k, make, **kw)
-        per_fold = roc_auc(score_totals(cv.scores, label, "PROBA", [fold]), [fold])
-        auc = per_fold.agg(F.avg("auc")).first()[0]
-        means = {r["feature"]: r["m"] for r in cv.fold_importance.groupBy("feature").agg(F.avg("importance").alias("m")).collect()}
-        size = max(1, int(len(left) * step) if step < 1 else int(step))
-        size = min(size, len(left) - min_features)
-        drop = sorted(left, key=lambda f: (means[f], f))[:max(size, 0)]
-        rows.append((i, len(left), float(auc), list(left), drop))
-        if not drop:
-            break
-        left = [f for f in left if f not in drop]
+    with kept(df, features, label, fold, key, extra) as data:
+        while left:
+            i += 1
+            cv = cross_validate(data, left, label, fold, k, make, key, extra, cached=True, **kw)
+            per_fold = roc_auc(score_totals(cv.scores, label, "PROBA", [fold]), [fold])
+            auc = per_fold.agg(F.avg("auc")).first()[0]
+            cv.release()
+            means: dict[str, float] = {}
+            for r in cv.fold_importance.collect():
+                means[r["feature"]] = means.get(r["feature"], 0.0) + r["importance"] / k
+            size = max(1, int(len(left) * step) if step < 1 else int(step))
+            drop = sorted(left, key=lambda f: (means[f], f))[:max(min(size, len(left) - min_features), 0)]
+            rows.append((i, len(left), float(auc), list(left), drop))
+            if not drop:
+                break
+            left = [f for f in left if f not in drop]
     return df.sparkSession.createDataFrame(rows, HISTORY)
 
 
@@ -59,18 +74,22 @@ ELBOW_LOSS = 0.01
 
 
 def elbow(df: DataFrame, ordered_features: Sequence[str], label: str, fold: str, k: int, make: Callable[[Sequence[str]], Pipeline],
-          sizes: Sequence[int] = ELBOW_SIZES, loss: float = ELBOW_LOSS, threshold: float = 0.5, **kw) -> DataFrame:
+          sizes: Sequence[int] = ELBOW_SIZES, loss: float = ELBOW_LOSS, threshold: float = 0.5, key: str = "SK_ID_CURR",
+          extra: Sequence[str] = (), **kw) -> DataFrame:
     """(n_features, gain_train, gain_val, fit_ms): ever fewer of the best features until the gain falls too far."""
     rows, start = [], None
-    for size in sizes:
-        features = list(ordered_features)[:size]
-        cv = cross_validate(df, features, label, fold, k, make, score_train=True, **kw)
-        val = cv.metrics(label, threshold).agg(F.avg("business_gain")).first()[0]
-        train = cv.metrics(label, threshold, train=True).agg(F.avg("business_gain")).first()[0]
-        rows.append((len(features), float(train), float(val), sum(cv.fit_seconds.values()) / k * 1000))
-        start = val if start is None else start
-        if val < start - loss:
-            break
+    with kept(df, list(ordered_features)[:max(sizes)], label, fold, key, extra) as data:
+        for size in sizes:
+            features = list(ordered_features)[:size]
+            cv = cross_validate(data, features, label, fold, k, make, key, extra, score_train=True, cached=True, **kw)
+            val, train = (
+                with_metrics(confusion(s, label, "PROBA", threshold, [fold])).agg(F.avg("business_gain")).first()[0]
+                for s in (cv.scores, cv.train_scores))
+            cv.release()
+            rows.append((len(features), float(train), float(val), sum(cv.fit_seconds.values()) / k * 1000))
+            start = val if start is None else start
+            if val < start - loss:
+                break
     return df.sparkSession.createDataFrame(rows, "n_features int, gain_train double, gain_val double, fit_ms double")
 
 
@@ -97,14 +116,16 @@ def trials(space: Mapping[str, tuple], n: int, seed: int = 42) -> list[dict[str,
 
 def search(df: DataFrame, features: Sequence[str], label: str, fold: str, k: int,
            make: Callable[[Sequence[str], Mapping[str, float]], Pipeline], candidates: Sequence[Mapping[str, float]],
-           gains: Mapping[str, float] = G.UNIT_GAINS, **kw) -> DataFrame:
+           gains: Mapping[str, float] = G.UNIT_GAINS, key: str = "SK_ID_CURR", extra: Sequence[str] = (), **kw) -> DataFrame:
     """(trial, params, business_gain, auc): mean cross-validated scores of every candidate."""
     rows = []
-    for i, params in enumerate(candidates):
-        cv = cross_validate(df, features, label, fold, k, lambda f, p=params: make(f, p), **kw)
-        means = {r["metric"]: r["mean"] for r in
-                 fold_summary(cv.metrics(label, params.get("threshold", 0.5), gains), ["business_gain", "auc"]).collect()}
-        rows.append((i, {n: float(v) for n, v in params.items()}, means["business_gain"], means["auc"]))
+    with kept(df, features, label, fold, key, extra) as data:
+        for i, params in enumerate(candidates):
+            cv = cross_validate(data, features, label, fold, k, lambda f, p=params: make(f, p), key, extra, cached=True, **kw)
+            scored = cv.metrics(label, params.get("threshold", 0.5), gains)
+            gain, auc = scored.agg(F.avg("business_gain"), F.avg("auc")).first()
+            cv.release()
+            rows.append((i, {n: float(v) for n, v in params.items()}, gain, auc))
     return df.sparkSession.createDataFrame(rows, "trial int, params map<string,double>, business_gain double, auc double")
 
 

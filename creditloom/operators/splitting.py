@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.functions.hashing import key_unit
 from creditloom.operators.ordered import digest_rank
 
 SEED = 42
+# Beyond this width the split is found on (key, target) alone and joined back: the wide rows, which a
+# feature table already holds partitioned by key, then never move for the ranking window.
+NARROW = 8
+
+
+def _attach(df: DataFrame, key: str, target: str, seed: int, into: str, value: Column) -> DataFrame:
+    """Add `value`, an expression over `rank` and `stratum_size`."""
+    if len(df.columns) <= NARROW:
+        return digest_rank(df, key, [target], seed).withColumn(into, value).drop("rank", "stratum_size")
+    flags = digest_rank(df.select(key, target), key, [target], seed).select(key, value.alias(into))
+    return df.join(flags, key)
 
 
 def hash_split(df: DataFrame, key: str, fraction: float, seed: int = SEED, into: str = "in_sample") -> DataFrame:
@@ -19,15 +30,13 @@ def hash_split(df: DataFrame, key: str, fraction: float, seed: int = SEED, into:
 def stratified_split(df: DataFrame, key: str, target: str, fraction: float, seed: int = SEED,
                      into: str = "in_sample") -> DataFrame:
     """0/1 flag marking exactly round(fraction * n) rows of each target class."""
-    ranked = digest_rank(df, key, [target], seed)
     size = F.round(F.col("stratum_size") * F.lit(fraction))
-    return ranked.withColumn(into, (F.col("rank") <= size).cast("int")).drop("rank", "stratum_size")
+    return _attach(df, key, target, seed, into, (F.col("rank") <= size).cast("int"))
 
 
 def stratified_folds(df: DataFrame, key: str, target: str, k: int = 5, seed: int = SEED, into: str = "fold") -> DataFrame:
     """Fold numbers 0..k-1 with class counts that differ by at most one between folds."""
-    ranked = digest_rank(df, key, [target], seed)
-    return ranked.withColumn(into, F.pmod(F.col("rank") - 1, F.lit(k)).cast("int")).drop("rank", "stratum_size")
+    return _attach(df, key, target, seed, into, F.pmod(F.col("rank") - 1, F.lit(k)).cast("int"))
 
 
 def single_fold(df: DataFrame, into: str = "fold") -> DataFrame:
