@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from creditloom.functions.naming import quoted
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -27,10 +28,10 @@ def query(name: str, sql: str | None = None):
 
 def settled(df: DataFrame, decimals: int = 6) -> DataFrame:
     """Round doubles so that summation order does not show; variances, being large, to single precision."""
-    def column(f: T.StructField):
-        c = F.col(f"`{f.name}`")
+    def column(f: T.StructField) -> str:
+        c = quoted(f.name)
         if not isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             return c
-        return (F.round(c, 9).cast("float").cast("double") if f.name.endswith("_VAR") else F.round(c, decimals)).alias(f.name)
+        return f"double(float(round({c}, 9))) AS {c}" if f.name.endswith("_VAR") else f"round({c}, {decimals}) AS {c}"
 
-    return df.select(*[column(f) for f in df.schema])
+    return df.selectExpr(*[column(f) for f in df.schema])

@@ -7,6 +7,20 @@ import re
 from pyspark.sql import DataFrame
 
 
+def quoted(name: str) -> str:
+    """A column name inside an SQL expression."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_literal(value: object) -> str:
+    """A text, number or NULL inside an SQL expression."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(value)
+
+
 def clean_name(name: str) -> str:
     """Only ASCII letters, digits and underscore survive."""
     return re.sub("[^A-Za-z0-9_]+", "", name)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,26 +20,35 @@ def category_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.explode(pairs).alias("p")).select("p.column", "p.value").distinct()
 
 
-def category_dictionary(df: DataFrame, columns: Sequence[str] | None = None, nulls: bool = True,
-                        max_categories: int = MAX_CATEGORIES) -> dict[str, list[str | None]]:
-    """Sorted categories per column, the missing category last.
+def category_dictionaries(frames: Mapping[str, DataFrame], nulls: bool = True,
+                          max_categories: int = MAX_CATEGORIES) -> dict[str, dict[str, list[str | None]]]:
+    """Category dictionary of each named table: sorted values per text column, the missing one last.
 
-    The result names output columns, so it must be small: more than `max_categories` in total is an
-    error, and never more than one row above the limit reaches the driver.
+    All tables go through one job. The result names output columns, so it must be small: more than
+    `max_categories` per table is an error, and never more than the limit reaches the driver.
     """
-    columns = list(columns if columns is not None else columns_of(df, "string"))
-    if not columns:
-        return {}
-    rows = category_rows(df, columns).limit(max_categories + 1).collect()
-    if len(rows) > max_categories:
-        raise ValueError(f"more than {max_categories} categories in {columns}; encode fewer columns")
-    out: dict[str, list[str | None]] = {}
-    for c in columns:
-        values = {r["value"] for r in rows if r["column"] == c}
-        out[c] = sorted(v for v in values if v is not None) + ([None] if nulls else [])
+    texts = {name: columns_of(df, "string") for name, df in frames.items()}
+    parts = [category_rows(df, texts[n]).limit(max_categories + 1).withColumn("table", F.lit(n))
+             for n, df in frames.items() if texts[n]]
+    rows = reduce(lambda a, b: a.unionByName(b), parts).collect() if parts else []
+    out: dict[str, dict[str, list[str | None]]] = {}
+    for name, columns in texts.items():
+        own = [r for r in rows if r["table"] == name]
+        if len(own) > max_categories:
+            raise ValueError(f"more than {max_categories} categories in {columns}; encode fewer columns")
+        out[name] = {c: sorted(r["value"] for r in own if r["column"] == c and r["value"] is not None) + ([None] if nulls else [])
+                     for c in columns}
     return out
 
 
+def category_dictionary(df: DataFrame, columns: Sequence[str] | None = None, nulls: bool = True,
+                        max_categories: int = MAX_CATEGORIES) -> dict[str, list[str | None]]:
+    """The dictionary of one table, of all its text columns or of chosen columns."""
+    if columns is not None:
+        df = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    return category_dictionaries({"": df}, nulls, max_categories)[""]
+
+
 def one_hot(df: DataFrame, dictionary: Mapping[str, Sequence[str | None]],
             drop_first: bool = False) -> tuple[DataFrame, list[str], list[str]]:
     """Replace each dictionary column by 0/1 columns.

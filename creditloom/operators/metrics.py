@@ -47,7 +47,8 @@ def score_totals(df: DataFrame, label: str, score: str, groups: Sequence[str] =
     """Distinct scores, best first, with running and total positives and negatives."""
     per_score = df.groupBy(*groups, F.col(score).alias("threshold")).agg(
         F.count(F.when(F.col(label) == 1, 1)).alias("pos"), F.count(F.when(F.col(label) == 0, 1)).alias("neg"))
-    return running_totals(per_score, "threshold", ["pos", "neg"], groups, ascending=False, **kw)
+    raw = df.select(F.col(score).alias("threshold"))
+    return running_totals(per_score, "threshold", ["pos", "neg"], groups, ascending=False, splits_from=raw, **kw)
 
 
 def roc_points(totals: DataFrame, groups: Sequence[str] = ()) -> DataFrame:

@@ -22,15 +22,15 @@ _BUCKET = "_bucket"
 
 
 def value_splits(df: DataFrame, columns: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> dict[str, list[float]]:
-    """Inner bucket boundaries per column: at most MAX_BUCKETS - 1 numbers, none for small inputs."""
-    probes = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
-    row = df.agg(F.count(F.lit(1)).alias("_n"), *[
-        F.percentile_approx(c, probes, 4 * MAX_BUCKETS).alias(c) for c in columns]).first()
-    wanted = min(MAX_BUCKETS, -(-row["_n"] // rows_per_bucket)) if row["_n"] else 1
+    """Inner bucket boundaries per column: at most MAX_BUCKETS - 1 numbers, none when a count proves
+    that the whole input fits one bucket."""
+    rows = df.count()
+    wanted = min(MAX_BUCKETS, -(-rows // rows_per_bucket))
     if wanted <= 1:
         return {c: [] for c in columns}
-    picks = [round(i * MAX_BUCKETS / wanted) - 1 for i in range(1, wanted)]
-    return {c: sorted({float(row[c][p]) for p in picks}) if row[c] else [] for c in columns}
+    probes = [i / wanted for i in range(1, wanted)]
+    row = df.agg(*[F.percentile_approx(c, probes, 4 * wanted).alias(c) for c in columns]).first()
+    return {c: sorted({float(v) for v in row[c]}) if row[c] else [] for c in columns}
 
 
 def with_buckets(df: DataFrame, splits: dict[str, list[float]], names: dict[str, str]) -> DataFrame:
@@ -47,13 +47,15 @@ def with_buckets(df: DataFrame, splits: dict[str, list[float]], names: dict[str,
 
 
 def running_totals(df: DataFrame, order: str, totals: Sequence[str], groups: Sequence[str] = (),
-                   ascending: bool = True, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                   ascending: bool = True, rows_per_bucket: int = ROWS_PER_BUCKET,
+                   splits_from: DataFrame | None = None) -> DataFrame:
     """Add `before_<t>`, `cum_<t>` and `all_<t>` for each total, along `order` inside each group.
 
-    `df` holds one row per (groups, order); aggregate to that first.
+    `df` holds one row per (groups, order); aggregate to that first. `splits_from` is a frame with
+    the order column to find boundaries on, when one is cheaper to scan and has at least as many rows.
     """
     groups = list(groups)
-    splits = value_splits(df, [order], rows_per_bucket)
+    splits = value_splits(splits_from if splits_from is not None else df, [order], rows_per_bucket)
 
     def direction(c: str) -> Column:
         return F.col(c).asc() if ascending else F.col(c).desc()
@@ -116,27 +118,28 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
                     rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Linear-interpolation quantiles of several columns: (groups, column, n, q<i>...).
 
-    Only the buckets that hold a wanted rank are sorted, and equal values travel as one row with a
-    count, so neither a huge group nor a huge tie lands in one task.
+    An input proven to fit one bucket goes through the built-in aggregate. Beyond that only the
+    buckets that hold a wanted rank are sorted, and equal values travel as one row with a count, so
+    neither a huge group nor a huge tie lands in one task.
     """
     groups, columns = list(groups), list(columns)
     typed = df.select(*groups, *[F.col(c).cast("double").alias(c) for c in columns])
     splits = value_splits(typed, columns, rows_per_bucket)
+    if not any(splits.values()):
+        return _small_quantiles(typed, columns, probs, groups)
     cut = with_buckets(typed, splits, {c: f"{_BUCKET}_{c}" for c in columns})
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value"),
                                F.col(f"{_BUCKET}_{c}").alias(_BUCKET)) for c in columns])
     long = cut.select(*groups, F.explode(cells).alias("_c")).select(*groups, "_c.*").filter(F.col("value").isNotNull())
     keys = [*groups, "column"]
     offsets = _bucket_offsets(long.withColumn("rows", F.lit(1)), keys, ["rows"])
-    if any(splits.values()):
-        first, size, last = F.col("_off_rows"), F.col("_size_rows"), F.col("all_rows") - 1
-        hit = F.lit(False)
-        for p in probs:
-            low, high = F.floor(last * p), F.ceil(last * p)
-            hit = hit | ((low >= first) & (low < first + size)) | ((high >= first) & (high < first + size))
-        offsets = offsets.filter(hit)
+    first, size, last = F.col("_off_rows"), F.col("_size_rows"), F.col("all_rows") - 1
+    hit = F.lit(False)
+    for p in probs:
+        low, high = F.floor(last * p), F.ceil(last * p)
+        hit = hit | ((low >= first) & (low < first + size)) | ((high >= first) & (high < first + size))
     # Joining before the count drops the rows of buckets that hold no wanted rank.
-    wanted = _join_offsets(long, offsets, keys)
+    wanted = _join_offsets(long, offsets.filter(hit), keys)
     counts = wanted.groupBy(*keys, _BUCKET, "value").agg(
         F.count(F.lit(1)).alias("rows"), F.first("_off_rows").alias("_off_rows"), F.first("all_rows").alias("n"))
     run = Window.partitionBy(*keys, _BUCKET).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
@@ -151,3 +154,12 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         share = F.max(place - low)
         picks.append((at_low + (at_high - at_low) * share).alias(f"q{i}"))
     return placed.groupBy(*keys).agg(F.max("n").alias("n"), *picks)
+
+
+def _small_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], groups: Sequence[str]) -> DataFrame:
+    """At most ROWS_PER_BUCKET rows in all: one aggregate, then one row per group and column."""
+    shares = F.array(*[F.lit(float(p)) for p in probs])
+    wide = df.groupBy(*groups).agg(*[F.struct(F.lit(c).alias("column"), F.count(c).alias("n"), F.percentile(c, shares).alias("q")).alias(f"_{i}")
+                                     for i, c in enumerate(columns)])
+    rows = wide.select(*groups, F.explode(F.array(*[F.col(f"_{i}") for i in range(len(columns))])).alias("r")).filter("r.n > 0")
+    return rows.select(*groups, "r.column", "r.n", *[F.col("r.q")[i].alias(f"q{i}") for i in range(len(probs))])

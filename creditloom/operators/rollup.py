@@ -14,15 +14,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from creditloom.functions.columns import indicator
+from creditloom.functions.naming import quoted, sql_literal
 
+# Expressions are SQL text: one call into the JVM per output column instead of one per operator,
+# which matters for tables of several hundred columns.
 _NUMERIC = {
-    "min": F.min,
-    "max": F.max,
-    "mean": F.avg,
-    "sum": F.sum,
-    "var": F.var_samp,
-    "nunique": F.count_distinct,
+    "min": "min({})",
+    "max": "max({})",
+    "mean": "avg({})",
+    "sum": "sum({})",
+    "var": "var_samp({})",
+    "nunique": "count(DISTINCT {})",
 }
 
 
@@ -32,7 +34,7 @@ class Rollup:
 
     measures    column -> functions among min, max, mean, sum, var, nunique, size
     categories  column -> category values; None stands for the missing category
-    subsets     name prefix -> predicate; the measures are repeated on the matching rows
+    subsets     name prefix -> SQL predicate; the measures are repeated on the matching rows
     count_as    name of an extra group-size column
     """
 
@@ -40,7 +42,7 @@ class Rollup:
     measures: Mapping[str, Sequence[str]]
     categories: Mapping[str, Sequence[object]] = field(default_factory=dict)
     category_funcs: Sequence[str] = ("mean",)
-    subsets: Mapping[str, Column] = field(default_factory=dict)
+    subsets: Mapping[str, str] = field(default_factory=dict)
     count_as: str | None = None
 
     def columns(self) -> list[Column]:
@@ -48,35 +50,42 @@ class Rollup:
         for c, values in self.categories.items():
             for v in values:
                 out += [_share(self.prefix, c, v, f) for f in self.category_funcs]
-        for prefix, predicate in self.subsets.items():
-            out += [_measure(prefix, c, f, predicate) for c, fs in self.measures.items() for f in fs]
+        out += self.subset_columns()
         if self.count_as:
             out.append(F.count(F.lit(1)).alias(self.count_as))
         return out
 
+    def subset_columns(self) -> list[Column]:
+        return [_measure(prefix, c, f, predicate)
+                for prefix, predicate in self.subsets.items() for c, fs in self.measures.items() for f in fs]
+
 
 def dummy_name(column: str, value: object) -> str:
     return f"{column}_{'nan' if value is None else value}"
 
 
-def _measure(prefix: str, column: str, func: str, predicate: Column | None) -> Column:
-    name = f"{prefix}{column}_{func.upper()}"
+def is_category(column: str, value: object) -> str:
+    """SQL predicate of one category; None tests for the missing one."""
+    return f"{quoted(column)} IS NULL" if value is None else f"{quoted(column)} = {sql_literal(value)}"
+
+
+def _measure(prefix: str, column: str, func: str, predicate: str | None) -> Column:
+    name = quoted(f"{prefix}{column}_{func.upper()}")
     if func == "size":
-        if predicate is None:
-            return F.count(F.lit(1)).alias(name)
         # An empty subset has no size, as after a left join.
-        return F.nullif(F.count(F.when(predicate, 1)), F.lit(0)).alias(name)
-    value = F.col(column)
-    return _NUMERIC[func](value if predicate is None else F.when(predicate, value)).alias(name)
+        text = "count(1)" if predicate is None else f"nullif(count_if({predicate}), 0)"
+    else:
+        text = _NUMERIC[func].format(quoted(column) if predicate is None else f"CASE WHEN {predicate} THEN {quoted(column)} END")
+    return F.expr(f"{text} AS {name}")
 
 
 def _share(prefix: str, column: str, value: object, func: str) -> Column:
-    flag = indicator(F.col(column), value)
-    name = f"{prefix}{dummy_name(column, value)}_{func.upper()}"
-    if func == "mean":
-        # sum/count shares the one count(1) buffer across all categories; avg would add one each.
-        return (F.sum(flag) / F.count(F.lit(1))).alias(name)
-    return _NUMERIC[func](flag).alias(name)
+    # NULL rows count as 0, so the flag needs its ELSE.
+    flag = f"CASE WHEN {is_category(column, value)} THEN 1 ELSE 0 END"
+    name = quoted(f"{prefix}{dummy_name(column, value)}_{func.upper()}")
+    # sum / count shares the one count(1) buffer across all categories; avg would add one each.
+    text = f"sum({flag}) / count(1)" if func == "mean" else _NUMERIC[func].format(flag)
+    return F.expr(f"{text} AS {name}")
 
 
 def rollup(df: DataFrame, key: str, spec: Rollup) -> DataFrame:

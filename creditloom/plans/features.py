@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from creditloom.functions.columns import clip_lower, finite, ratio, recode, sentinel_to_null, tokens_to_null
 from creditloom.functions.naming import clean_names
-from creditloom.operators.encoding import category_dictionary, one_hot
-from creditloom.operators.rollup import Rollup, columns_of, dummy_name, numeric_columns, rollup
+from creditloom.operators.encoding import category_dictionaries, category_dictionary, one_hot
+from creditloom.operators.rollup import Rollup, columns_of, dummy_name, is_category, numeric_columns, rollup
 from creditloom.plans import specs
 
 KEY = "SK_ID_CURR"
@@ -46,9 +46,13 @@ class Categories:
 
     def of(self, name: str, df: DataFrame) -> Dictionary:
         if name not in self.tables:
-            self.tables[name] = category_dictionary(df)
+            self.learn({name: df})
         return self.tables[name]
 
+    def learn(self, frames: Mapping[str, DataFrame]) -> None:
+        """Dictionaries of several tables from one job; known ones are left alone."""
+        self.tables.update(category_dictionaries({n: df for n, df in frames.items() if n not in self.tables}))
+
 
 def recode_application(df: DataFrame, null_markers: bool = False) -> DataFrame:
     """Null tokens, fixed codes, sentinel days. `null_markers` also nulls -1 codes and a zero
@@ -84,6 +88,10 @@ def balance_rollup(balance: DataFrame, categories: Dictionary | None = None) ->
     return rollup(balance, "SK_ID_BUREAU", Rollup("", specs.BALANCE_MEASURES, dictionary))
 
 
+def _predicates(subsets: Mapping[str, tuple[str, str]]) -> dict[str, str]:
+    return {prefix: is_category(c, v) for prefix, (c, v) in subsets.items()}
+
+
 def bureau_features(bureau: DataFrame, balance: DataFrame, bureau_categories: Dictionary | None = None,
                     balance_categories: Dictionary | None = None) -> DataFrame:
     """Two-level roll-up: months per credit, then credits per client with active and closed subsets."""
@@ -93,11 +101,8 @@ def bureau_features(bureau: DataFrame, balance: DataFrame, bureau_categories: Di
     joined = bureau.join(months, "SK_ID_BUREAU", "left")
     shares = {f"{dummy_name(c, v)}_MEAN": ["mean"] for c, values in in_balance.items() for v in values}
     main = Rollup("BURO_", {**specs.BUREAU_MEASURES, **shares}, in_bureau)
-    subsets = Rollup("", specs.BUREAU_MEASURES, subsets={
-        prefix: F.col(c) == v for prefix, (c, v) in specs.BUREAU_SUBSETS.items()
-    })
-    plain = len([1 for fs in specs.BUREAU_MEASURES.values() for _ in fs])
-    return joined.groupBy(KEY).agg(*main.columns(), *subsets.columns()[plain:])
+    subsets = Rollup("", specs.BUREAU_MEASURES, subsets=_predicates(specs.BUREAU_SUBSETS))
+    return joined.groupBy(KEY).agg(*main.columns(), *subsets.subset_columns())
 
 
 def with_previous_ratios(previous: DataFrame, strict_inf: bool = False) -> DataFrame:
@@ -112,7 +117,7 @@ def previous_features(previous: DataFrame, categories: Dictionary | None = None,
     """Previous applications per client with approved and refused subsets."""
     dictionary = categories if categories is not None else category_dictionary(previous)
     spec = Rollup("PREV_", specs.PREVIOUS_MEASURES, dictionary,
-                  subsets={p: F.col(c) == v for p, (c, v) in specs.PREVIOUS_SUBSETS.items()})
+                  subsets=_predicates(specs.PREVIOUS_SUBSETS))
     return rollup(with_previous_ratios(previous, strict_inf), KEY, spec)
 
 
@@ -153,6 +158,9 @@ def feature_table(tables: LoanTables, categories: Categories | None = None, drop
     """The wide table: applications left-joined with the five satellite roll-ups."""
     known = categories if categories is not None else Categories()
     coded = recode_application(tables.application)
+    known.learn({"application": coded, "bureau": tables.bureau, "bureau_balance": tables.bureau_balance,
+                 "previous_application": tables.previous_application, "pos_cash": tables.pos_cash,
+                 "instalments": tables.instalments, "card_balance": tables.card_balance})
     out = application_features(tables.application, known.of("application", coded), drop_first, strict_inf)
     satellites = [
         bureau_features(tables.bureau, tables.bureau_balance, known.of("bureau", tables.bureau),

@@ -17,8 +17,8 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "128m",
-    # Satellite roll-ups carry more than 100 columns; keep them in generated code.
-    "spark.sql.codegen.maxFields": "400",
+    # Call-site capture costs several JVM calls per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
