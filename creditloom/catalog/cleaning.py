@@ -331,3 +331,10 @@ SELECT column_name AS feature, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN
   WHEN 'INTEGER' THEN 'int' ELSE 'timestamp' END AS dtype FROM (DESCRIBE orders)""")
 def schema_dictionary(spark, sf):
     return schema_table(star.read(spark, sf, "orders")).select("feature", F.regexp_replace("dtype", "_ntz", "").alias("dtype"))
+
+
+@query("column_lists", _on_profile("SELECT SK_ID_CURR, TARGET, AMT_CREDIT FROM t"))
+def column_lists(spark, sf):
+    df = profiled(spark, sf)
+    kept = C.keep_columns(df, ["AMT_CREDIT", "NOTHING", "ALWAYS_ONE"])
+    return C.drop_columns(kept, [r["feature"] for r in R.empty_columns(kept).filter("is_empty = 1").collect()] + ["ALWAYS_ONE", "ABSENT"])

@@ -13,6 +13,8 @@ from creditloom.operators.lookup import unmatched
 from creditloom.plans import features as P
 from creditloom.plans import specs as S
 from creditloom.plans.preparation import clean_and_split, new_loan_features
+from creditloom.plans.training import build
+from creditloom.session import scratch_path
 from creditloom.sources import starschema as star
 
 
@@ -259,3 +261,13 @@ FROM (SELECT o_orderkey, {_S} AS s, CAST(round_even({_S} / 60.0, 0) AS BIGINT) A
 def duration_text(spark, sf):
     seconds = F.floor("o_totalprice").cast("double")
     return star.read(spark, sf, "orders").select("o_orderkey", hms(seconds).alias("hms"), hm(seconds).alias("hm"))
+
+
+@query("training_set", V.using("rated", """
+SELECT is_test, TARGET, count(*) AS n, sum(AMT_CREDIT) AS amount FROM (
+  SELECT TARGET, AMT_CREDIT, CAST(row_number() OVER (PARTITION BY TARGET ORDER BY md5(CAST(SK_ID_CURR AS VARCHAR) || '-42'), SK_ID_CURR)
+    <= round(count(*) OVER (PARTITION BY TARGET) * 0.25) AS INTEGER) AS is_test FROM rated) GROUP BY 1, 2"""))
+def training_set(spark, sf):
+    built = build(star.loan_tables(spark, sf), scratch_path(spark, "training"))
+    parts = [built.part(i).select(F.lit(i).alias("is_test"), "TARGET", F.col("AMT_CREDIT").cast("double").alias("AMT_CREDIT")) for i in (0, 1)]
+    return parts[0].unionByName(parts[1]).groupBy("is_test", "TARGET").agg(F.count(F.lit(1)).alias("n"), F.sum("AMT_CREDIT").alias("amount"))

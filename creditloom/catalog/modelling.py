@@ -50,6 +50,16 @@ def cv_trees(spark, sf):
     return cv.metrics("TARGET")
 
 
+@query("cv_smote")
+def cv_smote(spark, sf):
+    """Training folds rebalanced by synthetic rows; held-out rows stay as they are."""
+    df = stratified_folds(_scaled(spark, sf).join(table(spark, sf).select("SK_ID_CURR", "PROBA"), "SK_ID_CURR"), "SK_ID_CURR", "TARGET", 3)
+    inputs = ["X2", "X3", "PROBA"]
+    cv = L.cross_validate(df, inputs, "TARGET", "fold", 3, lambda f: L.logistic(f, max_iter=20),
+                          resample=lambda train: smote(train, inputs, "TARGET"))
+    return cv.metrics("TARGET")
+
+
 @query("cv_importance")
 def cv_importance(spark, sf):
     df = training(spark, sf)

@@ -45,6 +45,19 @@ def predictors(df: DataFrame, exclude: Sequence[str] = ("SK_ID_CURR", "TARGET"))
     return [c for c in df.columns if c not in exclude]
 
 
+def keep_columns(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ("SK_ID_CURR", "TARGET")) -> DataFrame:
+    """Keys and the listed features; a listed name the table lacks is an error."""
+    absent = [f for f in features if f not in df.columns]
+    if absent:
+        raise ValueError(f"columns not in the table: {absent}")
+    return df.select(*[c for c in keep if c in df.columns], *features)
+
+
+def drop_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Without the listed columns; names the table lacks are ignored."""
+    return df.drop(*names)
+
+
 def drop_incomplete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(columns))
 

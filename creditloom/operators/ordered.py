@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditloom.functions.hashing import key_digest
+from creditloom.session import small_side
 
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 1024
@@ -138,8 +139,9 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     for p in probs:
         low, high = F.floor(last * p), F.ceil(last * p)
         hit = hit | ((low >= first) & (low < first + size)) | ((high >= first) & (high < first + size))
-    # Joining before the count drops the rows of buckets that hold no wanted rank.
-    wanted = _join_offsets(long, offsets.filter(hit), keys)
+    # Joining before the count drops the rows of buckets that hold no wanted rank: at most two
+    # buckets per quantile, group and column remain, few enough to reach the rows by broadcast.
+    wanted = _join_offsets(long, small_side(offsets.filter(hit)), keys)
     counts = wanted.groupBy(*keys, _BUCKET, "value").agg(
         F.count(F.lit(1)).alias("rows"), F.first("_off_rows").alias("_off_rows"), F.first("all_rows").alias("n"))
     run = Window.partitionBy(*keys, _BUCKET).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)

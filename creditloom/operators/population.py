@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from creditloom.operators.ordered import exact_quantiles
 from creditloom.operators.profiling import column_roles
+from creditloom.session import small_side
 
 
 def with_share(counts: DataFrame, total_of: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -70,10 +71,11 @@ def box_stats(df: DataFrame, feature: str, category: str) -> DataFrame:
 def outlier_flags(df: DataFrame, stats: DataFrame, key: str, feature: str, category: str) -> DataFrame:
     """Every client against the box of its category: (key, category, value, median, is_outlier, above_median).
 
-    `stats` has one row per category; Spark broadcasts it only when its measured size allows.
+    `stats` has one row per category, so clients stay where they are even if one category holds most.
     """
     value = F.col(feature).cast("double")
-    out = df.select(key, category, value.alias("value")).join(stats.select(category, "median", "lower", "upper"), category, "left")
+    boxes = small_side(stats.select(category, "median", "lower", "upper"))
+    out = df.select(key, category, value.alias("value")).join(boxes, category, "left")
     return out.select(
         key, category, "value", "median",
         ((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))).cast("int").alias("is_outlier"),

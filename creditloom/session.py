@@ -58,3 +58,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return df.checkpoint()
+
+
+SMALL_ROWS = 20_000
+
+
+def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """The same rows as a local table when there are at most `max_rows`, else `df` unchanged.
+
+    For the side of a join that is small by nature (one row per category or bucket). Spark knows the
+    exact size of a local table and broadcasts it without moving the other side; a side that turns
+    out larger stays a distributed table and is joined by shuffle.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return df.sparkSession.createDataFrame(rows, df.schema)
