@@ -8,12 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.functions.columns import finite
+from creditloom.functions.naming import quoted
 from creditloom.operators.rollup import columns_of
 
 
 def infinities_to_null(df: DataFrame) -> DataFrame:
     floats = set(columns_of(df, "float"))
-    return df.select(*[finite(F.col(c)).alias(c) if c in floats else F.col(c) for c in df.columns])
+
+    def column(c: str) -> str:
+        q = quoted(c)
+        return f"CASE WHEN NOT isnan({q}) AND abs({q}) != double('Infinity') THEN {q} END AS {q}" if c in floats else q
+
+    return df.selectExpr(*[column(c) for c in df.columns])
 
 
 def align(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ("SK_ID_CURR",)) -> DataFrame:
@@ -30,15 +36,14 @@ def type_mismatch(features: Sequence[str], types: Mapping[str, str]) -> tuple[li
 
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast by a {column: type} dictionary; other columns pass."""
-    return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
+    return df.selectExpr(*[
+        f"CAST({quoted(c)} AS {types[c]}) AS {quoted(c)}" if c in types else quoted(c) for c in df.columns])
 
 
 def for_modelling(df: DataFrame, exclude: Sequence[str] = ("SK_ID_CURR", "TARGET")) -> DataFrame:
     """Integers to double, then booleans to int: what a fitted model may be given."""
-    ints, bools = set(columns_of(df, "integer", exclude)), set(columns_of(df, "bool", exclude))
-    return df.select(*[
-        F.col(c).cast("double").alias(c) if c in ints else F.col(c).cast("int").alias(c) if c in bools else F.col(c)
-        for c in df.columns])
+    ints, bools = columns_of(df, "integer", exclude), columns_of(df, "bool", exclude)
+    return cast_columns(df, {**{c: "double" for c in ints}, **{c: "int" for c in bools}})
 
 
 def predictors(df: DataFrame, exclude: Sequence[str] = ("SK_ID_CURR", "TARGET")) -> list[str]:

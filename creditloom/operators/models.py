@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from creditloom.functions import gain as G
 from creditloom.functions.columns import decision
+from creditloom.functions.naming import quoted
 from creditloom.operators.metrics import confusion, evaluate, with_metrics
 
 
@@ -26,15 +27,10 @@ def impute_scale_stats(df: DataFrame, features: Sequence[str]) -> DataFrame:
     imputation (an imputed row adds nothing to the sum of squares). A constant column gets scale 1."""
     from creditloom.operators.profiling import per_column_structs
 
-    rows = F.count(F.lit(1)).cast("double")
-
-    def fields(c: str) -> tuple[Column, ...]:
-        v = F.col(c).cast("double")
-        # The known range tells a constant column exactly; its computed deviation may not be 0.
-        spread = F.when(F.max(v) > F.min(v), F.sqrt(F.var_pop(v) * F.count(v) / rows)).otherwise(1.0)
-        return F.avg(v).alias("mean"), spread.alias("scale")
-
-    return per_column_structs(df, features, fields)
+    # The known range tells a constant column exactly; its computed deviation may not be 0.
+    return per_column_structs(df, features, lambda c: {
+        "mean": f"avg({c})",
+        "scale": f"CASE WHEN max({c}) > min({c}) THEN sqrt(var_pop({c}) * count({c}) / count(1)) ELSE 1D END"})
 
 
 class ImputeScaleModel(Model):
@@ -44,8 +40,8 @@ class ImputeScaleModel(Model):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         def column(c: str, mean: float, spread: float) -> Column:
-            v = F.coalesce(F.col(c).cast("double"), F.lit(mean))
-            return (v - F.lit(mean)) / F.lit(spread) if self.scale else v
+            v = f"coalesce(double({quoted(c)}), {mean!r}D)"
+            return F.expr(f"({v} - {mean!r}D) / {spread!r}D" if self.scale else v)
 
         return dataset.withColumns({c: column(c, m, s) for c, (m, s) in self.stats.items()})
 

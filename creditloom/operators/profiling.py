@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from creditloom.functions.naming import quoted, sql_literal
+from creditloom.operators.cleaning import cast_columns
 from creditloom.operators.ordered import exact_quantiles
 from creditloom.operators.rollup import columns_of
 
@@ -15,23 +17,32 @@ LOW_MISSING = 30
 FULL_MISSING = 100
 
 
-def per_column(df: DataFrame, columns: Sequence[str], value, into: str) -> DataFrame:
-    """(feature, value) rows from one wide aggregate; `value` maps a column name to an aggregate."""
-    wide = df.agg(*[value(c).alias(c) for c in columns])
-    return wide.unpivot([], [F.col(f"`{c}`") for c in columns], "feature", into)
+def per_column(df: DataFrame, columns: Sequence[str], value: Callable[[str], str], into: str) -> DataFrame:
+    """(feature, value) rows; `value` maps a quoted column name to an SQL aggregate."""
+    return per_column_structs(df, columns, lambda c: {into: value(c)})
 
 
-def per_column_structs(df: DataFrame, columns: Sequence[str], fields) -> DataFrame:
-    """Like `per_column` for several aggregates per column: `fields(c)` gives named columns."""
-    wide = df.agg(*[F.struct(F.lit(c).alias("feature"), *fields(c)).alias(f"_{i}") for i, c in enumerate(columns)])
-    return wide.select(F.explode(F.array(*[F.col(f"_{i}") for i in range(len(columns))])).alias("r")).select("r.*")
+def per_column_structs(df: DataFrame, columns: Sequence[str], fields: Callable[[str], Mapping[str, str]]) -> DataFrame:
+    """One row per column: `feature` and the named SQL aggregates of `fields(quoted column)`.
+
+    All columns go through one aggregate over one scan.
+    """
+    columns = list(columns)
+    if not columns:
+        raise ValueError("no columns to profile")
+    cells = []
+    for c in columns:
+        parts = ", ".join(f"{sql_literal(n)}, {text}" for n, text in fields(quoted(c)).items())
+        cells.append(f"named_struct('feature', {sql_literal(c)}, {parts})")
+    # Aggregate first and explode after: a generator may not hold aggregates.
+    wide = df.agg(*[F.expr(f"{cell} AS _{i}") for i, cell in enumerate(cells)])
+    return wide.selectExpr(f"inline(array({', '.join(f'_{i}' for i in range(len(cells)))}))")
 
 
 def missing_pct(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(feature, missing_pct)."""
-    rows = F.count(F.lit(1))
-    return per_column(df, list(columns or df.columns),
-                      lambda c: F.try_divide((rows - F.count(F.col(c))) * 100.0, rows.cast("double")), "missing_pct")
+    return per_column(df, list(columns or df.columns), lambda c: f"try_divide((count(1) - count({c})) * 100D, double(count(1)))",
+                      "missing_pct")
 
 
 def missing_band(pct: Column) -> Column:
@@ -52,7 +63,7 @@ def most_missing(missing: DataFrame, n: int, by: str = "value") -> DataFrame:
 
 def variances(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, variance): sample variance, booleans as 0/1."""
-    return per_column(df, columns, lambda c: F.var_samp(F.col(c).cast("double")), "variance")
+    return per_column(df, columns, lambda c: f"var_samp(double({c}))", "variance")
 
 
 def low_variance(df: DataFrame, columns: Sequence[str], threshold: float = 0.0) -> list[str]:
@@ -63,14 +74,12 @@ def low_variance(df: DataFrame, columns: Sequence[str], threshold: float = 0.0)
 
 def empty_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(feature, is_empty): 1 when the column holds no value at all."""
-    return per_column(df, list(columns or df.columns), lambda c: (F.count(F.col(c)) == 0).cast("int"), "is_empty")
+    return per_column(df, list(columns or df.columns), lambda c: f"int(count({c}) = 0)", "is_empty")
 
 
 def infinite_columns(df: DataFrame) -> DataFrame:
     """(feature, n_infinite) of the floating columns that hold ±inf."""
-    inf = float("inf")
-    counted = per_column(df, columns_of(df, "float"),
-                         lambda c: F.count(F.when(F.abs(F.col(c)) == inf, 1)), "n_infinite")
+    counted = per_column(df, columns_of(df, "float"), lambda c: f"count_if(abs({c}) = double('Infinity'))", "n_infinite")
     return counted.filter(F.col("n_infinite") > 0)
 
 
@@ -88,8 +97,7 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 
 def min_max(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, min_value, max_value)."""
-    return per_column_structs(df, columns, lambda c: (
-        F.min(F.col(c)).cast("double").alias("min_value"), F.max(F.col(c)).cast("double").alias("max_value")))
+    return per_column_structs(df, columns, lambda c: {"min_value": f"double(min({c}))", "max_value": f"double(max({c}))"})
 
 
 # Ranges inside which a narrower type is taken.
@@ -114,17 +122,13 @@ def narrow_plan(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
 def narrow(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """Cast to the types of `narrow_plan`."""
     types = {r["feature"]: r["target_type"] for r in narrow_plan(df, exclude).collect()}
-    return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
+    return cast_columns(df, types)
 
 
 def binary_features(df: DataFrame, exclude: Sequence[str] = ("SK_ID_CURR", "TARGET")) -> DataFrame:
     """(feature, is_binary): boolean columns, and numeric ones whose known values are all 0 or 1."""
-    def other_value(c: str) -> Column:
-        v = F.col(c).cast("double")
-        return (F.coalesce(F.max(F.when(~v.isin(0.0, 1.0), 1).otherwise(0)), F.lit(0)) == 0).cast("int")
-
     columns = [*columns_of(df, "number", exclude), *columns_of(df, "bool", exclude)]
-    return per_column(df, columns, other_value, "is_binary")
+    return per_column(df, columns, lambda c: f"int(count_if(double({c}) NOT IN (0D, 1D)) = 0)", "is_binary")
 
 
 # Aggregate suffixes that stay numeric.
@@ -135,7 +139,7 @@ def binary_to_bool(df: DataFrame, exclude: Sequence[str] = ("SK_ID_CURR", "TARGE
     """Cast 0/1 columns to boolean unless the name says they are an aggregate."""
     found = {r["feature"] for r in binary_features(df, exclude).filter("is_binary = 1").collect()
              if not r["feature"].endswith(KEEP_NUMERIC)}
-    return df.select(*[F.col(c).cast("boolean").alias(c) if c in found else F.col(c) for c in df.columns])
+    return cast_columns(df, {c: "boolean" for c in found})
 
 
 def column_roles(df: DataFrame, columns: Sequence[str], limit: int = 4) -> DataFrame:
@@ -158,10 +162,9 @@ def column_roles(df: DataFrame, columns: Sequence[str], limit: int = 4) -> DataF
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, count, mean, std, min, q25, median, q75, max) with exact quartiles."""
-    basic = per_column_structs(df, columns, lambda c: (
-        F.count(F.col(c)).alias("count"), F.avg(F.col(c)).alias("mean"),
-        F.stddev_samp(F.col(c).cast("double")).alias("std"),
-        F.min(F.col(c)).cast("double").alias("min"), F.max(F.col(c)).cast("double").alias("max")))
+    basic = per_column_structs(df, columns, lambda c: {
+        "count": f"count({c})", "mean": f"avg({c})", "std": f"stddev_samp(double({c}))",
+        "min": f"double(min({c}))", "max": f"double(max({c}))"})
     quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
     return basic.join(quartiles, basic.feature == quartiles.column, "left").select(
         "feature", "count", "mean", "std", "min", F.col("q0").alias("q25"), F.col("q1").alias("median"),

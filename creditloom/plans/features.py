@@ -13,8 +13,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.functions.columns import clip_lower, finite, ratio, recode, sentinel_to_null, tokens_to_null
+from creditloom.functions.columns import clip_lower, ratio, recode, sentinel_to_null, tokens_to_null
 from creditloom.functions.naming import clean_names
+from creditloom.operators.cleaning import infinities_to_null
 from creditloom.operators.encoding import category_dictionaries, category_dictionary, one_hot
 from creditloom.operators.rollup import Rollup, columns_of, dummy_name, is_category, numeric_columns, rollup
 from creditloom.plans import specs
@@ -174,7 +175,4 @@ def feature_table(tables: LoanTables, categories: Categories | None = None, drop
     for satellite in satellites:
         out = out.join(satellite, KEY, "left")
     out = clean_names(out)
-    if strict_inf:
-        floats = set(columns_of(out, "float"))
-        out = out.select(*[finite(F.col(c)).alias(c) if c in floats else F.col(c) for c in out.columns])
-    return out
+    return infinities_to_null(out) if strict_inf else out

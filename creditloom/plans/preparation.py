@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from creditloom.operators.cleaning import align, cast_columns, infinities_to_null, predictors, type_mismatch
 from creditloom.operators.profiling import binary_to_bool, narrow, per_column_structs
@@ -29,8 +28,8 @@ def clean_and_split(features: DataFrame, key: str = "SK_ID_CURR", target: str =
     part go from both parts. One aggregate over the training rows finds both kinds."""
     split = stratified_split(infinities_to_null(features), key, target, test_share, seed, "is_test")
     columns = predictors(split, (key, target, "is_test"))
-    facts = per_column_structs(split.filter("is_test = 0"), columns, lambda c: (
-        F.var_samp(F.col(c).cast("double")).alias("variance"), F.count(F.col(c)).alias("known"))).collect()
+    facts = per_column_structs(split.filter("is_test = 0"), columns, lambda c: {
+        "variance": f"var_samp(double({c}))", "known": f"count({c})"}).collect()
     constant = [r["feature"] for r in facts if r["variance"] is not None and r["variance"] <= threshold]
     empty = [r["feature"] for r in facts if r["known"] == 0]
     return Prepared(split.drop(*constant, *empty), constant, empty)
