@@ -169,8 +169,18 @@ def fold_summary(scores: DataFrame, metrics: Sequence[str]) -> DataFrame:
 
 def evaluate(df: DataFrame, label: str, score: str, threshold: float, groups: Sequence[str] = ("fold",),
              gains: Mapping[str, float] = G.UNIT_GAINS) -> DataFrame:
-    """All metrics per group: confusion counts, threshold metrics and AUC."""
+    """All metrics per group: confusion counts, threshold metrics and AUC.
+
+    Everything comes from the counts per distinct score, so the scored rows are read once.
+    """
     groups = list(groups)
-    counts = with_metrics(confusion(df, label, score, threshold, groups), gains)
-    auc = roc_auc(score_totals(df, label, score, groups), groups)
-    return counts.join(auc, groups)
+    refused = decision(F.col("threshold"), threshold) == 1
+
+    def cell(count: str, positive: bool) -> Column:
+        return F.coalesce(F.sum(F.when(refused if positive else ~refused, F.col(count))), F.lit(0))
+
+    area = F.sum(F.col("neg") * (F.col("before_pos") + F.col("cum_pos")) / 2.0)
+    counts = score_totals(df, label, score, groups).groupBy(*groups).agg(
+        cell("neg", False).alias("tn"), cell("neg", True).alias("fp"), cell("pos", False).alias("fn"), cell("pos", True).alias("tp"),
+        F.try_divide(area, F.max("all_pos").cast("double") * F.max("all_neg")).alias("auc"))
+    return with_metrics(counts, gains)

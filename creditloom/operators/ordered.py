@@ -20,6 +20,13 @@ from creditloom.session import small_side
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 1024
 _BUCKET = "_bucket"
+_GROUP = "_group"
+
+
+def _with_group(df: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """The groups as one struct that is never NULL itself. Windows and joins on it share one
+    partitioning, and rows with a NULL group still meet their own group."""
+    return df.withColumn(_GROUP, F.struct(*groups) if groups else F.struct(F.lit(0).alias("all")))
 
 
 def value_splits(df: DataFrame, columns: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> dict[str, list[float]]:
@@ -37,14 +44,15 @@ def value_splits(df: DataFrame, columns: Sequence[str], rows_per_bucket: int = R
 def with_buckets(df: DataFrame, splits: dict[str, list[float]], names: dict[str, str]) -> DataFrame:
     """Add one bucket number per split column."""
     todo = {c: s for c, s in splits.items() if s}
-    flat = {names[c]: F.lit(0.0) for c, s in splits.items() if not s}
+    flat = {names[c]: F.lit(0) for c, s in splits.items() if not s}
     df = df.withColumns(flat) if flat else df
     if not todo:
         return df
     edges = [[float("-inf"), *s, float("inf")] for s in todo.values()]
     typed = df.withColumns({c: F.col(c).cast("double") for c in todo})
-    return Bucketizer(splitsArray=edges, inputCols=list(todo), outputCols=[names[c] for c in todo],
-                      handleInvalid="keep").transform(typed)
+    cut = Bucketizer(splitsArray=edges, inputCols=list(todo), outputCols=[names[c] for c in todo],
+                     handleInvalid="keep").transform(typed)
+    return cut.withColumns({names[c]: F.col(names[c]).cast("int") for c in todo})
 
 
 def running_totals(df: DataFrame, order: str, totals: Sequence[str], groups: Sequence[str] = (),
@@ -69,34 +77,31 @@ def running_totals(df: DataFrame, order: str, totals: Sequence[str], groups: Seq
         out = out.withColumns({f"all_{t}": F.sum(t).over(part) for t in totals})
         return out.withColumns({f"before_{t}": F.col(f"cum_{t}") - F.col(t) for t in totals})
 
-    cut = with_buckets(df, splits, {order: _BUCKET})
-    offsets = _bucket_offsets(cut, groups, totals, ascending)
-    run = Window.partitionBy(*groups, _BUCKET).orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, 0)
+    cut = _with_group(with_buckets(df, splits, {order: _BUCKET}), groups)
+    offsets = _bucket_offsets(cut, totals, ascending)
+    run = Window.partitionBy(_GROUP, _BUCKET).orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, 0)
     local = cut.withColumns({f"_in_{t}": F.sum(t).over(run) for t in totals})
-    joined = _join_offsets(local, offsets, groups)
+    joined = _join_offsets(local, offsets)
     out = joined.withColumns({f"cum_{t}": F.col(f"_off_{t}") + F.col(f"_in_{t}") for t in totals})
     out = out.withColumns({f"before_{t}": F.col(f"cum_{t}") - F.col(t) for t in totals})
-    return out.drop(_BUCKET, *[f"_in_{t}" for t in totals], *[f"_off_{t}" for t in totals])
+    return out.drop(_GROUP, _BUCKET, *[f"_in_{t}" for t in totals], *[f"_off_{t}" for t in totals])
 
 
-def _bucket_offsets(cut: DataFrame, groups: Sequence[str], totals: Sequence[str], ascending: bool = True) -> DataFrame:
-    """What lies before each bucket, and the group total. At most MAX_BUCKETS rows per group."""
-    per = cut.groupBy(*groups, _BUCKET).agg(*[F.sum(t).alias(t) for t in totals])
-    part = Window.partitionBy(*(groups or [F.lit(0)]))
+def _bucket_offsets(cut: DataFrame, totals: Sequence[str], ascending: bool = True) -> DataFrame:
+    """What lies before each bucket, its size, and the group total. At most MAX_BUCKETS (or 4096 md5
+    prefixes) rows per group."""
+    per = cut.groupBy(_GROUP, _BUCKET).agg(*[F.sum(t).alias(t) for t in totals])
+    part = Window.partitionBy(_GROUP)
     order = F.col(_BUCKET).asc() if ascending else F.col(_BUCKET).desc()
     prior = part.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return per.select(*groups, _BUCKET,
+    return per.select(_GROUP, _BUCKET,
                       *[F.coalesce(F.sum(t).over(prior), F.lit(0)).alias(f"_off_{t}") for t in totals],
                       *[F.sum(t).over(part).alias(f"all_{t}") for t in totals],
                       *[F.col(t).alias(f"_size_{t}") for t in totals])
 
 
-def _join_offsets(left: DataFrame, offsets: DataFrame, groups: Sequence[str]) -> DataFrame:
-    keys = [*groups, _BUCKET]
-    right = offsets.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
-                           *[c for c in offsets.columns if c not in keys and not c.startswith("_size_")])
-    match = [left[k].eqNullSafe(right[f"_k_{k}"]) for k in keys]
-    return left.join(right, match).drop(*[f"_k_{k}" for k in keys])
+def _join_offsets(left: DataFrame, offsets: DataFrame) -> DataFrame:
+    return left.join(offsets.drop(*[c for c in offsets.columns if c.startswith("_size_")]), [_GROUP, _BUCKET])
 
 
 def digest_rank(df: DataFrame, key: str, strata: Sequence[str], seed: int, prefix: int = 3) -> DataFrame:
@@ -106,13 +111,13 @@ def digest_rank(df: DataFrame, key: str, strata: Sequence[str], seed: int, prefi
     stratum with nearly all rows is spread over 16**prefix windows.
     """
     strata = list(strata)
-    spread = df.withColumn("_digest", key_digest(F.col(key), seed)) \
+    spread = _with_group(df, strata).withColumn("_digest", key_digest(F.col(key), seed)) \
         .withColumn(_BUCKET, F.substring("_digest", 1, prefix))
-    offsets = _bucket_offsets(spread.select(*strata, _BUCKET, F.lit(1).alias("rows")), strata, ["rows"])
-    inside = Window.partitionBy(*strata, _BUCKET).orderBy("_digest", key)
-    ranked = _join_offsets(spread.withColumn("_in", F.row_number().over(inside)), offsets, strata)
+    offsets = _bucket_offsets(spread.select(_GROUP, _BUCKET, F.lit(1).alias("rows")), ["rows"])
+    inside = Window.partitionBy(_GROUP, _BUCKET).orderBy("_digest", key)
+    ranked = _join_offsets(spread.withColumn("_in", F.row_number().over(inside)), offsets)
     return ranked.withColumn("rank", F.col("_off_rows") + F.col("_in")) \
-        .withColumnRenamed("all_rows", "stratum_size").drop("_digest", _BUCKET, "_in", "_off_rows")
+        .withColumnRenamed("all_rows", "stratum_size").drop(_GROUP, "_digest", _BUCKET, "_in", "_off_rows")
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], groups: Sequence[str] = (),
@@ -132,8 +137,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value"),
                                F.col(f"{_BUCKET}_{c}").alias(_BUCKET)) for c in columns])
     long = cut.select(*groups, F.explode(cells).alias("_c")).select(*groups, "_c.*").filter(F.col("value").isNotNull())
-    keys = [*groups, "column"]
-    offsets = _bucket_offsets(long.withColumn("rows", F.lit(1)), keys, ["rows"])
+    long = _with_group(long, [*groups, "column"]).drop(*groups, "column")
+    offsets = _bucket_offsets(long.withColumn("rows", F.lit(1)), ["rows"])
     first, size, last = F.col("_off_rows"), F.col("_size_rows"), F.col("all_rows") - 1
     hit = F.lit(False)
     for p in probs:
@@ -141,10 +146,10 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         hit = hit | ((low >= first) & (low < first + size)) | ((high >= first) & (high < first + size))
     # Joining before the count drops the rows of buckets that hold no wanted rank: at most two
     # buckets per quantile, group and column remain, few enough to reach the rows by broadcast.
-    wanted = _join_offsets(long, small_side(offsets.filter(hit)), keys)
-    counts = wanted.groupBy(*keys, _BUCKET, "value").agg(
+    wanted = _join_offsets(long, small_side(offsets.filter(hit)))
+    counts = wanted.groupBy(_GROUP, _BUCKET, "value").agg(
         F.count(F.lit(1)).alias("rows"), F.first("_off_rows").alias("_off_rows"), F.first("all_rows").alias("n"))
-    run = Window.partitionBy(*keys, _BUCKET).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    run = Window.partitionBy(_GROUP, _BUCKET).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     placed = counts.withColumn("_end", F.col("_off_rows") + F.sum("rows").over(run)) \
         .withColumn("_start", F.col("_end") - F.col("rows"))
     picks = []
@@ -155,7 +160,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         at_high = F.max(F.when((high >= F.col("_start")) & (high < F.col("_end")), F.col("value")))
         share = F.max(place - low)
         picks.append((at_low + (at_high - at_low) * share).alias(f"q{i}"))
-    return placed.groupBy(*keys).agg(F.max("n").alias("n"), *picks)
+    return placed.groupBy(_GROUP).agg(F.max("n").alias("n"), *picks).select(
+        f"{_GROUP}.*", "n", *[f"q{i}" for i in range(len(probs))])
 
 
 def _small_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], groups: Sequence[str]) -> DataFrame:

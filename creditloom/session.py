@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings that matter on a cluster. Shuffle partitions stay a starting point that AQE coalesces;
 # the advisory size keeps a reduce task near 128 MB whatever the input size.
@@ -66,11 +67,11 @@ SMALL_ROWS = 20_000
 def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     """The same rows as a local table when there are at most `max_rows`, else `df` unchanged.
 
-    For the side of a join that is small by nature (one row per category or bucket). Spark knows the
-    exact size of a local table and broadcasts it without moving the other side; a side that turns
-    out larger stays a distributed table and is joined by shuffle.
+    For the side of a join that is small by nature (one row per category or bucket). The size is
+    proven here, so it is broadcast and the other side does not move; a side that turns out larger
+    stays a distributed table and is joined by shuffle.
     """
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         return df
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
