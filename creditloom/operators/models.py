@@ -13,7 +13,7 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditloom.functions import gain as G
@@ -66,8 +66,8 @@ def null_indicators(df: DataFrame, features: Sequence[str], suffix: str = "_isnu
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """(label, weight) = n / (number of classes * n of the class)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total, classes = counts.agg(F.sum("n")).scalar(), counts.agg(F.count(F.lit(1))).scalar()
-    return counts.select(label, (total / (classes * F.col("n"))).alias("weight"))
+    every = Window.partitionBy(F.lit(0))  # one row per class
+    return counts.select(label, (F.sum("n").over(every) / (F.count(F.lit(1)).over(every) * F.col("n"))).alias("weight"))
 
 
 def with_balanced_weight(df: DataFrame, label: str, into: str = "weight") -> DataFrame:

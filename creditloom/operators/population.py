@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditloom.operators.ordered import exact_quantiles
@@ -12,27 +12,24 @@ from creditloom.operators.profiling import column_roles
 from creditloom.session import small_side
 
 
-def with_share(counts: DataFrame, total_of: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Add `share` = n / total. `total_of` is the same table counted over `by` only."""
-    if not by:
-        total = total_of.agg(F.sum("n")).scalar()
-        return counts.withColumn("share", F.try_divide(F.col("n").cast("double"), total.cast("double")))
-    totals = total_of.groupBy(*by).agg(F.sum("n").alias("_total"))
-    joined = counts.join(totals, list(by))
-    return joined.withColumn("share", F.col("n").cast("double") / F.col("_total")).drop("_total")
+def with_share(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Add `share` = n / total within `by`. The window runs over counted categories or bins, a few
+    rows per group, so the counted table is not computed a second time for its total."""
+    total = F.sum("n").over(Window.partitionBy(*(by or [F.lit(0)])))
+    return counts.withColumn("share", F.try_divide(F.col("n").cast("double"), total.cast("double")))
 
 
 def class_ratio(df: DataFrame, target: str) -> DataFrame:
     """(target, n, share)."""
     counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("n"))
-    return with_share(counts, counts)
+    return with_share(counts)
 
 
 def category_share(df: DataFrame, feature: str, client_value: object = None) -> DataFrame:
     """(feature, n, share, is_client): category counts with the client's own category flagged."""
     counts = df.filter(F.col(feature).isNotNull()).groupBy(feature).agg(F.count(F.lit(1)).alias("n"))
     own = (F.col(feature) == F.lit(client_value)).cast("int") if client_value is not None else F.lit(0)
-    return with_share(counts, counts).withColumn("is_client", F.coalesce(own, F.lit(0)))
+    return with_share(counts).withColumn("is_client", F.coalesce(own, F.lit(0)))
 
 
 def _bin(value: Column, low: Column, high: Column, bins: int) -> Column:
@@ -45,10 +42,10 @@ def histogram(df: DataFrame, feature: str, bins: int = 50, by: Sequence[str] = (
     """(by, bin, n, bin_start, percent): equal-width bins over the whole range, percent within `by`."""
     by = list(by)
     known = df.select(*by, F.col(feature).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    bounds = known.agg(F.min("_v").alias("low"), F.max("_v").alias("high"))
-    low, high = bounds.select("low").scalar(), bounds.select("high").scalar()
+    bounds = known.agg(F.struct(F.min("_v").alias("low"), F.max("_v").alias("high"))).scalar()
+    low, high = bounds.getField("low"), bounds.getField("high")
     counts = known.groupBy(*by, _bin(F.col("_v"), low, high, bins).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    out = with_share(counts, counts, by)
+    out = with_share(counts, by)
     return out.select(*by, "bin", "n", (low + F.col("bin") * ((high - low) / bins)).alias("bin_start"),
                       (F.col("share") * 100).alias("percent"))
 

@@ -55,3 +55,26 @@ def test_scans_are_pruned(spark, sf):
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_returnflag:string>" in plan
     ids = plan_of(catalog.QUERIES["sorted_ids"](spark, sf))
     assert "ReadSchema: struct<c_custkey:bigint>" in ids
+
+
+def test_feature_table_shuffles_each_input_once_per_level(spark, sf):
+    """Without broadcasts: applications 1, bureau 3 (months, credits, clients), previous 1, point of sale 1,
+    card 1, instalments 4 (two sides of the order join, distinct versions, clients). The joins add none."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(catalog.QUERIES["feature_table"](spark, sf))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 11 and "Exchange SinglePartition" not in plan
+
+
+def test_folds_do_not_gather_a_class(spark, sf):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(catalog.QUERIES["kfold_assign"](spark, sf))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Rows move once, by class and md5 prefix; the rest moves bucket totals.
+    assert plan.count("Exchange hashpartitioning(_group") == 4 and "SinglePartition" not in plan
