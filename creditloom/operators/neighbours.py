@@ -3,7 +3,7 @@
 Points are cut into cells around pivots, big cells into blocks of bounded size. A point's own block
 gives an upper bound on its k-th distance; it then visits only the cells whose ball can hold something
 closer. Every task compares one bounded chunk of queries with one bounded block, and only the k best
-per query and block leave the task.
+per query and block leave the task. Equal points are compared once: one stands for all its copies.
 """
 
 from __future__ import annotations
@@ -29,13 +29,33 @@ def nearest_neighbours(points: DataFrame, k: int, key: str = "SK_ID_CURR", vecto
                        max_pivots: int = 256, seed: int = 42) -> DataFrame:
     """(key, neighbour, neighbour_vec, distance, place 1..k), ties by neighbour key."""
     points = points.select(F.col(key).alias("id"), F.col(vector).alias("vec"))
+    # The k + 1 smallest ids of a vector are all that anyone can need of its copies. The rank limit is
+    # applied before the shuffle too, so a vector shared by a third of the points stays small.
+    smallest = Window.partitionBy("vec").orderBy("id")
+    copies = points.withColumn("_r", F.row_number().over(smallest)).filter(F.col("_r") <= k + 1) \
+        .groupBy("vec").agg(F.array_sort(F.collect_list("id")).alias("ids")) \
+        .select(F.element_at("ids", 1).alias("id"), "vec", "ids").persist(StorageLevel.MEMORY_AND_DISK)
+    near = _between_distinct(copies.select("id", "vec"), k, block_rows, max_pivots, seed)
+    lists = copies.select(F.col("id").alias("neighbour"), "ids")
+    found = near.join(lists, "neighbour").select("id", F.explode("ids").alias("neighbour"), "neighbour_vec", "distance")
+    own = copies.select("id", F.explode("ids").alias("neighbour"), F.col("vec").alias("neighbour_vec"), F.lit(0.0).alias("distance"))
+    entry = F.struct("distance", "neighbour", "neighbour_vec")
+    # At most (k + 1)² entries per vector; one more than k, since a point skips itself.
+    best = found.unionByName(own).groupBy("id").agg(F.slice(F.array_sort(F.collect_list(entry)), 1, k + 1).alias("best"))
+    per_vector = copies.select("id", "vec").join(best, "id").drop("id")
+    mine = F.slice(F.filter("best", lambda e: e["neighbour"] != F.col("id")), 1, k)
+    out = points.join(per_vector, "vec").select("id", F.posexplode(mine).alias("pos", "e"))
+    return out.select(F.col("id").alias(key), "e.neighbour", "e.neighbour_vec", "e.distance", (F.col("pos") + 1).alias("place"))
+
+
+def _between_distinct(points: DataFrame, k: int, block_rows: int, max_pivots: int, seed: int) -> DataFrame:
+    """(id, neighbour, neighbour_vec, distance): the k nearest of each point (id, vec), all vectors different."""
     n = points.count()
     n_pivots = max(1, min(max_pivots, -(-n // block_rows)))
     chosen = points.orderBy(key_digest(F.col("id"), seed), "id").limit(n_pivots).collect()
     pivots = np.array([r["vec"] for r in chosen], dtype=float)
     if not len(pivots):
-        return points.select(F.col("id").alias(key), F.col("id").alias("neighbour"), F.col("vec").alias("neighbour_vec"),
-                             F.lit(0.0).alias("distance"), F.lit(1).alias("place")).limit(0)
+        return points.select("id", F.col("id").alias("neighbour"), F.col("vec").alias("neighbour_vec"), F.lit(0.0).alias("distance"))
     kind = points.schema["id"].dataType.simpleString()
 
     def assign(frames):
@@ -103,5 +123,4 @@ def nearest_neighbours(points: DataFrame, k: int, key: str = "SK_ID_CURR", vecto
     near = queries.groupBy("cell", "block", "chunk").cogroup(targets.groupBy("cell", "block", "chunk")).applyInPandas(
         lambda q, b: compare(q, b), f"id {kind}, neighbour {kind}, neighbour_vec array<double>, distance double")
     order = Window.partitionBy("id").orderBy("distance", "neighbour")
-    return near.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k) \
-        .select(F.col("id").alias(key), "neighbour", "neighbour_vec", "distance", "place")
+    return near.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= k).drop("_place")

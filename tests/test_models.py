@@ -73,6 +73,15 @@ def test_nearest_neighbours_equal_brute_force(spark):
         assert [got[i][p][1] for p in range(1, 5)] == pytest.approx([d[i, j] for j in best])
 
 
+def test_copies_are_limited_before_the_shuffle(spark):
+    df = spark.range(3000).select(F.col("id").alias("SK_ID_CURR"), F.array(F.when(F.col("id") % 3 == 0, 1.0).otherwise(F.col("id") / 7)).alias("vec"))
+    out = nearest_neighbours(df, 2, block_rows=500)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan or "WindowGroupLimit" in out._jdf.queryExecution().toString()
+    assert out.count() == 6000
+    assert [(r["neighbour"], r["distance"]) for r in out.filter("SK_ID_CURR = 2997").orderBy("place").collect()] == [(0, 0.0), (3, 0.0)]
+
+
 def test_smote_reaches_parity_between_parents(population):
     made = synthetic_minority(population, ["random1", "random2"], "TARGET", block_rows=30)
     lookup = {r["SK_ID_CURR"]: r for r in population.collect()}
