@@ -27,7 +27,7 @@ from creditloom.session import small_side
 
 SAMPLE = 6_000
 TERMS, VOTERS = 400, 60
-PREFIXES = (3, 4, 5, 6)
+PREFIXES = (3, 4, 5, 6, 7, 8)
 _WORD = re.compile(r"[^\W\d_]+")
 _CACHE_WORDS = 300_000
 PATTERNS = ["dense", "very_dense", "several", "shouts", "marks", "none"]
