@@ -75,7 +75,7 @@ def quotas(totals: DataFrame, budget: int | None, max_repetition: float | None,
 
 
 def mix(docs: DataFrame, max_repetition: float | None = 2.0, target_entropy: float | None = None, budget: int | None = None,
-        seed: int = 7, block_units: int = 1_000_000, rows_per_bucket: int = 20_000) -> DataFrame:
+        seed: int = 7, block_units: int = 1_000_000, rows_per_bucket: int = 1_000) -> DataFrame:
     """One row per use of a document: its columns and `n_tokens`, `pass` (from 0), `block`, `position` (gapless in its block).
 
     `docs` needs doc_id, text and source. Without a budget, the budget is the smallest that uses every document at least

@@ -111,7 +111,7 @@ def communication_matrix(sizes: DataFrame, shard_sizes: list[int], parts: int, s
     return nodes.select(F.col("node").alias("part"), "counts")
 
 
-def shuffle_into_shards(docs: DataFrame, shards: int = 16, seed: int = 0, rows_per_part: int = 50_000) -> DataFrame:
+def shuffle_into_shards(docs: DataFrame, shards: int = 16, seed: int = 0, rows_per_part: int = 10_000) -> DataFrame:
     """`docs` with `shard` (0 to shards-1, sizes at most one apart) and `slot` (gapless from 0 in its shard).
 
     Any columns and any nulls are allowed; the content of a row, never its place in a file, decides its draw, so
