@@ -125,9 +125,9 @@ _BOUNDS = "round(CAST(min({c}) AS DOUBLE), 6) AS min_value, round(CAST(max({c})
 
 
 @query("narrow_plan", _on_profile(
-    _each(_INTS, _BOUNDS + "CASE WHEN min({c}) >= -128 AND max({c}) <= 2147483647 THEN 'int' ELSE 'bigint' END AS target_type")
+    _each(_INTS, _BOUNDS + "CASE WHEN min({c}) >= -2147483648 AND max({c}) <= 2147483647 THEN 'int' ELSE 'bigint' END AS target_type")
     + " UNION ALL "
-    + _each(_FLOATS, _BOUNDS + "CASE WHEN min({c}) >= -65504 AND max({c}) <= 3.4028234663852886e38 THEN 'float' ELSE 'double' END AS target_type")))
+    + _each(_FLOATS, _BOUNDS + "CASE WHEN min({c}) >= -3.4028234663852886e38 AND max({c}) <= 3.4028234663852886e38 THEN 'float' ELSE 'double' END AS target_type")))
 def narrow_plan(spark, sf):
     return settled(R.narrow_plan(profiled(spark, sf).select(*_INTS, *_FLOATS)))
 
@@ -267,6 +267,17 @@ def split_membership(spark, sf):
     return X.take_part(stratified_split(spark, sf), "in_sample", 0)
 
 
+@query("split_null_keys", """SELECT c_mktsegment AS segment, count(*) AS n, CAST(round(count(*) * 0.2) AS BIGINT) AS n_in_sample
+FROM customer LEFT JOIN (SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'O') ON c_custkey = o_custkey GROUP BY 1""")
+def split_null_keys(spark, sf):
+    """Customers without an open order have no key; every row still gets its place in the split."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet").where("o_orderstatus = 'O'").select("o_orderkey", "o_custkey")
+    customers = spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey", F.col("c_mktsegment").alias("segment"))
+    rows = customers.join(orders, F.col("c_custkey") == F.col("o_custkey"), "left")
+    split = X.stratified_split(rows, "o_orderkey", "segment", 0.2)
+    return split.groupBy("segment").agg(F.count("*").alias("n"), F.sum("in_sample").cast("bigint").alias("n_in_sample"))
+
+
 @query("id_disjoint", "SELECT count(*) AS n_common FROM customer WHERE c_custkey IN (SELECT user_id FROM events)")
 def id_disjoint(spark, sf):
     return L.id_overlap(_population(spark, sf), star.pos_cash(spark, sf))

@@ -58,11 +58,6 @@ def sorted_ids(spark, sf):
     return io.sorted_ids(star.application(spark, sf))
 
 
-@query("list_files")
-def list_files(spark, sf):
-    return io.list_files(spark, f"{sf}/*.parquet")
-
-
 @query("split_folders", V.using("scored", """
 SELECT is_test, TARGET, count(*) AS n FROM (SELECT TARGET, CAST(row_number() OVER (PARTITION BY TARGET ORDER BY md5(CAST(SK_ID_CURR AS VARCHAR) || '-42'), SK_ID_CURR)
   <= round(count(*) OVER (PARTITION BY TARGET) * 0.25) AS INTEGER) AS is_test FROM scored) GROUP BY 1, 2"""))

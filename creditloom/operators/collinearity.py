@@ -22,8 +22,17 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
 
 
 def inflation(corr: np.ndarray, epsilon: float = 1e-6) -> np.ndarray:
-    """VIF of each column: diagonal of the inverse, infinite when 1 - R² < epsilon."""
+    """VIF of each column: diagonal of the inverse, infinite when 1 - R² < epsilon. A constant column has no correlation
+    (NaN with every other) and cannot inflate anything: its VIF is 1."""
     p = corr.shape[0]
+    constant = (np.isnan(corr) | np.eye(p, dtype=bool)).all(axis=1) & (p > 1)
+    if constant.any():
+        out, rest = np.ones(p), np.flatnonzero(~constant)
+        if len(rest):
+            out[rest] = inflation(corr[np.ix_(rest, rest)], epsilon)
+        return out
+    if np.isnan(corr).any():
+        raise ValueError("a correlation is not a number")
     if p == 1:
         return np.ones(1)
     try:

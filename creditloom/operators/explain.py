@@ -107,7 +107,7 @@ def sampled_shapley(df: DataFrame, features: Sequence[str], background: Sequence
     """
     features = list(features)
     p = len(features)
-    reference = F.array(*[F.array(*[F.lit(float(b[f])) for f in features]) for b in background])
+    reference = F.array(*[F.array(*[F.lit(None if b[f] is None else float(b[f])).cast("double") for f in features]) for b in background])
     draw = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"-{seed}-"), F.col("_perm").cast("string")))
     order = F.array_sort(F.transform(
         F.sequence(F.lit(0), F.lit(p - 1)),
@@ -138,8 +138,9 @@ def sampled_shapley(df: DataFrame, features: Sequence[str], background: Sequence
 
 
 def background_rows(df: DataFrame, features: Sequence[str], n: int = 50, seed: int = 42, key: str = "SK_ID_CURR") -> list[dict]:
-    """n reference rows in md5 order of the key: a bounded sample for `sampled_shapley`."""
+    """n reference rows in md5 order of the key: a bounded sample for `sampled_shapley`. Missing values stay missing, for the model
+    to impute; only rows without any value are left out."""
     from creditloom.functions.hashing import key_digest
 
-    rows = df.select(key, *features).dropna().orderBy(key_digest(F.col(key), seed), key).limit(n).collect()
-    return [{f: float(r[f]) for f in features} for r in rows]
+    rows = df.select(key, *features).dropna(how="all", subset=list(features)).orderBy(key_digest(F.col(key), seed), key).limit(n).collect()
+    return [{f: None if r[f] is None else float(r[f]) for f in features} for r in rows]

@@ -86,14 +86,26 @@ def majority_baseline(df: DataFrame, label: str, keep: Sequence[str] = ("SK_ID_C
     return df.select(*keep, label, mode.cast("double").alias("PROBA"), mode.cast("int").alias("PREDICTION"))
 
 
-def logistic(features: Sequence[str], label: str = "TARGET", weight: str | None = None, c: float = 1.0, n_rows: int = 1,
+class SummedLoss(Estimator):
+    """Fits a learner whose loss is an average with the penalty that `c` means for a summed loss: 1 / (c * weight sum of the fitted rows)."""
+
+    def __init__(self, learner: LogisticRegression, c: float, weight: str | None = None):
+        super().__init__()
+        self.learner, self.c, self.weight = learner, c, weight
+
+    def _fit(self, dataset: DataFrame) -> Model:
+        total = dataset.agg((F.sum(self.weight) if self.weight else F.count(F.lit(1))).alias("n")).first()["n"]
+        return self.learner.copy({self.learner.regParam: 1.0 / (self.c * float(total or 1))}).fit(dataset)
+
+
+def logistic(features: Sequence[str], label: str = "TARGET", weight: str | None = None, c: float = 1.0,
              l1_ratio: float = 0.0, max_iter: int = 50, fit_intercept: bool = True) -> Pipeline:
-    """Impute, scale, logistic regression. `c` is the inverse penalty of a summed loss, hence 1 / (c * n)."""
-    model = LogisticRegression(featuresCol="features", labelCol=label, regParam=1.0 / (c * max(n_rows, 1)),
-                               elasticNetParam=l1_ratio, maxIter=max_iter, standardization=False, fitIntercept=fit_intercept)
+    """Impute, scale, logistic regression. `c` is the inverse penalty of a summed loss."""
+    model = LogisticRegression(featuresCol="features", labelCol=label, elasticNetParam=l1_ratio, maxIter=max_iter,
+                               standardization=False, fitIntercept=fit_intercept)
     if weight:
         model = model.setWeightCol(weight)
-    return Pipeline(stages=[ImputeScale(features), VectorAssembler(inputCols=list(features), outputCol="features"), model])
+    return Pipeline(stages=[ImputeScale(features), VectorAssembler(inputCols=list(features), outputCol="features"), SummedLoss(model, c, weight)])
 
 
 def boosted_trees(features: Sequence[str], label: str = "TARGET", weight: str | None = None, max_iter: int = 20,

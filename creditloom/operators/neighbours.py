@@ -117,8 +117,9 @@ def _between_distinct(points: DataFrame, k: int, block_rows: int, max_pivots: in
                 r, c = np.nonzero(np.isfinite(dist))
                 out.append(pd.DataFrame({"id": qid[i + r], "neighbour": ids[best[r, c]],
                                          "neighbour_vec": list(x[best[r, c]]), "distance": dist[r, c]}))
-        empty = pd.DataFrame({"id": [], "neighbour": [], "neighbour_vec": [], "distance": []})
-        return pd.concat(out) if out else empty
+        # Object columns: an empty column of floats cannot become an array.
+        empty = pd.DataFrame({c: pd.Series([], dtype=object) for c in ("id", "neighbour", "neighbour_vec", "distance")})
+        return pd.concat(out) if any(map(len, out)) else empty
 
     near = queries.groupBy("cell", "block", "chunk").cogroup(targets.groupBy("cell", "block", "chunk")).applyInPandas(
         lambda q, b: compare(q, b), f"id {kind}, neighbour {kind}, neighbour_vec array<double>, distance double")

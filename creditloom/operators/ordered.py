@@ -8,6 +8,7 @@ whatever the sketch says.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -15,14 +16,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditloom.functions.hashing import key_digest
+from creditloom.functions.naming import quoted
 from creditloom.session import small_side
 
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 1024
+MAX_BUCKETS = 16_384
 _BUCKET = "_bucket"
 _GROUP = "_group"
 
 
+def quoted_column(name: str) -> Column:
+    return F.col(quoted(name))
+
+
 def _with_group(df: DataFrame, groups: Sequence[str]) -> DataFrame:
     """The groups as one struct that is never NULL itself. Windows and joins on it share one
     partitioning, and rows with a NULL group still meet their own group."""
@@ -38,7 +44,8 @@ def value_splits(df: DataFrame, columns: Sequence[str], rows_per_bucket: int = R
         return {c: [] for c in columns}
     probes = [i / wanted for i in range(1, wanted)]
     row = df.agg(*[F.percentile_approx(c, probes, 4 * wanted).alias(c) for c in columns]).first()
-    return {c: sorted({float(v) for v in row[c]}) if row[c] else [] for c in columns}
+    # Boundaries rise strictly; NaN and infinity have the outer buckets.
+    return {c: sorted({float(v) for v in row[c] if math.isfinite(v)}) if row[c] else [] for c in columns}
 
 
 def with_buckets(df: DataFrame, splits: dict[str, list[float]], names: dict[str, str]) -> DataFrame:
@@ -52,7 +59,8 @@ def with_buckets(df: DataFrame, splits: dict[str, list[float]], names: dict[str,
     typed = df.withColumns({c: F.col(c).cast("double") for c in todo})
     cut = Bucketizer(splitsArray=edges, inputCols=list(todo), outputCols=[names[c] for c in todo],
                      handleInvalid="keep").transform(typed)
-    return cut.withColumns({names[c]: F.col(names[c]).cast("int") for c in todo})
+    # NULL gets a bucket of its own below all others, as NULL sorts below all values.
+    return cut.withColumns({names[c]: F.coalesce(F.col(names[c]).cast("int"), F.lit(-1)) for c in todo})
 
 
 def running_totals(df: DataFrame, order: str, totals: Sequence[str], groups: Sequence[str] = (),
@@ -88,7 +96,7 @@ def running_totals(df: DataFrame, order: str, totals: Sequence[str], groups: Seq
 
 
 def _bucket_offsets(cut: DataFrame, totals: Sequence[str], ascending: bool = True) -> DataFrame:
-    """What lies before each bucket, its size, and the group total. At most MAX_BUCKETS (or 4096 md5
+    """What lies before each bucket, its size, and the group total. At most MAX_BUCKETS (or 16**prefix md5
     prefixes) rows per group."""
     per = cut.groupBy(_GROUP, _BUCKET).agg(*[F.sum(t).alias(t) for t in totals])
     part = Window.partitionBy(_GROUP)
@@ -104,20 +112,25 @@ def _join_offsets(left: DataFrame, offsets: DataFrame) -> DataFrame:
     return left.join(offsets.drop(*[c for c in offsets.columns if c.startswith("_size_")]), [_GROUP, _BUCKET])
 
 
-def digest_rank(df: DataFrame, key: str, strata: Sequence[str], seed: int, prefix: int = 3) -> DataFrame:
-    """Add `rank` (1..n) and `stratum_size`: the row's place in its stratum in md5 order.
+def digest_rank(df: DataFrame, key: str, strata: Sequence[str], seed: int, prefix: int = 4) -> DataFrame:
+    """Add `rank` (1..n) and `stratum_size`: the row's place in its stratum in md5 order of the key.
+
+    A row without a key is placed by a digest of its other columns, and rows that share a key are told apart by it; equal rows are
+    interchangeable. Every row gets a place.
 
     Digests are uniform, so their first `prefix` hex digits are even buckets of any stratum; a
     stratum with nearly all rows is spread over 16**prefix windows.
     """
     strata = list(strata)
-    spread = _with_group(df, strata).withColumn("_digest", key_digest(F.col(key), seed)) \
+    content = F.xxhash64(F.lit(seed), *[quoted_column(f.name) for f in df.schema if "map<" not in f.dataType.simpleString()])
+    spread = _with_group(df, strata).withColumn("_content", content) \
+        .withColumn("_digest", F.coalesce(key_digest(F.col(key), seed), F.md5(F.col("_content").cast("string")))) \
         .withColumn(_BUCKET, F.substring("_digest", 1, prefix))
     offsets = _bucket_offsets(spread.select(_GROUP, _BUCKET, F.lit(1).alias("rows")), ["rows"])
-    inside = Window.partitionBy(_GROUP, _BUCKET).orderBy("_digest", key)
+    inside = Window.partitionBy(_GROUP, _BUCKET).orderBy("_digest", key, "_content")
     ranked = _join_offsets(spread.withColumn("_in", F.row_number().over(inside)), offsets)
     return ranked.withColumn("rank", F.col("_off_rows") + F.col("_in")) \
-        .withColumnRenamed("all_rows", "stratum_size").drop(_GROUP, "_digest", _BUCKET, "_in", "_off_rows")
+        .withColumnRenamed("all_rows", "stratum_size").drop(_GROUP, "_digest", "_content", _BUCKET, "_in", "_off_rows")
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], groups: Sequence[str] = (),

@@ -13,9 +13,9 @@ from creditloom.session import small_side
 
 
 def with_share(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Add `share` = n / total within `by`. The window runs over counted categories or bins, a few
-    rows per group, so the counted table is not computed a second time for its total."""
-    total = F.sum("n").over(Window.partitionBy(*(by or [F.lit(0)])))
+    """Add `share` = n / total within `by`. Without `by` the total is a scalar aggregate, so that many categories never meet in one
+    task; with `by` a window runs over the counted bins of a group."""
+    total = F.sum("n").over(Window.partitionBy(*by)) if by else counts.agg(F.sum("n")).scalar()
     return counts.withColumn("share", F.try_divide(F.col("n").cast("double"), total.cast("double")))
 
 

@@ -100,9 +100,9 @@ def min_max(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return per_column_structs(df, columns, lambda c: {"min_value": f"double(min({c}))", "max_value": f"double(max({c}))"})
 
 
-# Ranges inside which a narrower type is taken.
-INT_RANGE = (-128, 2147483647)
-FLOAT_RANGE = (-65504.0, 3.4028234663852886e38)
+# The ranges of the 32-bit types, inside which they are taken.
+INT_RANGE = (-2147483648, 2147483647)
+FLOAT_RANGE = (-3.4028234663852886e38, 3.4028234663852886e38)
 
 
 def narrow_plan(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:

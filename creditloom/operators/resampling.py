@@ -24,6 +24,8 @@ def synthetic_minority(df: DataFrame, features: Sequence[str], label: str, key:
     counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
     minority = min(counts, key=lambda v: (counts[v], v))
     small, needed = counts[minority], max(counts.values()) - counts[minority]
+    if needed and small <= k:
+        raise ValueError(f"the minority class {minority} has {small} rows; {k} neighbours need at least {k + 1}")
     points = df.filter(F.col(label) == minority).select(key, F.array(*[F.col(f).cast("double") for f in features]).alias("vec"))
     copies = F.lit(needed // small) + (F.col("rank") <= needed % small).cast("int")
     bases = digest_rank(points.withColumn("_s", F.lit(0)), key, ["_s"], seed).filter(copies > 0) \

@@ -9,17 +9,12 @@ from creditloom.functions.hashing import key_unit
 from creditloom.operators.ordered import digest_rank
 
 SEED = 42
-# Beyond this width the split is found on (key, target) alone and joined back: the wide rows, which a
-# feature table already holds partitioned by key, then never move for the ranking window.
-NARROW = 8
 
 
 def _attach(df: DataFrame, key: str, target: str, seed: int, into: str, value: Column) -> DataFrame:
-    """Add `value`, an expression over `rank` and `stratum_size`."""
-    if len(df.columns) <= NARROW:
-        return digest_rank(df, key, [target], seed).withColumn(into, value).drop("rank", "stratum_size")
-    flags = digest_rank(df.select(key, target), key, [target], seed).select(key, value.alias(into))
-    return df.join(flags, key)
+    """Add `value`, an expression over `rank` and `stratum_size`. Every row is ranked as it is, whatever its width: rows with a
+    NULL or a repeated key each get their own place."""
+    return digest_rank(df, key, [target], seed).withColumn(into, value).drop("rank", "stratum_size")
 
 
 def hash_split(df: DataFrame, key: str, fraction: float, seed: int = SEED, into: str = "in_sample") -> DataFrame:
