@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditloom.llm.common import digits16, packed, stored, unpacked
+from creditloom.llm.common import digits16, packed, stored
 
 HALVINGS_PER_JOB = 5
 
@@ -87,8 +87,10 @@ def mix(docs: DataFrame, max_repetition: float | None = 2.0, target_entropy: flo
         raise ValueError("give either a repetition limit or a target entropy")
     columns = docs.columns
     text = F.col("row.text")
+    # One column each, so that those that the caller doesn't use never move.
+    carried = [F.col("row").getField(c).alias(f"in_{i}") for i, c in enumerate(columns)]
     base = packed(docs).select(
-        "row", F.col("row.source").alias("source"), word_count(text).alias("tokens"),
+        *carried, F.col("row.source").alias("source"), word_count(text).alias("tokens"),
         F.concat_ws("|", F.coalesce(F.col("row.doc_id").cast("string"), F.lit("")), F.md5(F.coalesce(text, F.lit("")))).alias("name"))
     base = base.withColumn("units", F.greatest("tokens", F.lit(1)).cast("bigint"))
     measured = stored(base.select("source", "name", "units"), "mix-units")
@@ -116,5 +118,6 @@ def mix(docs: DataFrame, max_repetition: float | None = 2.0, target_entropy: flo
               .withColumn("reached", F.col("pass") * F.col("source_units") + F.col("upto") - F.col("units"))
               .withColumn("block", F.least(F.expr(f"cast(reached as decimal(24, 0)) * {blocks} div quota"), F.lit(blocks - 1).cast("bigint"))))
     order = Window.partitionBy("block").orderBy(F.md5(F.concat_ws("|", F.col("block").cast("string"), "draw")), "draw", "name")
-    return unpacked(placed.withColumn("position", F.row_number().over(order) - 1), columns, n_tokens=F.col("tokens"),
-                    **{"pass": F.col("pass").cast("int"), "block": F.col("block").cast("bigint"), "position": F.col("position").cast("bigint")})
+    added = {"n_tokens": F.col("tokens"), "pass": F.col("pass").cast("int"), "block": F.col("block").cast("bigint"), "position": (F.row_number().over(order) - 1).cast("bigint")}
+    kept = [F.col(f"in_{i}").alias(c) for i, c in enumerate(columns) if c.lower() not in added]
+    return placed.select(*kept, *[value.alias(name) for name, value in added.items()])
