@@ -157,21 +157,35 @@ def binary_to_bool(spark, sf):
     return out
 
 
-@query("name_search", "SELECT column_name AS feature FROM (DESCRIBE orders) WHERE regexp_matches(column_name, '(?i)DATE|price')")
+@query("name_search", """
+SELECT 'o_orderdate' AS feature, count(o_orderdate) AS n_known, count(DISTINCT o_orderdate) AS n_values FROM orders
+UNION ALL SELECT 'o_totalprice', count(o_totalprice), count(DISTINCT o_totalprice) FROM orders""")
 def name_search(spark, sf):
     df = star.read(spark, sf, "orders")
-    names = search_names(df.columns, "DATE|price")
-    return schema_table(df).filter(F.col("feature").isin(names)).select("feature")
+    return R.per_column_structs(df, search_names(df.columns, "DATE|price"), lambda c: {"n_known": f"count({c})", "n_values": f"count(DISTINCT {c})"})
 
 
-@query("typed_columns", """
-SELECT column_name AS feature, CASE WHEN column_type = 'VARCHAR' THEN 'string' WHEN column_type = 'DOUBLE' THEN 'float' ELSE 'other' END AS kind
-FROM (DESCRIBE lineitem)""")
+# Written out, so that the SQL form doesn't follow what the Spark side finds.
+_LINE_KINDS = {
+    "string": ["l_returnflag", "l_linestatus"],
+    "float": ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
+    "other": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"],
+}
+
+
+@query("typed_columns", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, '{kind}' AS kind, count({c}) AS n_known, "
+    f"{f'max(length({c}))' if kind == 'string' else 'CAST(NULL AS BIGINT)'} AS longest FROM lineitem" for kind, names in _LINE_KINDS.items() for c in names))
 def typed_columns(spark, sf):
     df = star.read(spark, sf, "lineitem")
-    kind = F.when(F.col("feature").isin(columns_of(df, "string")), "string") \
-        .when(F.col("feature").isin(columns_of(df, "float")), "float").otherwise("other")
-    return schema_table(df).select("feature", kind.alias("kind"))
+    texts, floats = columns_of(df, "string"), columns_of(df, "float")
+
+    def facts(c):
+        kind = "string" if c.strip("`") in texts else "float" if c.strip("`") in floats else "other"
+        longest = f"max(length({c}))" if kind == "string" else "NULL"
+        return {"kind": f"'{kind}'", "n_known": f"count({c})", "longest": f"CAST({longest} AS BIGINT)"}
+
+    return R.per_column_structs(df, df.columns, facts)
 
 
 _ROLES = ["CODE_GENDER", "FLAG_OWN_CAR", "AMT_INCOME_TOTAL", "AMT_CREDIT", "NAME_INCOME_TYPE", "DAYS_BIRTH"]
@@ -337,11 +351,16 @@ def feature_set_difference(spark, sf):
     return name_difference(names(star.application(spark, sf)), names(star.new_application(spark, sf)))
 
 
-@query("schema_dictionary", """
-SELECT column_name AS feature, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double'
-  WHEN 'INTEGER' THEN 'int' ELSE 'timestamp' END AS dtype FROM (DESCRIBE orders)""")
+_ORDER_TYPES = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double", "o_orderdate": "timestamp",
+                "o_orderpriority": "string"}
+
+
+@query("schema_dictionary", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, '{t}' AS dtype, count(*) - count({c}) AS n_missing FROM orders" for c, t in _ORDER_TYPES.items()))
 def schema_dictionary(spark, sf):
-    return schema_table(star.read(spark, sf, "orders")).select("feature", F.regexp_replace("dtype", "_ntz", "").alias("dtype"))
+    df = star.read(spark, sf, "orders")
+    types = {r["feature"]: r["dtype"].replace("_ntz", "") for r in schema_table(df).collect()}
+    return R.per_column_structs(df, df.columns, lambda c: {"dtype": f"'{types[c.strip('`')]}'", "n_missing": f"count_if({c} IS NULL)"})
 
 
 @query("column_lists", _on_profile("SELECT SK_ID_CURR, TARGET, AMT_CREDIT FROM t"))

@@ -22,11 +22,13 @@ class Prepared:
     empty: list[str]
 
 
-def clean_and_split(features: DataFrame, key: str = "SK_ID_CURR", target: str = "TARGET", test_share: float = 0.25,
-                    seed: int = SEED, threshold: float = 0.0) -> Prepared:
-    """Infinities to NULL, exact stratified split, then constant and empty columns of the training
-    part go from both parts. One aggregate over the training rows finds both kinds."""
-    split = stratified_split(infinities_to_null(features), key, target, test_share, seed, "is_test")
+def flagged(features: DataFrame, key: str = "SK_ID_CURR", target: str = "TARGET", test_share: float = 0.25, seed: int = SEED) -> DataFrame:
+    """Infinities to NULL and the flag `is_test` of an exact stratified split."""
+    return stratified_split(infinities_to_null(features), key, target, test_share, seed, "is_test")
+
+
+def screened(split: DataFrame, key: str = "SK_ID_CURR", target: str = "TARGET", threshold: float = 0.0) -> Prepared:
+    """Constant and empty columns of the training part go from both parts. One aggregate over the training rows finds both kinds."""
     columns = predictors(split, (key, target, "is_test"))
     facts = per_column_structs(split.filter("is_test = 0"), columns, lambda c: {
         "variance": f"var_samp(double({c}))", "known": f"count({c})"}).collect()
@@ -35,6 +37,12 @@ def clean_and_split(features: DataFrame, key: str = "SK_ID_CURR", target: str =
     return Prepared(split.drop(*constant, *empty), constant, empty)
 
 
+def clean_and_split(features: DataFrame, key: str = "SK_ID_CURR", target: str = "TARGET", test_share: float = 0.25,
+                    seed: int = SEED, threshold: float = 0.0) -> Prepared:
+    """`flagged`, then `screened`. Both read `features` anew; store the flagged table in between where it is costly."""
+    return screened(flagged(features, key, target, test_share, seed), key, target, threshold)
+
+
 def compact(df: DataFrame, key: str = "SK_ID_CURR", target: str = "TARGET") -> DataFrame:
     """0/1 columns to boolean, other numbers to the narrowest type of their observed range."""
     return narrow(binary_to_bool(df, (key, target)), exclude=(key, target))

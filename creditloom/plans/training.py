@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from creditloom.operators.cleaning import predictors
 from creditloom.plans.features import KEY, Categories, LoanTables, feature_table
-from creditloom.plans.preparation import clean_and_split, compact
+from creditloom.plans.preparation import compact, flagged, screened
 from creditloom.sources import io
 
 
@@ -37,16 +37,16 @@ class TrainingSet:
 
 
 def build(tables: LoanTables, folder: str, test_share: float = 0.25) -> TrainingSet:
-    """Feature table to disk, then screens, split and types from disk.
+    """Feature table to disk, then its split to disk, then screens and types from there.
 
-    The wide table is written once, so the passes that follow (screens over the training part, type
-    ranges, the split itself) scan columns of Parquet instead of running the roll-ups again, and a
-    lost executor costs one task, not the lineage.
+    Roll-ups run once and so do the ranks of the split. The passes that follow (screens over the training part, 0/1
+    columns, type ranges, the parts) scan columns of Parquet, and a lost executor costs one task, not the lineage.
     """
     spark = tables.application.sparkSession
     known = Categories()
     io.write_parquet(feature_table(tables, known), f"{folder}/features")
-    prepared = clean_and_split(spark.read.parquet(f"{folder}/features"), test_share=test_share)
+    io.write_parquet(flagged(spark.read.parquet(f"{folder}/features"), test_share=test_share), f"{folder}/flagged")
+    prepared = screened(spark.read.parquet(f"{folder}/flagged"))
     out = compact(prepared.data.withColumn("is_test", prepared.data["is_test"].cast("string")))
     io.save_split(out, f"{folder}/parts", "is_test")
     io.save_schema(out.drop("is_test"), f"{folder}/schema")
