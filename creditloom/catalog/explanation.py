@@ -179,7 +179,20 @@ def influence_text(spark, sf):
     return phi.select("SK_ID_CURR", N.influence_text(E.contribution_list(FEATURES), 3, F.lit(base), F.col("PROBA")).alias("text"))
 
 
-@query("reading_guide", None)
+def _short(number: str) -> str:
+    return f"regexp_replace(regexp_replace(printf('%.3f', {number}), '0+$', ''), '\\.$', '')"
+
+
+_VALUE = "CASE feature " + " ".join(f"WHEN '{f}' THEN {f}" for f in FEATURES) + " END"
+
+
+@query("reading_guide", _on(f"""
+SELECT SK_ID_CURR, 'Sans rien savoir du client ' || SK_ID_CURR || ', le risque moyen E[f(X)] vaut ' || printf('%.3f', {_BASE})
+  || '. Connaissant ses informations, le modèle prédit f(x)=' || {_short('t.PROBA')} || '. Le client a pour ' || feature || ' la valeur '
+  || {_short(_VALUE)} || CASE WHEN contribution > 0 THEN '. Elle augmente son risque de ' || printf('%.2f', contribution) || ' et pousse vers un refus.'
+       ELSE '. Elle change son risque de ' || printf('%.2f', contribution) || ' et pousse vers un accord.' END
+  || ' La valeur de base plus toutes les influences donne le risque prédit.' AS text
+FROM placed JOIN t USING (SK_ID_CURR) WHERE rank = 1""", phi=_PHI, long=_LONG, placed=_PLACED))
 def reading_guide(spark, sf):
     phi, base = contributions(spark, sf)
     first = phi.select("SK_ID_CURR", "PROBA", F.element_at(E.contribution_list(FEATURES), 1).alias("c"))
@@ -220,7 +233,25 @@ def exact_shapley(spark, sf):
     return settled(E.exact_shapley(df, players, value))
 
 
-@query("shapley_sample", None)
+_UNIT = "(CAST('0x' || substr(draw, 1, 8) AS BIGINT) / CAST(4294967296 AS DOUBLE))"
+_PLAYERS = {"BALANCE": "h0", "NATION": "h1", "N_CREDITS": "h2"}
+
+
+def _walk(player: str, gained: bool) -> str:
+    """Output of the logistic model when the players drawn before `player`, and it too if `gained`, are known."""
+    parts = [f"{_C.format(COEFFICIENTS[f])} * " + ((f if gained else f"r_{f}") if f == player else f"CASE WHEN {h} < {_PLAYERS[player]} THEN {f} ELSE r_{f} END")
+             for f, h in _PLAYERS.items()]
+    return f"1 / (1 + exp(-({_C.format(INTERCEPT)} + {' + '.join(parts)})))"
+
+
+@query("shapley_sample", _on("""
+SELECT SK_ID_CURR, feature, round(avg(d), 6) AS contribution, round(stddev_samp(d) / sqrt(8), 6) AS std_error FROM steps GROUP BY 1, 2""",
+    bg="SELECT BALANCE AS r_BALANCE, NATION AS r_NATION, N_CREDITS AS r_N_CREDITS, "
+       "row_number() OVER (ORDER BY md5(CAST(SK_ID_CURR AS VARCHAR) || '-42'), SK_ID_CURR) AS place FROM t QUALIFY place <= 50",
+    draws="SELECT *, md5(SK_ID_CURR || '-42-' || perm) AS draw FROM t, range(1, 9) r(perm)",
+    walks=f"SELECT *, md5(draw || '-0') AS h0, md5(draw || '-1') AS h1, md5(draw || '-2') AS h2 FROM draws JOIN bg "
+          f"ON place = CAST(floor({_UNIT} * (SELECT count(*) FROM bg)) + 1 AS BIGINT)",
+    steps=" UNION ALL ".join(f"SELECT SK_ID_CURR, '{f}' AS feature, {_walk(f, True)} - {_walk(f, False)} AS d FROM walks" for f in _PLAYERS)))
 def shapley_sample(spark, sf):
     df = table(spark, sf)
     players = ["BALANCE", "NATION", "N_CREDITS"]
@@ -231,7 +262,7 @@ def shapley_sample(spark, sf):
             score = score + F.lit(COEFFICIENTS[p]) * F.col(p)
         return frame.withColumn("PROBA", 1 / (1 + F.exp(-score)))
 
-    return E.sampled_shapley(df, players, E.background_rows(df, players), predict)
+    return settled(E.sampled_shapley(df, players, E.background_rows(df, players), predict))
 
 
 @query("impute_scale", _on("""

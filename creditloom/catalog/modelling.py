@@ -87,6 +87,53 @@ def parameter_search(spark, sf):
                     S.trials(S.LOGISTIC_SPACE, 3), extra=["weight"])
 
 
+@query("tree_search")
+def tree_search(spark, sf):
+    """Every parameter of the tree space is drawn; rounds and depth are then kept low."""
+    drawn = [{**t, "max_iter": 3, "max_depth": 3} for t in S.trials(S.TREE_SPACE, 2)]
+    return S.search(training(spark, sf), INPUTS, "TARGET", "fold", 3, lambda f, p: L.trees_of(f, p, mark_nulls=True), drawn)
+
+
+@query("fitted_sweep", V.using("folded", """
+SELECT fold, CAST(99 AS BIGINT) AS n_thresholds, count(*) FILTER (WHERE TARGET = 0) AS negatives, count(*) FILTER (WHERE TARGET = 1) AS positives,
+  CAST(0 AS BIGINT) AS falls FROM folded GROUP BY fold"""))
+def fitted_sweep(spark, sf):
+    """What every sweep must satisfy: all thresholds, all rows at each of them, and refusals that only fall as the threshold rises."""
+    sweep = S.fitted_sweep(training(spark, sf), INPUTS, "TARGET", "fold", 5, lambda f: L.logistic(f, max_iter=10))
+    before = Window.partitionBy("fold").orderBy("threshold")
+    stepped = sweep.withColumn("fall", (F.col("tn") < F.lag("tn").over(before)) | (F.col("fn") < F.lag("fn").over(before)))
+    return stepped.groupBy("fold").agg(
+        F.count_distinct("threshold").alias("n_thresholds"), F.min(F.col("tn") + F.col("fp")).alias("negatives"),
+        F.max(F.col("fn") + F.col("tp")).alias("positives"), F.count_if("fall").alias("falls"))
+
+
+_LEFT_OUT = "CAST(sum(p) OVER (PARTITION BY {0}) - p AS DOUBLE) / (sum(n) OVER (PARTITION BY {0}) - n)"
+
+
+@query("saturated_logistic", V.using("folded", f"""
+SELECT fold, SEGMENT, n, round({_LEFT_OUT.format('SEGMENT')}, 4) AS proba FROM s""",
+                                     s="SELECT fold, SEGMENT, count(*) AS n, sum(TARGET) AS p FROM folded GROUP BY 1, 2"))
+def saturated_logistic(spark, sf):
+    """A logistic model of one category, unpenalised, scores held-out rows with the share of its training folds."""
+    people = stratified_folds(star.scored_population(spark, sf), "SK_ID_CURR", "TARGET", 5)
+    names = [r[0] for r in people.select("SEGMENT").distinct().orderBy("SEGMENT").limit(100).collect()]
+    flags = {f"S{i}": (F.col("SEGMENT") == n).cast("double") for i, n in enumerate(names[1:])}
+    cv = L.cross_validate(people.withColumns(flags), list(flags), "TARGET", "fold", 5, lambda f: L.logistic(f, c=1e9, max_iter=200, tol=1e-10))
+    return settled(cv.scores.join(people.select("SK_ID_CURR", "SEGMENT"), "SK_ID_CURR").groupBy("fold", "SEGMENT").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("PROBA").alias("proba")), 4)
+
+
+@query("single_stump", V.using("folded", f"""
+SELECT fold, flag, n, round(1 / (1 + exp(-2 * (2 * {_LEFT_OUT.format('flag')} - 1))), 6) AS proba FROM s""",
+                               s="SELECT fold, CAST(PROBA > 0.48 AS INTEGER) AS flag, count(*) AS n, sum(TARGET) AS p FROM folded GROUP BY 1, 2"))
+def single_stump(spark, sf):
+    """One boosting round of depth 1 on a 0/1 column: each leaf holds the mean of its training labels, as -1 and 1."""
+    people = stratified_folds(star.scored_population(spark, sf), "SK_ID_CURR", "TARGET", 5).withColumn("flag", (F.col("PROBA") > 0.48).cast("int"))
+    cv = L.cross_validate(people, ["flag"], "TARGET", "fold", 5, lambda f: L.boosted_trees(f, max_iter=1, max_depth=1))
+    return settled(cv.scores.join(people.select("SK_ID_CURR", "flag"), "SK_ID_CURR").groupBy("fold", "flag").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("PROBA").alias("proba")))
+
+
 @query("best_trial")
 def best_trial(spark, sf):
     return S.best_trial(parameter_search(spark, sf))

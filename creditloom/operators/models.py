@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
@@ -63,6 +63,17 @@ def null_indicators(df: DataFrame, features: Sequence[str], suffix: str = "_isnu
     return df.withColumns({f"{f}{suffix}": F.col(f).isNull().cast("int") for f in features})
 
 
+class NullIndicators(Transformer):
+    """Adds the `null_indicators` of `features`, so that a tree can send missing values their own way after imputation."""
+
+    def __init__(self, features: Sequence[str]):
+        super().__init__()
+        self.features = list(features)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return null_indicators(dataset, self.features)
+
+
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """(label, weight) = n / (number of classes * n of the class)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
@@ -99,23 +110,53 @@ class SummedLoss(Estimator):
 
 
 def logistic(features: Sequence[str], label: str = "TARGET", weight: str | None = None, c: float = 1.0,
-             l1_ratio: float = 0.0, max_iter: int = 50, fit_intercept: bool = True) -> Pipeline:
+             l1_ratio: float = 0.0, max_iter: int = 50, fit_intercept: bool = True, tol: float = 1e-6) -> Pipeline:
     """Impute, scale, logistic regression. `c` is the inverse penalty of a summed loss."""
     model = LogisticRegression(featuresCol="features", labelCol=label, elasticNetParam=l1_ratio, maxIter=max_iter,
-                               standardization=False, fitIntercept=fit_intercept)
+                               tol=tol, standardization=False, fitIntercept=fit_intercept)
     if weight:
         model = model.setWeightCol(weight)
     return Pipeline(stages=[ImputeScale(features), VectorAssembler(inputCols=list(features), outputCol="features"), SummedLoss(model, c, weight)])
 
 
+class PositiveWeight(Estimator):
+    """Fits a learner with positive rows weighing `times` as much, on top of their own weight. Scoring needs no label."""
+
+    def __init__(self, learner: GBTClassifier, label: str, times: float, weight: str | None = None):
+        super().__init__()
+        self.learner, self.label, self.times, self.weight = learner, label, times, weight
+
+    def _fit(self, dataset: DataFrame) -> Model:
+        own = F.col(self.weight) if self.weight else F.lit(1.0)
+        weighed = dataset.withColumn("_row_weight", own * F.when(F.col(self.label) == 1, self.times).otherwise(1.0))
+        return self.learner.copy({self.learner.weightCol: "_row_weight"}).fit(weighed)
+
+
 def boosted_trees(features: Sequence[str], label: str = "TARGET", weight: str | None = None, max_iter: int = 20,
-                  max_depth: int = 5, step_size: float = 0.1, subsample: float = 1.0, seed: int = 42) -> Pipeline:
-    """Impute (no scaling), gradient-boosted trees."""
+                  max_depth: int = 5, step_size: float = 0.1, subsample: float = 1.0, seed: int = 42, min_rows: int = 1,
+                  min_gain: float = 0.0, feature_share: float = 1.0, positive_weight: float = 1.0, mark_nulls: bool = False) -> Pipeline:
+    """Impute (no scaling), gradient-boosted trees. `mark_nulls` adds a 0/1 column per feature, by which trees route missing values;
+    `feature_share` is the share of features that a node may look at."""
     model = GBTClassifier(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=max_depth, stepSize=step_size,
-                          subsamplingRate=subsample, seed=seed)
+                          subsamplingRate=subsample, seed=seed, minInstancesPerNode=min_rows, minInfoGain=min_gain,
+                          featureSubsetStrategy="all" if feature_share >= 1 else repr(float(feature_share)))
     if weight:
         model = model.setWeightCol(weight)
-    return Pipeline(stages=[ImputeScale(features, scale=False), VectorAssembler(inputCols=list(features), outputCol="features"), model])
+    inputs = [*features, *(f"{f}_isnull" for f in features if mark_nulls)]
+    last = model if positive_weight == 1 else PositiveWeight(model, label, positive_weight, weight)
+    marks = [NullIndicators(features)] if mark_nulls else []
+    return Pipeline(stages=[*marks, ImputeScale(features, scale=False), VectorAssembler(inputCols=inputs, outputCol="features"), last])
+
+
+# Parameters of `boosted_trees` that a search may draw, those that are whole numbers apart.
+TREE_INTEGERS = ("max_iter", "max_depth", "min_rows")
+TREE_REALS = ("step_size", "subsample", "min_gain", "feature_share", "positive_weight")
+
+
+def trees_of(features: Sequence[str], params: Mapping[str, float], **fixed) -> Pipeline:
+    """Boosted trees with the parameters of a trial; entries that belong to the decision, such as `threshold`, are left out."""
+    drawn = {n: int(v) if n in TREE_INTEGERS else float(v) for n, v in params.items() if n in TREE_INTEGERS + TREE_REALS}
+    return boosted_trees(features, **{**drawn, **fixed})
 
 
 def predict(model: Model, df: DataFrame, keep: Sequence[str], threshold: float | None = None) -> DataFrame:
@@ -127,10 +168,11 @@ def predict(model: Model, df: DataFrame, keep: Sequence[str], threshold: float |
 
 
 def importances(model: PipelineModel, features: Sequence[str]) -> dict[str, float]:
-    """Impurity gain of a tree model, |coefficient| of a linear one."""
-    last = model.stages[-1]
+    """Impurity gain of a tree model, |coefficient| of a linear one. The gain of a null mark counts for its feature."""
+    last, p = model.stages[-1], len(features)
     if hasattr(last, "featureImportances"):
         values = last.featureImportances.toArray()
+        values = values[:p] + values[p:] if len(values) == 2 * p else values
     else:
         values = abs(last.coefficients.toArray())
     return dict(zip(features, map(float, values)))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.functions import gain as G
-from creditloom.operators.metrics import confusion, roc_auc, score_totals, with_metrics
+from creditloom.operators.metrics import confusion, roc_auc, score_totals, threshold_sweep, with_metrics
 from creditloom.operators.models import cross_validate
 
 @contextmanager
@@ -93,10 +93,11 @@ def elbow(df: DataFrame, ordered_features: Sequence[str], label: str, fold: str,
     return df.sparkSession.createDataFrame(rows, "n_features int, gain_train double, gain_val double, fit_ms double")
 
 
-# Search ranges of the logistic model and of the tree model.
+# Search ranges of the logistic model and of the tree model; the tree ranges from `min_rows` on are chosen here.
 LOGISTIC_SPACE = {"c": ("log", 1e-6, 1e2), "l1_ratio": ("float", 0.0, 1.0), "threshold": ("float", 0.1, 0.9)}
 TREE_SPACE = {"step_size": ("log", 0.01, 0.3), "max_iter": ("int", 10, 50), "max_depth": ("int", 2, 6),
-              "subsample": ("float", 0.5, 1.0), "threshold": ("float", 0.1, 0.9)}
+              "subsample": ("float", 0.5, 1.0), "min_rows": ("int", 1, 100), "min_gain": ("float", 0.0, 0.01),
+              "feature_share": ("float", 0.5, 1.0), "positive_weight": ("float", 1.0, 12.0), "threshold": ("float", 0.1, 0.9)}
 
 
 def trials(space: Mapping[str, tuple], n: int, seed: int = 42) -> list[dict[str, float]]:
@@ -133,3 +134,16 @@ def best_trial(results: DataFrame) -> DataFrame:
     """The trial of greatest gain, the first on a tie."""
     return results.agg(F.max_by(F.struct("trial", "params", "business_gain", "auc"),
                                 F.struct(F.col("business_gain"), -F.col("trial"))).alias("r")).select("r.*")
+
+
+def fitted_sweep(df: DataFrame, features: Sequence[str], label: str, fold: str, k: int, make: Callable[[Sequence[str]], Pipeline],
+                 grid: Sequence[float] | None = None, gains: Mapping[str, float] = G.UNIT_GAINS, key: str = "SK_ID_CURR",
+                 extra: Sequence[str] = (), **kw) -> DataFrame:
+    """Threshold sweep (see `metrics.threshold_sweep`) over held-out scores: each fold is resampled (`resample`) and fitted once,
+    and one pass over its scores gives all thresholds. k times len(grid) rows come back."""
+    with kept(df, features, label, fold, key, extra) as data:
+        cv = cross_validate(data, features, label, fold, k, make, key, extra, cached=True, **kw)
+        sweep = threshold_sweep(cv.scores, label, "PROBA", fold, grid, gains)
+        rows = sweep.collect()
+        cv.release()
+    return df.sparkSession.createDataFrame(rows, sweep.schema)

@@ -137,6 +137,32 @@ def test_elimination_keeps_the_informative_feature(population):
     assert S.best_features(history, 1) == ["to_drop"] and "to_drop" in S.best_features(history)
 
 
+def test_trees_route_missing_values(spark):
+    """Missing in the middle of the range: the mean hides them, the mark does not."""
+    df = spark.range(400).select(
+        F.col("id").alias("SK_ID_CURR"), F.when(F.col("id") % 4 != 0, (F.col("id") % 7).cast("double")).alias("x"),
+        (F.col("id") % 4 == 0).cast("int").alias("TARGET"))
+    model = L.boosted_trees(["x"], max_iter=3, max_depth=1, mark_nulls=True).fit(df)
+    scored = L.predict(model, df.drop("TARGET"), ["SK_ID_CURR"], threshold=0.5)
+    assert scored.where((F.col("PREDICTION") == 1) != (F.col("SK_ID_CURR") % 4 == 0)).count() == 0
+    assert L.importances(model, ["x"]) == pytest.approx({"x": 1.0})
+
+
+def test_positive_weight_raises_scores(population):
+    plain, heavy = (
+        L.predict(L.trees_of(["random1"], {"max_iter": 2, "max_depth": 2, "min_rows": 20, "positive_weight": w, "feature_share": 0.9, "threshold": 0.3})
+                  .fit(population), population.drop("TARGET"), ["SK_ID_CURR"]).agg(F.avg("PROBA")).first()[0] for w in (1.0, 10.0))
+    assert heavy > plain + 0.1
+
+
+def test_sweep_of_fitted_folds_sees_every_held_out_row(population):
+    df = stratified_folds(population, "SK_ID_CURR", "TARGET", 2)
+    inputs = ["random1", "to_drop"]
+    rows = S.fitted_sweep(df, inputs, "TARGET", "fold", 2, lambda f: L.logistic(f, max_iter=10), grid=[0.1, 0.5, 0.9],
+                          resample=lambda train: smote(train, inputs, "TARGET")).collect()
+    assert len(rows) == 6 and {r["tn"] + r["fp"] for r in rows} == {460} and {r["fn"] + r["tp"] for r in rows} == {40}
+
+
 def test_trials_are_reproducible_and_in_range():
     a, b = S.trials(S.LOGISTIC_SPACE, 20), S.trials(S.LOGISTIC_SPACE, 20)
     assert a == b and all(1e-6 <= t["c"] <= 1e2 and 0 <= t["l1_ratio"] <= 1 for t in a)
