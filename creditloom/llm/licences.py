@@ -1,10 +1,15 @@
 """Licence scan: normalised text against licence templates, by the Dice coefficient over word bigrams.
 
-Text is lower-cased, and everything but letters a-z and digits separates words. Units are the lines of a document
-and, where it has several lines, the whole text. A unit and a template are sets of word bigrams A and B; their likeness is
-2|A n B| / (|A| + |B|). It can reach t only if t/(2-t) |B| <= |A| <= (2-t)/t |B|, so a template is compared only with units
-inside its size bounds. The scan is a projection: no shuffle, no Python, and a hot source or a group of copies costs what
-its rows cost.
+Text is lower-cased, and everything but letters a-z and digits separates words. Units are the lines of a document,
+where it has several lines the whole text, and runs of words of the whole text, across line breaks. A unit and a template are
+sets of word bigrams A and B; their likeness is 2|A n B| / (|A| + |B|). It can reach t only if t/(2-t) |B| <= |A| <= (2-t)/t |B|,
+so a template is compared only with units inside its size bounds.
+
+Runs are anchored: one begins at every bigram that the template has, is as long as the template and ends at its last bigram of
+the template. It is compared only if t/(2-t) |B| bigrams of the template lie in it, and, where it overlaps a run already
+found for the template, only if enough of them do to be better; the better one stays.
+
+The scan is a projection: no shuffle, no Python, and a hot source or a group of copies costs what its rows cost.
 """
 
 from __future__ import annotations
@@ -67,19 +72,14 @@ def size_bounds(size: int, threshold: float) -> tuple[int, int]:
     return math.ceil(threshold / (2 - threshold) * size - 1e-9), math.floor((2 - threshold) / threshold * size + 1e-9)
 
 
-def bigrams(unit: Column) -> Column:
-    """Set of word bigrams of a unit; empty where there are fewer than two words."""
-    words = F.split(F.trim(F.regexp_replace(ascii_lower(unit), "[^a-z0-9]+", " ")), " ")
-    return let(words, lambda w: F.array_distinct(F.zip_with(
-        F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))))
-
-
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """`docs` with `n_units` (units of two words or more), `matches` (array of unit, licence, dice) and the best of them.
+    """`docs` with `n_units` (lines and whole text, of two words or more), `matches` (array of unit, licence, dice, word) and the best of them.
 
-    One row per input row. `unit` counts lines from 0; -1 is the whole text. `matches` holds, for each unit, the template with
-    the highest likeness of at least `threshold` (ties: the first name). `licence`, `dice` and `unit` are those of the best match
-    (ties: lowest unit), null without one. Null and empty texts have no units. Input columns with these names are replaced.
+    One row per input row. `unit` counts lines from 0; -1 is the whole text and -2 a run of words. `word` is the place of the unit's
+    first word. `matches` holds, for each line and the whole text, the template with the highest likeness of at least `threshold`
+    (ties: the first name), then the runs, by place. A run is left out if a match with more common bigrams (ties: higher likeness, then
+    line, whole text, run) covers more than half of its words. `licence`, `dice` and `unit` are those of the best match (ties: lowest
+    unit, runs last, then the first place), null without one. Null and empty texts have no units. Input columns with these names are replaced.
     """
     names = sorted(templates := TEMPLATES if templates is None else templates)
     parts = {name: template_bigrams(templates[name]) for name in names}
@@ -87,38 +87,108 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     columns = docs.columns
     if not names:
         raise ValueError("no template has two words")
-    bounds = {name: size_bounds(len(parts[name]), threshold) for name in names}
-    least, most = min(b[0] for b in bounds.values()), max(b[1] for b in bounds.values())
-    known = F.array(*[F.lit(b) for b in sorted({b for name in names for b in parts[name]})])
+    facts = F.array(*[F.struct(F.lit(k).alias("id"), F.lit(name).alias("licence"), F.lit(len(parts[name])).alias("size"),
+                               F.lit(len(normalised_words(templates[name])) - 1).alias("length"), F.lit(low).alias("low"), F.lit(high).alias("high"))
+                      for k, name in enumerate(names) for low, high in [size_bounds(len(parts[name]), threshold)]])
+
+    def one_of(values: list[str]) -> str:
+        # Bigrams hold only letters, digits and a space. Written as SQL, since thousands of literal columns are slow to build.
+        return "x IN ('" + "', '".join(values) + "')"
 
-    def likeness(name: str, b: Column) -> Column:
-        low, high = bounds[name]
-        dice = 2.0 * F.size(F.array_intersect(b, F.array(*map(F.lit, parts[name])))) / (F.size(b) + len(parts[name]))
-        return F.struct(F.when(F.size(b).between(low, high), F.round(dice, 9)).otherwise(F.lit(0.0)).alias("dice"), F.lit(name).alias("licence"))
+    # At each bigram of the text that a template has: its place, itself and the numbers of the templates.
+    ids = ", ".join(f"IF({one_of(parts[name])}, {k}, NULL)" for k, name in enumerate(names))
+    marks = f"""transform(grams, (x, i) -> IF({one_of(sorted({b for name in names for b in parts[name]}))},
+                named_struct('at', i, 'b', x, 'ids', array_compact(array({ids}))), NULL))"""
 
-    def best(b: Column) -> Column:
+    def common(hits: Column) -> Column:
+        return F.size(F.array_distinct(F.transform(hits, lambda h: h["b"])))
+
+    def of(hits: Column, t: Column) -> Column:
+        return F.filter(hits, lambda h: F.array_contains(h["ids"], t["id"]))
+
+    def match(unit: Column, t: Column, n_common: Column, size: Column, word: Column, n_words: Column) -> Column:
+        return F.struct(unit.cast("int").alias("unit"), t["licence"].alias("licence"), F.round(2.0 * n_common / (size + t["size"]), 9).alias("dice"),
+                        word.cast("int").alias("word"), n_words.cast("int").alias("n_words"), n_common.alias("common"))
+
+    def first_best(found: Column) -> Column:
         # The order of names breaks ties, since a later one must be strictly better.
-        return F.aggregate(F.array(*[likeness(name, b) for name in names]), F.struct(F.lit(0.0).alias("dice"), F.lit("").alias("licence")),
-                           lambda a, x: F.when(x["dice"] > a["dice"], x).otherwise(a))
-
-    def found(unit: Column, b: Column) -> Column:
-        near = F.size(b).between(least, most) & F.arrays_overlap(b, known)
-        return F.when(near, let(best(b), lambda m: F.when(m["dice"] >= threshold, F.struct(
-            unit.cast("int").alias("unit"), m["licence"].alias("licence"), m["dice"].alias("dice")))))
-
-    def scanned(lines: Column) -> Column:
-        whole = F.when(F.size(lines) > 1, F.array(F.concat_ws(" ", lines))).otherwise(F.array().cast("array<string>"))
-        # The whole text stands behind the lines and gets the number -1.
-        return F.transform(F.concat(lines, whole), lambda line, i: let(bigrams(line), lambda b: F.struct(
-            (F.size(b) > 0).alias("counts"), found(F.when(i < F.size(lines), i).otherwise(F.lit(-1)), b).alias("match"))))
-
-    text = F.coalesce(F.col("row.text"), F.lit(""))
-    units = packed(docs).select("row", let(F.split(text, "\n"), scanned).alias("units"))
-    result = units.select("row", F.size(F.filter("units", lambda u: u["counts"])).alias("n_units"), F.transform(
-        F.filter("units", lambda u: u["match"].isNotNull()), lambda u: u["match"]).alias("matches"))
-    top = F.array_sort("matches", lambda a, b: F.when(a["dice"] > b["dice"], -1).when(a["dice"] < b["dice"], 1).when(
-        a["unit"] < b["unit"], -1).when(a["unit"] > b["unit"], 1).otherwise(0))
-    result = result.withColumn("top", F.get(top, F.lit(0)))
+        return F.aggregate(found, F.get(found, F.lit(0)), lambda a, x: F.when(x["dice"] > a["dice"], x).otherwise(a))
+
+    def in_unit(unit: Column, word: Column, n_words: Column, grams: Column, marks: Column) -> Column:
+        """The best match of a line or the whole text, null without one."""
+        def compared(size: Column, hits: Column) -> Column:
+            near = F.filter(facts, lambda t: size.between(t["low"], t["high"]))
+            return first_best(F.filter(F.transform(near, lambda t: let(of(hits, t), lambda h: match(unit, t, common(h), size, word, n_words))),
+                                       lambda m: m["dice"] >= threshold))
+
+        hits = F.filter(F.slice(marks, word + 1, n_words - 1), lambda h: h.isNotNull())
+        return F.when(n_words > 1, let(hits, lambda h: F.when(F.size(h) > 0, let(
+            F.size(F.array_distinct(F.slice(grams, word + 1, n_words - 1))), lambda size: compared(size, h)))))
+
+    def runs(t: Column, hits: Column, grams: Column) -> Column:
+        """The runs of words that are like template `t`; `hits` are its bigrams in the text."""
+        def run(place: Column) -> Column:
+            first = F.get(hits, place)["at"]
+            inside = F.filter(F.slice(hits, place + 1, t["length"]), lambda h: h["at"] < first + t["length"])
+            return let(inside, lambda h: let(F.element_at(h, -1)["at"] - first + 1, lambda n: match(
+                F.lit(-2), t, common(h), F.size(F.array_distinct(F.slice(grams, first + 1, n))), first, n + 1)))
+
+        def step(found: Column, place: Column) -> Column:
+            last, first = F.get(found, F.size(found) - 1), F.get(hits, place)["at"]
+            met = F.coalesce(last["word"] + last["n_words"] - 1 > first, F.lit(False))
+            better = F.floor(last["dice"] * t["size"] / (2 - last["dice"]) - 1e-6) + 1
+            least = F.when(met, F.greatest(better, t["low"])).otherwise(t["low"]).cast("int")
+            reach = F.get(hits, place + least - 1)["at"]
+            return F.when(F.coalesce(reach < first + t["length"], F.lit(False)), let(run(place), lambda r: F.when(r["dice"] < threshold, found).when(
+                ~met, F.concat(found, F.array(r))).when(r["dice"] > last["dice"], F.concat(F.slice(found, 1, F.size(found) - 1), F.array(r))).otherwise(found))
+            ).otherwise(found)
+
+        return F.when(F.size(hits) >= t["low"], F.aggregate(F.sequence(F.lit(0), F.size(hits) - 1), none, step)).otherwise(none)
+
+    none = F.array().cast("array<struct<unit:int,licence:string,dice:double,word:int,n_words:int,common:int>>")
+
+    def kept(fixed: Column, found: Column) -> Column:
+        """All of `fixed`, and what of `found` is not covered by something better."""
+        ahead = F.array_sort(F.concat(fixed, found), lambda a, b: ordered(a, b, ("common", -1), ("dice", -1), ("kind", 1), ("word", 1), ("licence", 1)))
+
+        def covers(a: Column, m: Column) -> Column:
+            return 2 * (F.least(a["word"] + a["n_words"], m["word"] + m["n_words"]) - F.greatest(a["word"], m["word"])) > m["n_words"]
+
+        chosen = F.aggregate(ahead, none, lambda got, m: F.when((m["unit"] == -2) & F.exists(got, lambda a: covers(a, m)), got).otherwise(F.concat(got, F.array(m))))
+        return F.concat(fixed, F.array_sort(F.filter(chosen, lambda m: m["unit"] == -2), lambda a, b: ordered(a, b, ("word", 1), ("licence", 1))))
+
+    def ordered(a: Column, b: Column, *by: tuple[str, int]) -> Column:
+        def key(m: Column, field: str) -> Column:
+            return {"kind": lambda: F.when(m["unit"] >= 0, 0).otherwise(-m["unit"]), "rank": lambda: F.when(m["unit"] == -2, 2**31 - 1).otherwise(m["unit"])}.get(
+                field, lambda: m[field])()
+
+        result = F.lit(0)
+        for field, sign in reversed(by):
+            result = F.when(key(a, field) < key(b, field), -sign).when(key(a, field) > key(b, field), sign).otherwise(result)
+        return result
+
+    def scanned(counts: Column, grams: Column, marks: Column) -> Column:
+        n_words = F.aggregate(counts, F.lit(0), lambda n, c: n + c)
+        starts = F.aggregate(counts, F.array(F.lit(0)), lambda s, c: F.concat(s, F.array(F.element_at(s, -1) + c)))
+        lines = let(starts, lambda s: F.transform(counts, lambda c, i: in_unit(i, F.get(s, i), c, grams, marks)))
+        whole = F.when(F.size(counts) > 1, let(n_words, lambda n: in_unit(F.lit(-1), F.lit(0), n, grams, marks)))
+        fixed = F.filter(F.concat(lines, F.array(whole)), lambda m: m.isNotNull())
+        found = let(F.filter(marks, lambda h: h.isNotNull()), lambda hits: F.flatten(F.transform(facts, lambda t: let(of(hits, t), lambda h: runs(t, h, grams)))))
+        return let(fixed, lambda f: let(found, lambda r: F.when(F.size(r) > 0, kept(f, r)).otherwise(f)))
+
+    # Line breaks stay, everything else between words becomes one space.
+    text = F.regexp_replace(ascii_lower(F.coalesce(F.col("row.text"), F.lit(""))), "[^a-z0-9\n]+", " ")
+    lines = packed(docs).select("row", F.transform(F.split(text, "\n"), lambda x: F.trim(x)).alias("lines"))
+    words = F.split(F.array_join(F.filter("lines", lambda x: x != ""), " "), " ")
+    grams = let(words, lambda w: F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w)), lambda a, b: F.concat_ws(" ", a, b)))
+    counted = lines.select("row", F.transform("lines", lambda x: F.when(x == "", 0).otherwise(F.size(F.split(x, " ")))).alias("counts"), grams.alias("grams"))
+    marked = counted.select("row", "counts", "grams", F.expr(marks).alias("marks"))
+    known = F.exists("marks", lambda h: h.isNotNull())
+    found = F.when(known, let(F.col("counts"), lambda c: let(F.col("grams"), lambda g: let(F.col("marks"), lambda m: scanned(c, g, m))))).otherwise(none)
+    whole = F.when((F.size("counts") > 1) & (F.size("grams") > 0), 1).otherwise(0)
+    result = marked.select("row", (F.size(F.filter("counts", lambda c: c > 1)) + whole).alias("n_units"), found.alias("found"))
+    top = F.get(F.array_sort("found", lambda a, b: ordered(a, b, ("dice", -1), ("rank", 1), ("word", 1))), F.lit(0))
+    result = result.select("row", "n_units", F.transform("found", lambda m: F.struct(
+        m["unit"].alias("unit"), m["licence"].alias("licence"), m["dice"].alias("dice"), m["word"].alias("word"))).alias("matches"), top.alias("top"))
     return unpacked(result, columns, n_units=F.col("n_units"), matches=F.col("matches"), licence=F.col("top.licence"), dice=F.col("top.dice"),
                     unit=F.col("top.unit"))
-
