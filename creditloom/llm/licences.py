@@ -16,13 +16,15 @@ from __future__ import annotations
 
 import math
 import re
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.llm.common import ascii_lower, let, packed, unpacked
 
-# Public licence statements and notices, in alphabetical order of their names.
+# Public licence statements and notices, in alphabetical order of their names; whole licence texts and whole
+# standard headers are files, without title and copyright line where these vary.
 TEMPLATES = {
     "apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "apache-2.0-header": (
@@ -54,6 +56,7 @@ TEMPLATES = {
     "mpl-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed "
         "with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    **{path.stem: path.read_text(encoding="utf-8") for path in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))},
 }
 THRESHOLD = 0.8
 

@@ -70,3 +70,14 @@ def test_runs_match_brute_force(spark):
         if not any(m.unit == 0 for m in r.matches):
             assert runs == want, (words, whole)
         assert bool(r.matches) >= bool(want)
+
+
+def test_whole_texts_and_headers_are_found(spark):
+    whole = ["0bsd", "agpl-3.0-header", "apache-2.0-text", "bsd-2-clause", "bsd-3-clause", "bsl-1.0", "cc0-1.0-text", "gpl-2.0-header", "gpl-2.0-text", "gpl-3.0-header-whole",
+             "gpl-3.0-text", "isc-whole", "lgpl-2.1-header", "lgpl-2.1-text", "lgpl-3.0-header", "lgpl-3.0-text", "mit-whole", "mpl-2.0-text", "unlicense", "zlib"]
+    title = "The Licence\n\nCopyright (c) 2020 Some Person\nAll rights reserved.\n\n"
+    docs = [(2 * i + k, text) for i, name in enumerate(whole) for k, text in enumerate((title + T[name], f"{CODE}\n{wrapped(T[name], 11)}\n{CODE}\n"))]
+    rows = {r.doc_id: r.licence for r in licences.scan(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert rows == {2 * i + k: name for i, name in enumerate(whole) for k in (0, 1)}
+    words = {n: " ".join(licences.normalised_words(T[n])) for n in ("mit-whole", "isc-whole")}
+    assert "without warranty of any kind" in words["mit-whole"] and "disclaims all warranties" in words["isc-whole"]
