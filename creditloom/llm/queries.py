@@ -48,8 +48,8 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loads every document with an estimated word count, revises the counts to the exact ones, adds those of a second tokenizer and takes
-    out documents without words; two commits are tried twice, and a snapshot is taken on the way."""
+    """Loads every document with an estimated word count, revises the counts to the exact ones, adds those of a second tokenizer, takes
+    documents without words out and puts them in again; two commits are tried twice, and a snapshot is taken on the way."""
     docs = table(spark, sf_dir, "documents")
     path = scratch_path(spark, "token-counts")
     estimate = F.floor(F.coalesce(F.octet_length("text"), F.lit(0)) / 6)
@@ -64,6 +64,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup.commit("byte-pairs", tokens.inserts(rows, "byte-bpe-50k", "n_bpe"))
     empty = rows.where("n_words = 0")
     rollup.commit("drop-empty", tokens.deletes(empty, "words-1", "n_words").union(tokens.deletes(empty, "byte-bpe-50k", "n_bpe")))
+    rollup.commit("restore-empty", tokens.inserts(empty, "words-1", "n_words").union(tokens.inserts(empty, "byte-bpe-50k", "n_bpe")))
     rollup.commit("exact-words", tokens.revisions(rows, "words-1", "estimate", "n_words"))
     return rollup.totals()
 
