@@ -46,6 +46,11 @@ def _key(a: Column, b: Column, c: Column) -> Column:
     return F.xxhash64(a, F.coalesce(b, F.lit("")), F.coalesce(c, F.lit("")))
 
 
+def places(occurs: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """Where a window can begin, given where its prefix token occurs: not before the document, nor so late that it runs past the end."""
+    return occurs.join(prefixes, "shingle").withColumn("start", F.col("at") - F.col("offset")).where("start >= 0 and start + length <= n_words")
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per input row of `docs`: `n_words`, `n_hit` (words inside any occurrence of a window), `n_items`, `items` (sorted ids as
     strings), `spans` (start and end of each covered run of words) and `contaminated` (hits, and at least a word in twenty).
@@ -70,7 +75,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     zipped = F.arrays_zip(text_words.alias("w"), F.slice(text_words, 2, F.greatest(F.size(text_words) - 1, F.lit(0))).alias("x"),
                           F.slice(text_words, 3, F.greatest(F.size(text_words) - 2, F.lit(0))).alias("y"))
     opened = (rows.select("id", "digest", words_of(F.coalesce(F.col("row.text"), F.lit(""))).alias("words")).where(F.size("words") > 0)
-              .select("id", "digest", F.posexplode(zipped).alias("at", "z")).select("id", "digest", "at", "z.w", "z.x", "z.y"))
+              .select("id", "digest", F.size("words").alias("n_words"), F.posexplode(zipped).alias("at", "z")).select(
+                  "id", "digest", "n_words", "at", "z.w", "z.x", "z.y"))
     last = F.col("x").isNull()
     keys = {1: (F.col("w"), F.lit(None).cast("string"), F.lit(None).cast("string")), 2: (F.col("w"), F.col("x"), F.lit(None).cast("string")),
             3: (F.col("w"), F.col("x"), F.col("y"))}
@@ -84,10 +90,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
                    BENCHMARK_ROWS)
     same = (F.col("va") == F.col("w")) & (F.col("vk") == F.col("k")) & ((F.col("vk") < 2) | (F.col("vb") == F.col("x"))) & ((F.col("vk") < 3) | (F.col("vc") == F.col("y")))
     met = opened.join(v, ["key"], "left").select(
-        "id", "digest", "at", F.when(same, F.col("key")).alias("shingle"), last.alias("last")).where(F.col("shingle").isNotNull() | F.col("last"))
+        "id", "digest", "n_words", "at", F.when(same, F.col("key")).alias("shingle"), last.alias("last")).where(F.col("shingle").isNotNull() | F.col("last"))
     met = stored(met, "shingle-matches")
     counts = met.where("last").groupBy("id", "digest").agg((F.max("at") + 1).alias("n_words"))
-    occurs = met.where("shingle is not null").select("id", "digest", "at", "shingle")
+    occurs = met.where("shingle is not null").select("id", "digest", "n_words", "at", "shingle")
 
     # Rarity, and the one prefix token of each window; a window with a shingle that no document has is out.
     rarity = occurs.groupBy("shingle").agg(F.count("*").alias("n"))
@@ -96,8 +102,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         F.array_sort(F.collect_list(F.struct("offset", "shingle"))).alias("parts"))
     prefixes = stored(ranked.where("first.n > 0").select("window", "length", "size", "parts", F.col("first.shingle").alias("shingle"), F.col("first.offset").alias("offset")),
                       "window-prefixes")
-    candidates = (occurs.join(broadcast_if(prefixes.select("window", "length", "shingle", "offset"), BENCHMARK_ROWS), "shingle")
-                  .withColumn("start", F.col("at") - F.col("offset")).where("start >= 0")
+    candidates = (places(occurs, broadcast_if(prefixes.select("window", "length", "shingle", "offset"), BENCHMARK_ROWS))
                   .join(broadcast_if(prefixes.select("window", "parts"), BENCHMARK_ROWS), "window")
                   .select("id", "digest", "window", "length", "start", F.size("parts").alias("needed"), F.explode("parts").alias("p"))
                   .select("id", "digest", "window", "length", "start", "needed", (F.col("start") + F.col("p.offset")).alias("at"), F.col("p.shingle").alias("shingle")))
