@@ -64,3 +64,21 @@ def digits16(rows: int, each: int) -> int:
 def broadcast_if(df: DataFrame, max_rows: int) -> DataFrame:
     """`df` marked for broadcast if a count proves that it has at most `max_rows` rows, else unchanged."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def ranked(rows: DataFrame, name: str, *order: Column) -> DataFrame:
+    """`rows` with `name`: 1, 2, 3... in `order`. No task sees more than a range of the order.
+
+    The rows are sorted by ranges and written once with their place; a row's rank is its place in its range plus the sizes of the
+    ranges before, of which there are as many as shuffle partitions. Rows that are equal in `order` come in any order, split between ranges.
+    """
+    place = F.monotonically_increasing_id()
+    sorted_rows = stored(rows.withColumn("_tie", place).orderBy(*order, "_tie").drop("_tie").withColumn("_at", place), "ranked")
+    sizes = sorted_rows.groupBy(F.shiftright("_at", 33).alias("_range")).agg(F.count("*").alias("_n")).collect()
+    before, starts = 0, []
+    for r in sorted(sizes, key=lambda r: r["_range"]):
+        starts.append((r["_range"], before))
+        before += r["_n"]
+    spark = rows.sparkSession
+    return (sorted_rows.withColumn("_range", F.shiftright("_at", 33)).join(F.broadcast(spark.createDataFrame(starts, "_range bigint, _before bigint")), "_range")
+            .withColumn(name, F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1).drop("_range", "_at", "_before"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import decontamination, licences, mixing, quality, repeats, sharding, simhash, tokens, toxicity, winnowing
+from creditloom.llm import decontamination, importance, licences, mixing, nearest, phrases, quality, repeats, sharding, simhash, tokens, toxicity, winnowing
 from creditloom.llm.common import table
 from creditloom.session import scratch_path
 
@@ -102,6 +102,22 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "source", "n_tokens", "pass", "block", "position")
 
 
+@query
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), carried=["doc_id"])
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents")).drop("words")
+
+
 ORACLES["op4_decontamination"] = r"""
 WITH d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM documents),
@@ -135,3 +151,46 @@ WITH d AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS x FROM docum
 SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
        sha256(unhex(y)) AS kept_sha256 FROM kept
 """
+
+# The table of CRC-32 follows from its polynomial, 0xEDB88320; each different word is taken byte by byte.
+ORACLES["op12_importance_resampling"] = r"""
+WITH crc AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+               FROM range(256) r(i))),
+     d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM documents),
+     b AS (SELECT list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM benchmark),
+     dw AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(w) AS w FROM d) GROUP BY ALL),
+     bw AS (SELECT w, count(*) AS n FROM (SELECT unnest(w) AS w FROM b) GROUP BY ALL),
+     hexed AS (SELECT w, lower(hex(encode(w))) AS h FROM (SELECT w FROM dw UNION SELECT w FROM bw)),
+     bytes AS (SELECT w, list_transform(range(len(h) // 2), lambda i: 16 * (instr('0123456789abcdef', substr(h, 2 * i + 1, 1)) - 1) + instr('0123456789abcdef', substr(h, 2 * i + 2, 1)) - 1) AS y FROM hexed),
+     slot AS (SELECT w, xor(list_reduce(list_prepend(4294967295, y), lambda c, v: xor(t[(xor(c, v) & 255) + 1], c >> 8)), 4294967295) % 10000 AS slot FROM bytes, crc),
+     s AS (SELECT slot, sum(n) AS n FROM dw JOIN slot USING (w) GROUP BY ALL), t AS (SELECT slot, sum(n) AS n FROM bw JOIN slot USING (w) GROUP BY ALL),
+     sums AS (SELECT coalesce((SELECT sum(n) FROM s), 0) AS sn, coalesce((SELECT sum(n) FROM t), 0) AS tn),
+     gain AS (SELECT s.slot, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (sn + 10000)::DOUBLE / ((s.n + 1)::DOUBLE * (tn + 10000)::DOUBLE))) AS BIGINT) AS gain
+              FROM s LEFT JOIN t ON s.slot = t.slot, sums),
+     weights AS (SELECT doc_id, CAST(sum(n * gain) AS BIGINT) AS weight FROM dw JOIN slot USING (w) JOIN gain USING (slot) GROUP BY doc_id),
+     noise AS (SELECT doc_id, len(w) AS n, list_reduce(list_prepend(0, list_transform(range(8), lambda i: instr('0123456789abcdef', substr(sha256('2024:' || doc_id), i + 1, 1)) - 1)), lambda a, x: 16 * a + x) AS h FROM d),
+     scored AS (SELECT doc_id, CAST(n AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+                       CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) AS BIGINT) AS score FROM noise LEFT JOIN weights USING (doc_id)),
+     placed AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS all_n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * all_n // 100 THEN rank END AS rank FROM scored LEFT JOIN placed USING (doc_id)
+"""
+
+ORACLES["op13_phrase_mining"] = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS x
+                FROM documents),
+     p AS (SELECT lang, list_filter(string_split_regex(x, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces),
+     totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+     f AS (SELECT lang, w, count(*) AS f FROM (SELECT lang, w[i:i + k - 1] AS w FROM (SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM p, generate_series(1, 5) g(k) WHERE len(w) >= k))
+           GROUP BY ALL HAVING count(*) >= 100),
+     cuts AS (SELECT lang, w, f AS a, unnest(generate_series(1, len(w) - 1)) AS k FROM f WHERE len(w) > 1),
+     scores AS (SELECT c.lang, c.w, c.a, c.k, x.f AS l, y.f AS r, n, (1000::HUGEINT * c.a * n) // (x.f::HUGEINT * y.f) AS score
+                FROM cuts c JOIN f x ON x.lang = c.lang AND x.w = c.w[1:c.k] JOIN f y ON y.lang = c.lang AND y.w = c.w[c.k + 1:] JOIN totals t ON t.lang = c.lang),
+     weakest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, k) = 1),
+     inner_ones AS (SELECT DISTINCT lang, v, f FROM (SELECT lang, f, w[i:j] AS v FROM (SELECT lang, w, f, i, unnest(generate_series(i + 1, len(w))) AS j FROM (SELECT lang, w, f, unnest(generate_series(1, len(w) - 1)) AS i FROM f WHERE len(w) > 2))
+                    WHERE j - i + 1 < len(w))),
+     left_ones AS (SELECT * FROM weakest c WHERE NOT EXISTS (SELECT 1 FROM inner_ones o WHERE o.lang = c.lang AND o.v = c.w AND 100 * o.f >= 100 * c.a)),
+     placed AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(w, ' ')) AS rank, array_to_string(w, ' ') AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM left_ones)
+SELECT * FROM placed WHERE rank <= 2000
+"""
