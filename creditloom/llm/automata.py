@@ -6,10 +6,8 @@ automaton is the smallest one that gives each key its weight at the state where
 
 from __future__ import annotations
 
-import heapq
 import json
 from collections.abc import Iterable, Iterator
-from itertools import takewhile
 
 Key = tuple[str, ...]
 
@@ -46,14 +44,11 @@ class Automaton:
         return self.weights[state]
 
     def to_bytes(self) -> bytes:
-        number: dict[str, int] = {}
-        arcs = [[x for word, state in a.items() for x in (number.setdefault(word, len(number)), state)] for a in self.arcs]
-        return json.dumps([list(number), self.weights, arcs], ensure_ascii=False, separators=(",", ":")).encode()
+        return json.dumps([self.weights, self.arcs], ensure_ascii=False, separators=(",", ":")).encode()
 
     @staticmethod
     def from_bytes(data: bytes) -> Automaton:
-        words, weights, arcs = json.loads(data)
-        return Automaton(weights, [{words[w]: state for w, state in zip(a[::2], a[1::2], strict=True)} for a in arcs])
+        return Automaton(*json.loads(data))
 
 
 class Builder:
@@ -62,18 +57,23 @@ class Builder:
     def __init__(self) -> None:
         self.weights: list[int] = []
         self.arcs: list[dict[str, int]] = []
-        self.closed: dict[tuple, int] = {}
+        self.closed: dict[tuple | int, int] = {}
         self.open: list[tuple[list[int], dict[str, int]]] = [([0], {})]
         self.last: list[str] = []
 
     def add(self, key: Key, weight: int) -> None:
         """A key that is added twice in a row has the sum of its weights."""
-        shared = sum(1 for _ in takewhile(lambda pair: pair[0] == pair[1], zip(key, self.last, strict=False)))
-        if shared < len(self.last) and (shared == len(key) or key[shared] < self.last[shared]):
-            raise ValueError("keys must be added in ascending order")
-        self._close(shared)
+        last, shared = self.last, 0
+        for word in key:
+            if shared == len(last) or last[shared] != word:
+                break
+            shared += 1
+        if shared < len(last):
+            if shared == len(key) or key[shared] < last[shared]:
+                raise ValueError("keys must be added in ascending order")
+            self._close(shared)
         for word in key[shared:]:
-            self.last.append(word)
+            last.append(word)
             self.open.append(([0], {}))
         self.open[-1][0][0] += weight
 
@@ -83,7 +83,7 @@ class Builder:
             self.open[-1][1][self.last.pop()] = self._number(weight, arcs)
 
     def _number(self, weight: int, arcs: dict[str, int]) -> int:
-        state = (weight, *arcs.items())
+        state = (weight, *arcs.items()) if arcs else weight
         found = self.closed.get(state)
         if found is None:
             found = self.closed[state] = len(self.arcs)
@@ -108,9 +108,39 @@ def build(items: Iterable[tuple[Key, int]]) -> Automaton:
 
 
 def union(automata: list[Automaton], least: int = 0) -> Automaton:
-    """All keys of all automata with the sums of their weights; at the end those below `least` are left out."""
-    whole = automata[0] if len(automata) == 1 else build(heapq.merge(*[a.items() for a in automata]))
-    return build((key, n) for key, n in whole.items() if n >= least) if least > 1 else whole
+    """All keys of all automata with the sums of their weights. States that a word leads to are walked together.
+
+    With `least`, keys with a smaller sum are left out, and so is all that begins with them: a key must weigh at least as much as any longer one.
+    """
+    builder = Builder()
+
+    def walk(states: list[tuple[list[int], list[dict[str, int]], int]], first: bool) -> int | None:
+        weight = 0
+        for weights, _, state in states:
+            weight += weights[state]
+        if 0 < weight < least:
+            return None
+        meeting: dict[str, list] = {}
+        for weights, arcs, state in states:
+            for word, to in arcs[state].items():
+                found = meeting.get(word)
+                if found is None:
+                    meeting[word] = [(weights, arcs, to)]
+                else:
+                    found.append((weights, arcs, to))
+        out = {}
+        for word in sorted(meeting):
+            number = walk(meeting[word], False)
+            if number is not None:
+                out[word] = number
+        if first:
+            builder.weights.append(weight)
+            builder.arcs.append(out)
+            return None
+        return builder._number(weight, out) if weight or out else None
+
+    walk([(a.weights, a.arcs, len(a.arcs) - 1) for a in automata], True)
+    return Automaton(builder.weights, builder.arcs)
 
 
 def compose(keys: Automaton, weights: Automaton) -> Automaton:

@@ -3,24 +3,25 @@
 Texts are lower-cased (A-Z), cut into pieces at punctuation and line breaks, and the pieces into words. Phrases have up to `longest`
 words and stay inside a piece; everything is counted per language.
 
-1. Bound. Words and word pairs are counted by 64-bit hashes (one count per shard, summed after a shuffle). Those that reach `least` set a bit
-   of a bitmap of bounded size. A phrase that reaches `least` has only such words and pairs, so windows without the bit can be passed
-   over. Hash and bitmap can only let too much through, never too little.
-2. Shards. The remaining windows of a shard (a bounded number of words) are counted exactly, sorted, and added in that order to a count
-   automaton: a word of the path per arc, the language first, the count at the state where the phrase ends.
-3. Ranges. Cut points between phrases (language and first two words) come from a bounded sample of keys and only balance the work. Each shard
-   automaton is cut at them, the parts of a range meet, are united and their weights summed; sums below `least` go.
+1. Bound. Word pairs, then runs of three words whose pairs passed, are counted by 64-bit hashes (one count per shard, summed after a shuffle).
+   Those that reach `least`, and the words that stand in such pairs, set bits in bitmaps of bounded size. A phrase that reaches `least`
+   has only such pairs and triples, so other windows can be passed over. Hash and bitmap can only let too much through, never too little.
+2. Shards. The remaining windows of a shard (a bounded number of words) are counted exactly, sorted, and added in that order to count
+   automata: a word of the path per arc, the language first, the count at the state where the phrase ends.
+3. Ranges. Cut points between phrases (language and first two words) come from a bounded sample of pairs and only balance the work. A shard
+   builds one automaton per range; those of a range meet, are united and their weights summed; sums below `least` go.
 4. Parts. A range knows the counts of the beginnings of its phrases that lie in it. What else it needs, it asks: the parts that another
    range holds are sent there as an automaton, composed with that range's counts, and come back with weights.
 5. Score of each cut, the weakest cut counts; phrases that nearly always stand inside a longer one go; the best of each language stay.
 
-Memory of a task: a shard of `shard_words` words, or the automata of one range. Nothing but cut points and the bitmap (at most
-2^28 bits) passes through the driver.
+Memory of a task: a shard of `shard_words` words, or the automata of one range. Nothing but cut points and the bitmaps (at most
+2^28 bits each) passes through the driver.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import groupby
@@ -31,16 +32,17 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditloom.llm.automata import Automaton, Builder, build, compose, union
+from creditloom.llm.automata import Automaton, build, compose, union
 from creditloom.llm.common import stored
 from creditloom.session import small_side
 
 LONGEST, LEAST, TOP = 5, 100, 2000
-SHARD_WORDS = 1 << 21
-RANGE_KEYS, MOST_CUTS = 50_000, 20_000
+SHARD_WORDS, CHUNK_BYTES = 1 << 21, 1 << 20
+RANGE_PAIRS, MOST_CUTS, SAMPLED = 100_000, 20_000, 64
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28
 UNITE_BYTES = 16 << 20
-_BREAK = b"\xff"  # never part of UTF-8 text
+_BREAK = 0xFF  # never part of UTF-8 text
+_GAP = re.compile(rb"[ \t\xff]")
 
 
 def _letters() -> bytes:
@@ -48,11 +50,27 @@ def _letters() -> bytes:
     for c in range(ord("A"), ord("Z") + 1):
         table[c] = c + 32
     for c in b".,;:!?\n\v\f\r":
-        table[c] = _BREAK[0]
+        table[c] = _BREAK
     return bytes(table)
 
 
 _LETTERS = _letters()
+_WORD_BYTE = np.array([c not in (32, 9, _BREAK) for c in range(256)])
+# A random number for each byte at each of 64 places; a word's hash is the sum over its bytes.
+_HASH_OF = np.random.default_rng(13).integers(0, 2**64, 64 * 256, np.uint64)
+_TURN, _TRIPLE, _MARK = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+
+
+def words_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte, end and hash of each word."""
+    inside = _WORD_BYTE[data]
+    edges = np.flatnonzero(np.diff(np.r_[False, inside, False]))
+    starts, ends = edges[::2], edges[1::2]
+    if not len(starts):
+        return starts, ends, np.zeros(0, np.uint64)
+    first = np.r_[0, np.cumsum(ends - starts)[:-1]]
+    place = np.arange(first[-1] + ends[-1] - starts[-1]) - np.repeat(first, ends - starts)
+    return starts, ends, np.add.reduceat(_HASH_OF[((place & 63) << 8) | data[inside]], first)
 
 
 class _Numbers(dict):
@@ -62,36 +80,64 @@ class _Numbers(dict):
 
 
 class Shard:
-    """Words of some documents as numbers, with a break (number 0) after every piece."""
+    """Words of some texts: where they stand, their hashes, the number of their piece and their language."""
 
     def __init__(self) -> None:
-        self.words, self.langs = _Numbers({_BREAK: 0}), _Numbers()
-        self.parts: list[np.ndarray] = []
-        self.lang_of: list[tuple[int, int]] = []
-        self.size = 0
-
-    def add(self, text: str | None, lang: str | None) -> None:
-        found = (text or "").encode().translate(_LETTERS).replace(_BREAK, b" \xff ").split()
-        found.append(_BREAK)
-        self.parts.append(np.fromiter(map(self.words.__getitem__, found), np.int32, len(found)))
-        self.lang_of.append((self.langs["und" if lang is None else lang], len(found)))
-        self.size += len(found)
-
-    def close(self) -> None:
-        self.tokens = np.concatenate(self.parts)
-        self.lang = np.repeat(np.array([a for a, _ in self.lang_of], np.int32), [n for _, n in self.lang_of])
-        self.parts, self.is_word = [], self.tokens != 0
-
-    def hashes(self) -> tuple[np.ndarray, np.ndarray]:
-        """64-bit hashes of the word and of the pair that begin at each token."""
-        word = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in self.words), np.uint64, len(self.words))[self.tokens]
-        lang = np.fromiter((xxhash.xxh3_64_intdigest(x.encode(), 1) for x in self.langs), np.uint64, len(self.langs))[self.lang]
+        self.langs = _Numbers()
+        self.waiting: list[bytes] = []
+        self.owners: list[tuple[int, int]] = []
+        self.bytes: list[bytes] = []
+        self.arrays: list[tuple] = []
+        self.length = self.pieces = self.size = self.held = 0
+
+    def add(self, part: bytes, lang: str) -> None:
+        self.waiting.append(part)
+        self.owners.append((self.langs[lang], len(part)))
+        self.held += len(part)
+        if self.held >= CHUNK_BYTES:
+            self.scan()
+
+    def scan(self) -> None:
+        joined = b"".join(self.waiting)
+        data = np.frombuffer(joined, np.uint8)
+        starts, ends, h = words_of(data)
+        breaks = np.cumsum(data == _BREAK)
+        owner = np.searchsorted(np.cumsum([n for _, n in self.owners]), starts, side="right")
+        lang = np.array([a for a, _ in self.owners], np.int32)[owner]
+        self.arrays.append((starts + self.length, ends + self.length, h, breaks[starts] + self.pieces, lang))
+        self.bytes.append(joined)
+        self.length, self.pieces, self.size = self.length + len(joined), self.pieces + int(breaks[-1]), self.size + len(starts)
+        self.waiting, self.owners, self.held = [], [], 0
+
+    def close(self) -> Shard:
+        if self.waiting:
+            self.scan()
+        self.starts, self.ends, self.word, piece, self.lang = (np.concatenate(a) for a in zip(*self.arrays, strict=True))
+        self.data, self.bytes, self.arrays = b"".join(self.bytes), [], []
+        names = np.fromiter((xxhash.xxh3_64_intdigest(x.encode()) for x in self.langs), np.uint64, len(self.langs))
+        with np.errstate(over="ignore"):
+            self.one = _mixed(self.word + names[self.lang])
+            self.two = _mixed(self.one + np.r_[self.word[1:], np.uint64(0)][:len(self.word)] * _TURN)
+        # Where a word and the next one stand in one piece.
+        self.paired = np.r_[piece[1:] == piece[:-1], False][:len(piece)]
+        return self
+
+    def triples(self, at: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return _mixed(self.two[at] * _TRIPLE + self.word[at + 2])
+
+    def marks(self) -> np.ndarray:
         with np.errstate(over="ignore"):
-            one = _mixed(word + lang)
-            return one, _mixed(one + np.r_[word[1:], np.uint64(0)] * np.uint64(0x9E3779B97F4A7C15))
+            return _mixed(self.one + _MARK)
 
-    def pairs(self) -> np.ndarray:
-        return self.is_word & np.r_[self.is_word[1:], False]
+    def pairs(self, bits: np.ndarray) -> np.ndarray:
+        """Where pairs begin that the bitmap lets through."""
+        out, at = np.zeros(len(self.word), bool), np.flatnonzero(self.paired)
+        out[at[_seen(self.two[at], bits)]] = True
+        return out
+
+    def text(self, at: int) -> str:
+        return self.data[self.starts[at]:self.ends[at]].decode()
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -101,37 +147,58 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def shards(batches: Iterator[pd.DataFrame], shard_words: int) -> Iterator[Shard]:
-    """Closed shards of at least `shard_words` words, but for the last one; a text is never cut."""
+    """Closed shards of about `shard_words` words. Long texts are taken in parts; a shard ends where a piece does."""
     shard = Shard()
     for batch in batches:
         for text, lang in zip(batch["text"], batch["lang"], strict=True):
-            shard.add(text, lang)
-            if shard.size >= shard_words:
-                shard.close()
-                yield shard
-                shard = Shard()
-    if shard.size:
-        shard.close()
-        yield shard
+            data, lang, start = (text or "").encode().translate(_LETTERS) + b"\xff", "und" if lang is None else lang, 0
+            while start < len(data):
+                gap = _GAP.search(data, start + CHUNK_BYTES) if len(data) - start > CHUNK_BYTES else None
+                stop = gap.end() if gap else len(data)
+                shard.add(data[start:stop], lang)
+                start = stop
+                if shard.size >= shard_words and data[stop - 1] == _BREAK:
+                    yield shard.close()
+                    shard = Shard()
+    if shard.size or shard.waiting:
+        yield shard.close()
+
+
+def _pair_counts(shard_words: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for shard in shards(batches, shard_words):
+            h, n = np.unique(shard.two[shard.paired], return_counts=True)
+            yield pd.DataFrame({"h": h.view(np.int64), "n": n})
+    return run
 
 
-def _hashed_counts(shard_words: int):
+_BOUNDS = "h bigint, n bigint, pair array<string>, lang string"
+
+
+def _triple_counts(bits, shard_words: int, longest: int, least: int):
+    """Rows of three kinds: hashes with counts (triples, and marked words as if they had reached `least`), sampled pairs, and words per language."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for shard in shards(batches, shard_words):
-            one, two = shard.hashes()
-            h, n = np.unique(np.concatenate([one[shard.is_word], two[shard.pairs()]]), return_counts=True)
-            yield pd.DataFrame({"h": h.view(np.int64), "n": n})
+            pair = shard.pairs(bits.value)
+            at = np.flatnonzero(pair[:-1] & pair[1:]) if longest > 2 else np.zeros(0, np.int64)
+            h, n = np.unique(shard.triples(at), return_counts=True)
+            marked = np.unique(shard.marks()[pair | np.r_[False, pair[:-1]]])
+            yield pd.DataFrame({"h": np.r_[h, marked].view(np.int64), "n": np.r_[n, np.full(len(marked), least)], "pair": None, "lang": None})
+            some = np.flatnonzero(pair & (shard.two < np.uint64(2**64 // SAMPLED)))
+            some = some[np.unique(shard.two[some], return_index=True)[1]].tolist()
+            names, words = list(shard.langs), np.bincount(shard.lang, minlength=len(shard.langs)).tolist()
+            yield pd.DataFrame({"h": [None] * (len(some) + len(names)), "n": [0] * len(some) + words,
+                                "pair": [[names[shard.lang[i]], shard.text(i), shard.text(i + 1)] for i in some] + [None] * len(names), "lang": [None] * len(some) + names})
     return run
 
 
-def bitmap(texts: DataFrame, least: int, shard_words: int) -> np.ndarray:
-    """Bits of the hashes of words and pairs that may reach `least`; the number of bits is a power of two.
+def bitmap(counts: DataFrame, least: int) -> np.ndarray:
+    """Bits of the hashes (h, n) that reach `least` in all; the number of bits is a power of two.
 
-    Counts are combined per shard, so a word that a third of the corpus consists of is one row per shard. The bitmap has 64 bits for every
+    Counts are combined per shard, so a pair that a third of the corpus consists of is one row per shard. The bitmap has 64 bits for every
     hash in it, between 2^20 and 2^28 bits; beyond that it lets more through, and nothing is lost.
     """
-    counts = texts.mapInPandas(_hashed_counts(shard_words), "h bigint, n bigint").repartition("h").groupBy("h").agg(F.sum("n").alias("n"))
-    frequent = stored(counts.where(F.col("n") >= least).select("h"), "phrase-hashes")
+    frequent = stored(counts.repartition("h").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h"), "phrase-hashes")
     bits = min(MOST_BITS, max(LEAST_BITS, 1 << math.ceil(math.log2(64 * frequent.count() + 1))))
     place = F.col("h").bitwiseAND(bits - 1)
     cells = frequent.groupBy(F.shiftright(place, 5).cast("int").alias("cell")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast((h & {bits - 1}) % 32 as int))")).alias("mask"))
@@ -146,21 +213,22 @@ def _seen(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return (bits[(place >> np.uint64(5)).astype(np.int64)] >> (place & np.uint64(31)).astype(np.uint32)) & 1 == 1
 
 
-def counted_windows(shard: Shard, bits: np.ndarray, longest: int) -> list[tuple[tuple[str, ...], int]]:
-    """The phrases of a shard that the bitmap lets through, with their counts, sorted; the language is the first word of a key."""
-    one, two = shard.hashes()
-    names, langs, tokens = [w.decode() if w != _BREAK else "" for w in shard.words], list(shard.langs), shard.tokens
-    width = len(names)
-    at = np.flatnonzero(shard.is_word)
-    at = at[_seen(one[at], bits)]
-    pair = np.zeros(len(tokens), bool)
-    starts = np.flatnonzero(shard.pairs())
-    pair[starts[_seen(two[starts], bits)]] = True
+def counted_windows(shard: Shard, pair_bits: np.ndarray, triple_bits: np.ndarray, longest: int) -> list[tuple[tuple[str, ...], int]]:
+    """The phrases of a shard that the bitmaps let through, with their counts, sorted; the language is the first word of a key."""
+    pair = shard.pairs(pair_bits)
+    triple, at = np.zeros(len(pair), bool), np.flatnonzero(pair[:-1] & pair[1:])
+    triple[at[_seen(shard.triples(at), triple_bits)]] = True
+    at = np.flatnonzero(_seen(shard.marks(), triple_bits))
+    # Words are told apart by their bytes; only those that stand in some pair need a number.
+    numbers, data = _Numbers({b"": 0}), shard.data
+    tokens = np.zeros(len(pair), np.int32)
+    tokens[at] = np.fromiter((numbers[data[a:z]] for a, z in zip(shard.starts[at].tolist(), shard.ends[at].tolist(), strict=True)), np.int32, len(at))
+    names, langs, width = [w.decode() for w in numbers], list(shard.langs), len(numbers)
     out, rank, key = [], np.full(len(tokens), -1, np.int64), shard.lang.astype(np.int64) * width + tokens
     for k in range(1, longest + 1):
         if k > 1:
             at = at[at + k - 1 < len(tokens)]
-            at = at[pair[at + k - 2]]
+            at = at[pair[at]] if k == 2 else at[triple[at + k - 3]]
             key = rank * width + np.r_[tokens[k - 1:], np.zeros(k - 1, np.int32)]
         if not len(at):
             break
@@ -174,49 +242,26 @@ def counted_windows(shard: Shard, bits: np.ndarray, longest: int) -> list[tuple[
     return out
 
 
-def _shard_automata(bits, longest: int, shard_words: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for shard in shards(batches, shard_words):
-            items = counted_windows(shard, bits.value, longest)
-            words = np.bincount(shard.lang[shard.is_word], minlength=len(shard.langs)).tolist()
-            yield pd.DataFrame({"automaton": [build(items).to_bytes()], "size": [len(items)], "sample": [[list(_place(k)) for k, _ in items[::64]]],
-                                "totals": [[{"lang": name, "n": n} for name, n in zip(shard.langs, words, strict=True)]]})
-    return run
-
-
-_SHARD = "automaton binary, size bigint, sample array<array<string>>, totals array<struct<lang:string,n:bigint>>"
-
-
 def _place(key: tuple[str, ...]) -> tuple[str, str, str]:
     """What decides the range of a key: language and first two words."""
     return key[0], key[1], key[2] if len(key) > 2 else ""
 
 
-def cut_points(automata: DataFrame, range_keys: int) -> list[tuple[str, str, str]]:
-    """Ends of ranges of about `range_keys` keys, from at most `MOST_CUTS` sampled keys."""
-    sample = automata.select(F.explode("sample").alias("k"))
-    keys = automata.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first()["n"]
-    found = sorted({tuple(r["k"]) for r in sample.orderBy(F.xxhash64("k"), "k").limit(MOST_CUTS).collect()})
-    ranges = min(len(found), -(-keys // range_keys))
+def cut_points(pairs: DataFrame, range_pairs: int) -> list[tuple[str, str, str]]:
+    """Ends of ranges in which shards have about `range_pairs` pairs, from at most `MOST_CUTS` of the sampled pairs."""
+    number = pairs.count() * SAMPLED
+    found = sorted({tuple(r["pair"]) for r in pairs.orderBy(F.xxhash64("pair"), "pair").limit(MOST_CUTS).collect()})
+    ranges = min(len(found), -(-number // range_pairs))
     return sorted({found[i * len(found) // ranges] for i in range(1, ranges)})
 
 
-def _cut(cuts: list[tuple[str, str, str]]):
-    """Shard automata to their parts by range."""
+def _shard_automata(pair_bits, triple_bits, longest: int, shard_words: int, cuts: list[tuple[str, str, str]]):
+    """One automaton per shard and range."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for data in batch["automaton"]:
-                rows, builder, current = [], None, -1
-                for key, n in Automaton.from_bytes(data).items():
-                    place = bisect_right(cuts, _place(key))
-                    if place != current:
-                        if builder:
-                            rows.append((current, builder.finish().to_bytes()))
-                        builder, current = Builder(), place
-                    builder.add(key, n)
-                if builder:
-                    rows.append((current, builder.finish().to_bytes()))
-                yield pd.DataFrame(rows, columns=["range", "automaton"])
+        for shard in shards(batches, shard_words):
+            items = counted_windows(shard, pair_bits.value, triple_bits.value, longest)
+            rows = [(place, build(some).to_bytes()) for place, some in groupby(items, key=lambda item: bisect_right(cuts, _place(item[0])))]
+            yield pd.DataFrame(rows, columns=["range", "automaton"])
     return run
 
 
@@ -287,14 +332,16 @@ def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, shard_words: int = SHARD_WORDS,
-           range_keys: int = RANGE_KEYS) -> tuple[DataFrame, DataFrame]:
+           range_pairs: int = RANGE_PAIRS) -> tuple[DataFrame, DataFrame]:
     """Phrases of two words or more that stand at least `least` times (lang, words, a, cuts), and the word totals (lang, n)."""
     texts = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(texts, least, shard_words))
-    automata = stored(texts.mapInPandas(_shard_automata(bits, longest, shard_words), _SHARD), "phrase-shards")
-    totals = automata.select(F.inline("totals")).groupBy("lang").agg(F.sum("n").alias("n"))
-    cuts = cut_points(automata, range_keys)
-    parts = automata.select("automaton").mapInPandas(_cut(cuts), "range int, automaton binary")
+    context = docs.sparkSession.sparkContext
+    pair_bits = context.broadcast(bitmap(texts.mapInPandas(_pair_counts(shard_words), "h bigint, n bigint"), least))
+    bounds = stored(texts.mapInPandas(_triple_counts(pair_bits, shard_words, longest, least), _BOUNDS), "phrase-bounds")
+    triple_bits = context.broadcast(bitmap(bounds.where("h is not null").select("h", "n"), least))
+    totals = bounds.where("lang is not null").groupBy("lang").agg(F.sum("n").alias("n"))
+    cuts = cut_points(bounds.where("pair is not null").select("pair"), range_pairs)
+    parts = texts.mapInPandas(_shard_automata(pair_bits, triple_bits, longest, shard_words, cuts), "range int, automaton binary")
     ranges = stored(parts.repartition("range").sortWithinPartitions("range").mapInPandas(_unite(least), "range int, automaton binary"), "phrase-ranges")
     row = "range int, source int, automaton binary"
     own = ranges.select("range", F.lit(-1).alias("source"), "automaton")
@@ -307,7 +354,7 @@ def counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, shard_wo
 
 
 def mine(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, top: int = TOP, inside: int = 100, shard_words: int = SHARD_WORDS,
-         range_keys: int = RANGE_KEYS) -> DataFrame:
+         range_pairs: int = RANGE_PAIRS) -> DataFrame:
     """(lang, rank, phrase, words, a, l, r, n, score): the best `top` phrases of each language by collocation score.
 
     With n words in all, a occurrences of the phrase and l and r of its parts, a cut scores floor(1000 a n / (l r)); the cut with the lowest
@@ -320,7 +367,7 @@ def mine(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, top: int =
     """
     if longest < 2 or least < 1:
         raise ValueError("phrases have two words or more and occur at least once")
-    found, totals = counts(docs, longest, least, shard_words, range_keys)
+    found, totals = counts(docs, longest, least, shard_words, range_pairs)
     found = stored(found.withColumn("phrase", F.array_join("words", " ")), "phrase-candidates")
     # The first cut's right part and the last cut's left part are the phrases one word shorter.
     shorter = found.where(F.size("words") > 2).select("lang", F.inline(F.array(

@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from creditloom.llm import automata, phrases
@@ -38,15 +39,15 @@ def invented(seed, docs, words="a b c d Ä é f G".split()):
 def test_phrases_match_brute_force(spark, seed, least, inside, longest):
     docs = invented(seed, 60)
     frame = spark.createDataFrame([(i, *d) for i, d in enumerate(docs)], "doc_id bigint, lang string, text string").repartition(5)
-    # Shards of about 90 words and ranges of 20 keys: phrases meet from many shards, parts come from other ranges.
-    got = phrases.mine(frame, longest, least, 15, inside, shard_words=90, range_keys=20).drop("words").collect()
+    # Shards of about 90 words and small ranges: phrases meet from many shards, parts come from other ranges.
+    got = phrases.mine(frame, longest, least, 15, inside, shard_words=90, range_pairs=200).drop("words").collect()
     assert {tuple(r) for r in got} == brute(docs, longest, least, 15, inside)
     assert len(got) == len({(r.lang, r.rank) for r in got})
 
 
 def test_table_phrases_match_brute_force(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    got = {tuple(r) for r in phrases.mine(docs, least=40, range_keys=30).drop("words").collect()}
+    got = {tuple(r) for r in phrases.mine(docs, least=40, range_pairs=300).drop("words").collect()}
     assert got == brute([(r.lang, r.text) for r in docs.collect()], 5, 40, 2000, 100) and len(got) > 20
 
 
@@ -57,6 +58,22 @@ def test_awkward_and_empty(spark, awkward, nothing):
     assert phrases.mine(nothing).count() == 0
 
 
+def test_long_texts_are_taken_in_parts(spark, monkeypatch):
+    import pandas as pd
+
+    texts = ["a b, c d " * 50 + "x" * 90 + " a b", "", None, "no marks at all in this one " * 30, "a b"]
+    batch = [pd.DataFrame({"text": texts, "lang": ["en", None, "en", "de", "en"]})]
+    whole = list(phrases.shards(iter(batch), 10**9))[0]
+    monkeypatch.setattr(phrases, "CHUNK_BYTES", 40)
+    parts = list(phrases.shards(iter(batch), 30))
+    assert len(parts) > 3
+    for name in ("word", "one"):
+        assert (np.concatenate([getattr(p, name) for p in parts]) == getattr(whole, name)).all()
+    pairs = [np.sort(np.concatenate([p.two[p.paired] for p in group])) for group in (parts, [whole])]
+    assert len(pairs[0]) == len(pairs[1]) and (pairs[0] == pairs[1]).all()
+    assert [whole.text(i) for i in range(4)] == ["a", "b", "c", "d"]
+
+
 def test_hot_word_and_long_text(spark):
     rows = spark.range(400).selectExpr("id as doc_id", "'en' as lang", "repeat('the end ', 500) as text")
     got = [tuple(r) for r in phrases.mine(rows, longest=3, shard_words=5000).drop("words").collect()]
@@ -81,7 +98,8 @@ def test_union_sums_and_composition_looks_up():
     whole = sum(sets, Counter())
     united = automata.union([automata.build(sorted(s.items())) for s in sets])
     assert dict(united.items()) == whole
-    assert dict(automata.union([united], 3).items()) == {k: n for k, n in whole.items() if n >= 3}
+    falling = {("a",): 9, ("a", "b"): 4, ("a", "b", "c"): 3, ("a", "c"): 2, ("b",): 2, ("c", "d"): 5}
+    assert dict(automata.union([automata.build(sorted(falling.items()))] * 2, 6).items()) == {("a",): 18, ("a", "b"): 8, ("a", "b", "c"): 6, ("c", "d"): 10}
     asked = {k: 1 for i, k in enumerate(sorted(whole)) if i % 3 == 0} | {("x",): 1, ("a", "x"): 1}
     found = automata.compose(automata.build(sorted(asked.items())), united)
     assert dict(found.items()) == {k: whole[k] for k in asked if k in whole}
