@@ -139,12 +139,13 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 600, decay:
 
 
 def sampled_features(docs: DataFrame, ids: DataFrame, rows: int) -> pd.DataFrame:
-    """Feature rows of the documents whose ids (doc_id, kind) are in a sample of at most `rows` rows."""
+    """Feature rows of the documents whose ids (doc_id, kind) are in a sample of at most `rows` rows; of documents that share an id, the one
+    with the smallest text, so that no more rows than ids come to the driver."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"kind": batch["kind"], "x": [features(t or "") for t in batch["text"]]})
 
-    chosen = docs.select("doc_id", "text").join(small_side(ids, rows), "doc_id").select("kind", "text")
+    chosen = docs.select("doc_id", "text").join(small_side(ids, rows), "doc_id").groupBy("doc_id", "kind").agg(F.min("text").alias("text")).select("kind", "text")
     return chosen.mapInPandas(run, "kind int, x array<double>").toPandas()
 
 

@@ -10,7 +10,9 @@ off is written anew. A snapshot folds committed batches into one and remembers t
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
+from functools import reduce
 from pathlib import Path
 
 import pandas as pd
@@ -20,6 +22,9 @@ from pyspark.sql import functions as F
 KEYS = ["source", "lang", "version"]
 # Fixed value: the split pattern of the byte-level vocabulary, as its publisher states it.
 GPT_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Fixed value: the characters that Unicode calls white space.
+BLANKS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+_LONG_BLANKS = re.compile(f"[{BLANKS}]{{1000,}}")
 DELTA_SCHEMA = "source string, lang string, version string, n_docs bigint, n_tokens bigint"
 
 
@@ -30,13 +35,14 @@ def word_tokens(text: Column) -> Column:
 def bpe_tokens(docs: DataFrame, ranks_path: str, added: str = "n_bpe", pattern: str = GPT_PATTERN, carried: list[str] | None = None) -> DataFrame:
     """(doc_id, source, lang, n_words, `carried` columns, `added`) with counts by a byte-pair vocabulary file (base64 token and rank per line).
 
-    Null texts have no tokens. A document goes to the encoder as a whole; the file is read once per Python worker.
+    Null texts have no tokens. Every document is counted whole, long runs of blanks included (see `count_tokens`); the file is read once per
+    Python worker.
     """
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoding = byte_pair_encoding(ranks_path, pattern)
+        encoding, one_piece = byte_pair_encoding(ranks_path, pattern), byte_pair_encoding(ranks_path, "(?s:.+)")
         for batch in batches:
             texts = batch.pop("text")
-            batch[added] = [0 if t is None else len(encoding.encode_ordinary(t)) for t in texts]
+            batch[added] = [0 if t is None else count_tokens(t, encoding, one_piece) for t in texts]
             yield batch
 
     narrow = docs.select("doc_id", "source", "lang", word_tokens(F.col("text")).alias("n_words"), *(carried or []), "text")
@@ -52,6 +58,20 @@ def byte_pair_encoding(ranks_path: str, pattern: str = GPT_PATTERN):
     return tiktoken.Encoding(Path(ranks_path).stem, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def count_tokens(text: str, encoding, one_piece) -> int:
+    """Tokens of a text by `encoding`, whose split pattern treats blanks as GPT_PATTERN does; `one_piece` encodes without splitting.
+
+    On a run of blanks the pattern goes back character by character, too deep for a run of a million. What it finds there is known: all
+    blanks but the last one are a piece, the last one begins the next piece; at the end of the text all of them are a piece.
+    """
+    n = start = 0
+    for run in _LONG_BLANKS.finditer(text):
+        stop = run.end() if run.end() == len(text) else run.end() - 1
+        n += len(encoding.encode_ordinary(text[start:run.start()])) + len(one_piece.encode_ordinary(text[run.start():stop]))
+        start = stop
+    return n + len(encoding.encode_ordinary(text[start:]))
+
+
 def inserts(rows: DataFrame, version: str, tokens: str) -> DataFrame:
     return rows.select("source", "lang", F.lit(version).alias("version"), F.lit(1).alias("sign"), F.col(tokens).alias("delta"))
 
@@ -68,7 +88,7 @@ class Rollup:
     """Totals kept in `root`, a folder that every executor reaches.
 
     Nulls in source or lang are groups of their own; a null count counts as 0. Repeated rows count each time: a feed
-    states what it means. A group whose documents and tokens are all taken away is not listed.
+    states what it means. A batch id has one writer at a time. A group whose documents and tokens are all taken away is not listed.
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
@@ -95,36 +115,45 @@ class Rollup:
         """Adds a batch; false, and no change, if its id is already in the totals."""
         if not batch or "/" in batch or "=" in batch:
             raise ValueError("a batch id is a plain file name")
-        if self.committed(batch) or batch in self._folded():
+        if self.committed(batch) or self._is_folded(batch):
             return False
         deltas = changes.groupBy(*KEYS).agg(F.sum("sign").cast("bigint").alias("n_docs"), F.coalesce(F.sum("delta"), F.lit(0)).cast("bigint").alias("n_tokens"))
         deltas.write.mode("overwrite").parquet(f"{self.root}/batch={batch}")
         return True
 
-    def _folded(self) -> set[str]:
-        folded = set()
-        for name in self.batches():
-            if name.startswith("snapshot-"):
-                folded.update(r["batch"] for r in self.spark.read.parquet(f"{self.root}/folded/{name}").collect())
-        return folded
+    def _snapshots(self) -> list[str]:
+        return [b for b in self.batches() if b.startswith("snapshot-")]
+
+    def _folded(self, snapshots: list[str]) -> DataFrame:
+        """Ids of the batches that the snapshots hold: (batch, snapshot)."""
+        if not snapshots:
+            return self.spark.createDataFrame([], "batch string, snapshot string")
+        parts = [self.spark.read.schema("batch string").parquet(f"{self.root}/folded/{s}").withColumn("snapshot", F.lit(s)) for s in snapshots]
+        return reduce(DataFrame.union, parts)
+
+    def _is_folded(self, batch: str) -> bool:
+        return not self._folded(self._snapshots()).where(F.col("batch") == batch).isEmpty()
 
     def compact(self, name: str) -> None:
         """Folds all batches into the snapshot `name`; their ids stay known, so a late retry still changes nothing."""
         names = [b for b in self.batches() if b != f"snapshot-{name}"]
         if not names or self.committed(f"snapshot-{name}"):
             return
-        ids = sorted({n for n in names if not n.startswith("snapshot-")} | self._folded())
-        self.spark.createDataFrame([(i,) for i in ids], "batch string").write.mode("overwrite").parquet(f"{self.root}/folded/snapshot-{name}")
+        fresh = self.spark.createDataFrame([(n,) for n in names if not n.startswith("snapshot-")], "batch string")
+        ids = fresh.union(self._folded(self._snapshots()).select("batch")).distinct()
+        ids.write.mode("overwrite").parquet(f"{self.root}/folded/snapshot-{name}")
         self.totals().write.mode("overwrite").parquet(f"{self.root}/batch=snapshot-{name}")
 
     def _live(self) -> list[str]:
-        names = self.batches()
-        snapshots = [n for n in names if n.startswith("snapshot-")]
+        """The largest snapshot and the batches that it doesn't hold; ids that it holds never come to the driver."""
+        names, snapshots = self.batches(), self._snapshots()
         if not snapshots:
             return names
-        known = {s: {r["batch"] for r in self.spark.read.parquet(f"{self.root}/folded/{s}").collect()} for s in snapshots}
-        last = max(snapshots, key=lambda s: (len(known[s]), s))
-        return [last, *[n for n in names if n not in snapshots and n not in known[last]]]
+        sizes = {r["snapshot"]: r["n"] for r in self._folded(snapshots).groupBy("snapshot").agg(F.count("*").alias("n")).collect()}
+        last = max(snapshots, key=lambda s: (sizes.get(s, 0), s))
+        present = self.spark.createDataFrame([(n,) for n in names if n not in snapshots], "batch string")
+        left = present.join(self._folded([last]), "batch", "left_anti").collect()
+        return [last, *sorted(r["batch"] for r in left)]
 
     def totals(self) -> DataFrame:
         """source, lang, version, n_docs, n_tokens over all committed batches."""
