@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from creditloom.session import scratch_path
+from creditloom.session import scratch_path, small_side
 
 A_TO_Z, A_TO_Z_SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -82,3 +82,33 @@ def ranked(rows: DataFrame, name: str, *order: Column) -> DataFrame:
     spark = rows.sparkSession
     return (sorted_rows.withColumn("_range", F.shiftright("_at", 33)).join(F.broadcast(spark.createDataFrame(starts, "_range bigint, _before bigint")), "_range")
             .withColumn(name, F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1).drop("_range", "_at", "_before"))
+
+
+def named_rows(df: DataFrame, name: str) -> DataFrame:
+    """`df` with `at`, a number for each row, written once: the numbers stay the same when tasks are repeated."""
+    return stored(df.withColumn("at", F.monotonically_increasing_id()), name)
+
+
+def told_apart(rows: DataFrame, seed: int) -> DataFrame:
+    """`rows` (at, and a, b: two hashes of a row's content) with a and b hashed anew; rows of equal content become different.
+
+    A row that stands alone is decided by its content, whatever its place. Copies add their number, so that they are dealt apart like any rows.
+    """
+    copies = small_side(rows.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b", F.lit(True).alias("copied")))
+    salt = F.when(F.col("copied"), F.col("at")).otherwise(-1)
+    return rows.join(copies, ["a", "b"], "left").withColumn("salt", salt).withColumn("a2", F.xxhash64(F.lit(seed), "a", "salt")).withColumn(
+        "b", F.xxhash64("b", "salt", F.lit(seed))).drop("a", "salt", "copied").withColumnRenamed("a2", "a")
+
+
+def sums_before(buckets: DataFrame, keys: list[str], bucket: str, value: str, digits: int) -> DataFrame:
+    """`buckets` with `before`: the sum of `value` over the smaller buckets (strings of `digits` digits) with the same keys.
+
+    In two steps, over beginnings of half the digits and inside each of them, so that no window holds more than 16^(digits/2) rows of a key.
+    """
+    half = F.substring(F.col(bucket), 1, digits // 2)
+    parts = buckets.withColumn("beginning", half)
+    upper = parts.groupBy(*keys, "beginning").agg(F.sum(value).alias("part_sum"))
+    upper = upper.withColumn("part_before", F.sum("part_sum").over(Window.partitionBy(*keys).orderBy("beginning")) - F.col("part_sum"))
+    inside = F.sum(value).over(Window.partitionBy(*keys, "beginning").orderBy(bucket)) - F.col(value)
+    return parts.withColumn("inside", inside).join(upper, [*keys, "beginning"]).withColumn("before", F.col("part_before") + F.col("inside")).drop(
+        "beginning", "part_sum", "part_before", "inside")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditloom.llm.common import digits16, packed, stored
+from creditloom.llm.common import digits16, named_rows, stored, sums_before, told_apart, unpacked
 
 HALVINGS_PER_JOB = 5
 
@@ -75,49 +75,44 @@ def quotas(totals: DataFrame, budget: int | None, max_repetition: float | None,
 
 
 def mix(docs: DataFrame, max_repetition: float | None = 2.0, target_entropy: float | None = None, budget: int | None = None,
-        seed: int = 7, block_units: int = 1_000_000, rows_per_bucket: int = 1_000) -> DataFrame:
+        seed: int = 7, block_units: int = 1_000_000, rows_per_bucket: int = 1_000, carried: list[str] | None = None) -> DataFrame:
     """One row per use of a document: its columns and `n_tokens`, `pass` (from 0), `block`, `position` (gapless in its block).
 
-    `docs` needs doc_id, text and source. Without a budget, the budget is the smallest that uses every document at least
-    once, so nothing is lost. Words stand for tokens. A null source is a source; null and empty texts count
-    one unit, so that they too are placed; equal rows are placed side by side. Input columns with the names of
-    added ones are replaced. An empty table gives an empty result.
+    `docs` needs doc_id, text and source; `carried` names the columns to keep (default: all). Without a budget, the budget is the smallest
+    that uses every document at least once, so nothing is lost. Words stand for tokens. A null source is a source; null and empty texts
+    count one unit, so that they too are placed; copies of a row are told apart and permuted like any rows. Draws move as numbers, and the
+    rows move once, at the end. Input columns with the names of added ones are replaced. An empty table gives an empty result.
     """
     if (max_repetition is None) == (target_entropy is None):
         raise ValueError("give either a repetition limit or a target entropy")
-    columns = docs.columns
-    text = F.col("row.text")
-    # One column each, so that those that the caller doesn't use never move.
-    carried = [F.col("row").getField(c).alias(f"in_{i}") for i, c in enumerate(columns)]
-    base = packed(docs).select(
-        *carried, F.col("row.source").alias("source"), word_count(text).alias("tokens"),
-        F.concat_ws("|", F.coalesce(F.col("row.doc_id").cast("string"), F.lit("")), F.md5(F.coalesce(text, F.lit("")))).alias("name"))
-    base = base.withColumn("units", F.greatest("tokens", F.lit(1)).cast("bigint"))
-    measured = stored(base.select("source", "name", "units"), "mix-units")
+    columns = docs.columns if carried is None else carried
+    row = F.struct(*[F.col(f"`{c}`").alias(c) for c in columns]) if columns else F.struct(F.lit(1).alias("none"))
+    text, doc_id = F.coalesce("text", F.lit("")), F.col("doc_id").cast("string")
+    whole = named_rows(docs.select(
+        row.alias("row"), F.col("source").alias("source"), word_count(F.col("text")).alias("tokens"),
+        F.xxhash64(doc_id, text, "source").alias("a"), F.xxhash64("source", text, doc_id).alias("b")), "mix-rows")
+    measured = told_apart(whole.select("at", "a", "b", "source", F.greatest("tokens", F.lit(1)).cast("bigint").alias("units")), seed)
+    measured = stored(measured.withColumn("name", F.concat(F.hex("a"), F.hex("b"))).drop("a", "b"), "mix-units")
     per_source = quotas(stored(source_totals(measured), "mix-totals"), budget, max_repetition, target_entropy)
     biggest = per_source.agg(F.max("n_docs").alias("n"), F.sum("quota").alias("q")).first()
     digits = digits16(biggest["n"] or 0, rows_per_bucket)
     blocks = max(1, -(-(biggest["q"] or 0) // block_units))
-    plan = per_source.select(F.col("source").alias("s"), F.col("units").alias("source_units"), "quota", "passes", "rest")
-
-    def uses(rows: DataFrame) -> DataFrame:
-        last = F.col("passes") - F.when(F.col("rest") > 0, 0).otherwise(1)
-        return (rows.join(plan, F.col("source").eqNullSafe(F.col("s"))).where("quota > 0")
-                .withColumn("pass", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-                .withColumn("draw", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("pass").cast("string"), "name")))
-                .withColumn("bucket", F.substring("draw", 1, digits)))
-
-    by_bucket = uses(measured).groupBy("s", "pass", "bucket").agg(F.sum("units").alias("bucket_units"))
-    before = by_bucket.select(F.col("s").alias("s2"), F.col("pass").alias("pass2"), F.col("bucket").alias("bucket2"), (
-        F.sum("bucket_units").over(Window.partitionBy("s", "pass").orderBy("bucket")) - F.col("bucket_units")).alias("before"))
-    inside = Window.partitionBy("s", "pass", "bucket").orderBy("draw", "name").rowsBetween(Window.unboundedPreceding, 0)
-    placed = (uses(base).withColumn("upto", F.sum("units").over(inside))
-              .join(before, F.col("s").eqNullSafe(F.col("s2")) & (F.col("pass") == F.col("pass2")) & (F.col("bucket") == F.col("bucket2")))
+    # `s` names a source and is never null.
+    plan = per_source.select("source", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("s"), F.col("units").alias("source_units"), "quota", "passes", "rest")
+    last = F.col("passes") - F.when(F.col("rest") > 0, 0).otherwise(1)
+    uses = (measured.join(plan.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).where("quota > 0")
+            .withColumn("pass", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+            .withColumn("draw", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("pass").cast("string"), "name")))
+            .withColumn("bucket", F.substring("draw", 1, digits)))
+    keys = ["s", "pass", "bucket"]
+    before = sums_before(uses.groupBy(*keys).agg(F.sum("units").alias("bucket_units")), ["s", "pass"], "bucket", "bucket_units", digits).select(*keys, "before")
+    inside = Window.partitionBy(*keys).orderBy("draw", "name").rowsBetween(Window.unboundedPreceding, 0)
+    placed = (uses.withColumn("upto", F.sum("units").over(inside)).join(before, keys)
               .withColumn("upto", F.col("before") + F.col("upto"))
               .where((F.col("pass") < F.col("passes")) | (F.col("upto") <= F.col("rest")))
               .withColumn("reached", F.col("pass") * F.col("source_units") + F.col("upto") - F.col("units"))
               .withColumn("block", F.least(F.expr(f"cast(reached as decimal(24, 0)) * {blocks} div quota"), F.lit(blocks - 1).cast("bigint"))))
     order = Window.partitionBy("block").orderBy(F.md5(F.concat_ws("|", F.col("block").cast("string"), "draw")), "draw", "name")
-    added = {"n_tokens": F.col("tokens"), "pass": F.col("pass").cast("int"), "block": F.col("block").cast("bigint"), "position": (F.row_number().over(order) - 1).cast("bigint")}
-    kept = [F.col(f"in_{i}").alias(c) for i, c in enumerate(columns) if c.lower() not in added]
-    return placed.select(*kept, *[value.alias(name) for name, value in added.items()])
+    places = placed.select("at", F.col("pass").cast("int").alias("pass"), F.col("block").cast("bigint").alias("block"), (F.row_number().over(order) - 1).cast("bigint").alias("position"))
+    found = whole.join(places.hint("shuffle_hash"), "at")
+    return unpacked(found, columns, n_tokens=F.col("tokens"), **{"pass": F.col("pass")}, block=F.col("block"), position=F.col("position"))

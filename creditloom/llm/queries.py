@@ -13,7 +13,7 @@ from creditloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-# Where the byte-pair vocabulary lies; executors read it there.
+# Where the byte-pair vocabulary lies if the session doesn't say so in `spark.creditloom.bpe.ranks`; executors read it there.
 BPE_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
@@ -53,7 +53,8 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     path = scratch_path(spark, "token-counts")
     estimate = F.floor(F.coalesce(F.octet_length("text"), F.lit(0)) / 6)
-    counted = tokens.bpe_tokens(docs.withColumn("estimate", estimate), BPE_RANKS, carried=["estimate"])
+    ranks = spark.conf.get("spark.creditloom.bpe.ranks", BPE_RANKS)
+    counted = tokens.bpe_tokens(docs.withColumn("estimate", estimate), ranks, carried=["estimate"])
     counted.write.parquet(path)
     rows = spark.read.parquet(path)
     rollup = tokens.Rollup(spark, scratch_path(spark, "token-totals"))
@@ -98,7 +99,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), max_repetition=2.0)
+    found = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), max_repetition=2.0, carried=["doc_id", "source"])
     return found.select("doc_id", "source", "n_tokens", "pass", "block", "position")
 
 

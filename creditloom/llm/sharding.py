@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditloom.llm.common import hashable, let, packed, unpacked
+from creditloom.llm.common import hashable, let, named_rows, packed, told_apart, unpacked
 from creditloom.session import small_side
 
 FAN = 32
@@ -114,30 +114,32 @@ def communication_matrix(sizes: DataFrame, shard_sizes: list[int], parts: int, s
 def shuffle_into_shards(docs: DataFrame, shards: int = 16, seed: int = 0, rows_per_part: int = 10_000) -> DataFrame:
     """`docs` with `shard` (0 to shards-1, sizes at most one apart) and `slot` (gapless from 0 in its shard).
 
-    Any columns and any nulls are allowed; the content of a row, never its place in a file, decides its draw, so
-    a lost executor's tasks repeat their results. Equal rows are interchangeable and each gets a slot of its own.
-    Input columns named `shard` or `slot` are replaced. An empty table gives an empty result.
+    Any columns and any nulls are allowed. The content of a row decides its draw, never its place in a file; only copies of a row are told
+    apart by a number that is written before the first draw, so they are dealt apart like any other rows, and a lost executor's tasks repeat
+    their results. Draws move as numbers; the rows themselves move once, at the end. Input columns named `shard` or `slot` are replaced. An
+    empty table gives an empty result.
     """
     if shards < 1:
         raise ValueError("shards must be at least 1")
     keys = [F.col("row").getField(c) for c in hashable(docs)]
-    total = docs.count()
+    content = packed(docs).select("row", F.xxhash64(F.lit(0), *keys).alias("a"), F.xxhash64(*keys, F.lit(0)).alias("b"))
+    whole = named_rows(content, "shard-rows")
+    total = whole.count()
     parts = max(1, math.ceil(total / rows_per_part))
     sizes = [total // shards + (s < total % shards) for s in range(shards)]
-    rows = packed(docs).select("row", F.xxhash64(F.lit(seed), *keys).alias("a"), F.xxhash64(*keys, F.lit(seed)).alias("b"))
-    rows = rows.withColumn("part", F.pmod("a", F.lit(parts)).cast("bigint"))
+    rows = told_apart(whole.select("at", "a", "b"), seed).withColumn("part", F.pmod("a", F.lit(parts)).cast("bigint"))
     counted = docs.sparkSession.range(parts).withColumnRenamed("id", "part").join(
         rows.groupBy("part").agg(F.count("*").alias("n")), "part", "left").select("part", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
     bounds = communication_matrix(counted, sizes, parts, seed).select("part", F.aggregate(
         "counts", F.array(F.lit(0).cast("bigint")), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n))).alias("bounds"))
-    local = rows.withColumn("at", F.row_number().over(Window.partitionBy("part").orderBy("a", "b")))
+    local = rows.withColumn("nth", F.row_number().over(Window.partitionBy("part").orderBy("a", "b")))
     dealt = (local.join(small_side(bounds), "part")
-             .withColumn("shard", F.size(F.filter("bounds", lambda b: b < F.col("at"))) - 1)
-             .select("row", "shard", F.xxhash64("b", "a", F.lit(seed)).alias("c"), "a", "b"))
+             .withColumn("shard", F.size(F.filter("bounds", lambda b: b < F.col("nth"))) - 1)
+             .select("at", "shard", F.xxhash64("b", "a", F.lit(seed)).alias("c"), "a", "b"))
     blocks = max(1, math.ceil(total / shards / rows_per_part))
     dealt = dealt.withColumn("block", F.pmod("c", F.lit(blocks)).cast("int"))
     per_block = dealt.groupBy("shard", "block").agg(F.count("*").alias("n"))
     before = per_block.select("shard", "block", (F.sum("n").over(Window.partitionBy("shard").orderBy("block")) - F.col("n")).alias("before"))
-    ranked = dealt.withColumn("at", F.row_number().over(Window.partitionBy("shard", "block").orderBy("c", "a", "b")))
-    return unpacked(ranked.join(small_side(before), ["shard", "block"]), docs.columns,
-                    shard=F.col("shard").cast("int"), slot=(F.col("before") + F.col("at") - 1).cast("bigint"))
+    ranked = dealt.withColumn("nth", F.row_number().over(Window.partitionBy("shard", "block").orderBy("c", "a", "b")))
+    places = ranked.join(small_side(before), ["shard", "block"]).select("at", F.col("shard").cast("int").alias("shard"), (F.col("before") + F.col("nth") - 1).cast("bigint").alias("slot"))
+    return unpacked(whole.join(places.hint("shuffle_hash"), "at"), docs.columns, shard=F.col("shard"), slot=F.col("slot"))

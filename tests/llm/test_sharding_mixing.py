@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from creditloom.llm import common as sharding_common
 from creditloom.llm import mixing, sharding
 
 
@@ -96,3 +97,38 @@ def test_entropy_target_and_budget(spark):
     assert abs(sum(r.quota for r in q.values()) - 1000) <= 2
     with pytest.raises(ValueError):
         mixing.quotas(frame, 5000, 2.0, None).collect()
+
+
+@pytest.mark.parametrize("rows_per_part", [200, 10_000])
+def test_doubled_rows_are_dealt_apart(spark, rows_per_part):
+    n = 6000
+    rows = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("same").alias("text"))
+    out = sharding.shuffle_into_shards(rows.union(rows), 16, rows_per_part=rows_per_part).collect()
+    by = defaultdict(list)
+    for r in out:
+        by[r.doc_id].append((r.shard, r.slot))
+    together = [v for v in by.values() if v[0][0] == v[1][0]]
+    assert len(by) == n and abs(len(together) - n / 16) < 3 * math.sqrt(n * 15 / 256)
+    assert sum(abs(v[0][1] - v[1][1]) == 1 for v in together) < 10
+
+
+def test_one_row_many_times_spreads(spark):
+    rows = spark.range(100_000).select(F.lit(7).cast("bigint").alias("doc_id"), F.lit("same").alias("text"), F.lit("a").alias("source"))
+    copies = sharding.told_apart(rows.select(F.xxhash64("doc_id").alias("a"), F.xxhash64("text").alias("b"), F.monotonically_increasing_id().alias("at")), 0)
+    parts = [r["count"] for r in copies.groupBy(F.pmod("a", F.lit(50))).count().collect()]
+    assert len(parts) == 50 and max(parts) < 2400
+    sizes = Counter(r.shard for r in sharding.shuffle_into_shards(rows, 16, rows_per_part=2000).select("shard").collect())
+    assert set(sizes.values()) == {6250}
+    blocks = mixing.mix(rows.limit(5000), block_units=100, rows_per_bucket=50).groupBy("block").count().collect()
+    assert len(blocks) == 50 and {r["count"] for r in blocks} == {100}
+
+
+def test_sums_in_two_steps(spark):
+    rows = [(k, f"{b:04x}", (b * 7 + len(k)) % 11) for k in ("x", "yy") for b in range(0, 65536, 97)]
+    found = {(r.k, r.bucket): r.before for r in sharding_common.sums_before(spark.createDataFrame(rows, "k string, bucket string, v bigint"), ["k"], "bucket", "v", 4).collect()}
+    for k in ("x", "yy"):
+        total = 0
+        for key, b, v in rows:
+            if key == k:
+                assert found[k, b] == total
+                total += v
