@@ -8,4 +8,4 @@ __all__ = ["ORACLES", "QUERIES", "load"]
 def load() -> None:
     """Import every module that registers queries."""
     from creditloom.catalog import (  # noqa: F401
-        cleaning, evaluation, explanation, features, modelling, population, storage)
+        cleaning, evaluation, explanation, features, modelling, population, storage, streams, trees)

@@ -16,9 +16,11 @@ from creditloom.operators import metrics as M
 from creditloom.operators import models as L
 from creditloom.operators import runs as R
 from creditloom.operators import selection as S
+from creditloom.operators.boosting import routed_trees
 from creditloom.operators.neighbours import nearest_neighbours
 from creditloom.operators.profiling import missing_pct
 from creditloom.operators.resampling import smote, synthetic_minority
+from creditloom.operators.search import Study
 from creditloom.operators.splitting import stratified_folds
 from creditloom.session import scratch_path
 from creditloom.sources import starschema as star
@@ -82,16 +84,17 @@ def feature_elbow(spark, sf):
 
 @query("parameter_search")
 def parameter_search(spark, sf):
+    """Six trials: random ones first, then by the density ratio."""
     df = L.with_balanced_weight(training(spark, sf), "TARGET")
-    return S.search(df, INPUTS, "TARGET", "fold", 3, lambda f, p: L.logistic(f, weight="weight", c=p["c"], l1_ratio=p["l1_ratio"], max_iter=10),
-                    S.trials(S.LOGISTIC_SPACE, 3), extra=["weight"])
+    return S.model_search(df, INPUTS, "TARGET", "fold", 3, lambda f, p, share: L.logistic(f, weight="weight", c=p["c"], l1_ratio=p["l1_ratio"], max_iter=20),
+                          Study(S.LOGISTIC_SPACE, startup=4), 6, extra=["weight"]).drop("state", "history")
 
 
 @query("tree_search")
 def tree_search(spark, sf):
-    """Every parameter of the tree space is drawn; rounds and depth are then kept low."""
-    drawn = [{**t, "max_iter": 3, "max_depth": 3} for t in S.trials(S.TREE_SPACE, 2)]
-    return S.search(training(spark, sf), INPUTS, "TARGET", "fold", 3, lambda f, p: L.trees_of(f, p, mark_nulls=True), drawn)
+    """Trees that route NULL, every parameter as drawn; a trial first runs a fifth of its rounds and goes on if it is among the better half."""
+    return S.model_search(training(spark, sf), INPUTS, "TARGET", "fold", 3,
+                          lambda f, p, share: routed_trees(f, {**p, "max_iter": max(1, round(share * p["max_iter"]))}), Study(S.TREE_SPACE, startup=3), 4, (0.2, 1.0), 2.0)
 
 
 @query("fitted_sweep", V.using("folded", """

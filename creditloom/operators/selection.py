@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from creditloom.functions import gain as G
 from creditloom.operators.metrics import confusion, roc_auc, score_totals, threshold_sweep, with_metrics
 from creditloom.operators.models import cross_validate
+from creditloom.operators.search import Study, run
 
 @contextmanager
 def kept(df: DataFrame, features: Sequence[str], label: str, fold: str, key: str, extra: Sequence[str]) -> Iterator[DataFrame]:
@@ -130,6 +131,27 @@ def search(df: DataFrame, features: Sequence[str], label: str, fold: str, k: int
     return df.sparkSession.createDataFrame(rows, "trial int, params map<string,double>, business_gain double, auc double")
 
 
+def model_search(df: DataFrame, features: Sequence[str], label: str, fold: str, k: int, make: Callable[[Sequence[str], Mapping[str, float], float], Pipeline],
+                 study: Study, n: int, rungs: Sequence[float] = (1.0,), reduction: float = 3.0, gains: Mapping[str, float] = G.UNIT_GAINS,
+                 key: str = "SK_ID_CURR", extra: Sequence[str] = (), **kw) -> DataFrame:
+    """(trial, params, state, business_gain, auc, history): a search of `n` trials by `search.Study` over mean cross-validated gains.
+
+    `make(features, params, share)` builds the model for a share of the full budget, such as rounds; a stopped trial keeps the scores of its last rung.
+    """
+    aucs: list[float] = []
+    with kept(df, features, label, fold, key, extra) as data:
+        def measure(params: Mapping[str, float], share: float) -> float:
+            cv = cross_validate(data, features, label, fold, k, lambda f: make(f, params, share), key, extra, cached=True, **kw)
+            gain, auc = cv.metrics(label, params.get("threshold", 0.5), gains).agg(F.avg("business_gain"), F.avg("auc")).first()
+            cv.release()
+            aucs[len(study.trials):] = [auc]
+            return gain
+
+        run(study, measure, n, rungs, reduction)
+    rows = [(i, t["params"], t["state"], t["value"], a, t["history"]) for i, (t, a) in enumerate(zip(study.trials, aucs, strict=True))]
+    return df.sparkSession.createDataFrame(rows, "trial int, params map<string,double>, state string, business_gain double, auc double, history array<double>")
+
+
 def best_trial(results: DataFrame) -> DataFrame:
     """The trial of greatest gain, the first on a tie."""
     return results.agg(F.max_by(F.struct("trial", "params", "business_gain", "auc"),

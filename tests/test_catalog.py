@@ -20,7 +20,7 @@ def test_contract(spark):
     assert set(oracles) <= set(queries) and len(queries) >= 120
     # The text operators come with their subpackage, and only with it.
     present = importlib.util.find_spec("creditloom.llm") is not None and importlib.util.find_spec("corpus_pipeline") is not None
-    assert sum(bool(re.search(r"^pipeline$|^op\d", n)) for n in queries) == (11 if present else 0)
+    assert sum(bool(re.search(r"^pipeline$|^op\d", n)) for n in queries) == (14 if present else 0)
     out = entry_module.entry(spark)
     assert out.columns[0] == "SK_ID_CURR" and out.count() > 0
 
