@@ -6,18 +6,23 @@ sets of word bigrams A and B; their likeness is 2|A n B| / (|A| + |B|). It can r
 so a template is compared only with units inside its size bounds.
 
 Runs are anchored: one begins at every bigram that the template has, is as long as the template and ends at its last bigram of
-the template. It is compared only if t/(2-t) |B| bigrams of the template lie in it, and, where it overlaps a run already
-found for the template, only if enough of them do to be better; the better one stays.
+the template; of overlapping ones the better stays. How many different bigrams of the template lie in each run is known from one
+sort: a place counts for the runs that begin after the same bigram's place before it. Runs with fewer than t/(2-t) |B| are passed over,
+and where one is found, the others that overlap it are compared in order of their bigrams, until none can be better.
+
+A template is looked at only if the whole text has t/(2-t) |B| of its bigrams, so ordinary text costs one look per bigram, whatever its length.
 
 The scan is a projection: no shuffle, no Python, and a hot source or a group of copies costs what its rows cost.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from pathlib import Path
 
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,6 +91,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     """
     names = sorted(templates := TEMPLATES if templates is None else templates)
     parts = {name: template_bigrams(templates[name]) for name in names}
+    sets = {name: set(values) for name, values in parts.items()}
     names = [name for name in names if parts[name]]
     columns = docs.columns
     if not names:
@@ -94,14 +100,19 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
                                F.lit(len(normalised_words(templates[name])) - 1).alias("length"), F.lit(low).alias("low"), F.lit(high).alias("high"))
                       for k, name in enumerate(names) for low, high in [size_bounds(len(parts[name]), threshold)]])
 
-    def one_of(values: list[str]) -> str:
-        # Bigrams hold only letters, digits and a space. Written as SQL, since thousands of literal columns are slow to build.
-        return "x IN ('" + "', '".join(values) + "')"
+    # Template bigrams with their numbers and the templates that have them, in buckets by hash: one step to look a bigram up. A bucket
+    # is a text that Spark reads once, since thousands of literal columns are slow to build.
+    bigrams = sorted({b for name in names for b in parts[name]})
+    buckets: list[list] = [[] for _ in range(1 << max(4, len(bigrams).bit_length()))]
+    for number, bigram in enumerate(bigrams):
+        buckets[xxhash.xxh64_intdigest(bigram.encode(), 42) % len(buckets)].append(
+            {"x": bigram, "b": number, "ids": [k for k, name in enumerate(names) if bigram in sets[name]]})
+    looked_up = F.from_json(F.lit(json.dumps(buckets)), "array<array<struct<x:string,b:int,ids:array<int>>>>")
+    templates_of = F.from_json(F.lit(json.dumps([[k for k, name in enumerate(names) if bigram in sets[name]] for bigram in bigrams])), "array<array<int>>")
 
-    # At each bigram of the text that a template has: its place, itself and the numbers of the templates.
-    ids = ", ".join(f"IF({one_of(parts[name])}, {k}, NULL)" for k, name in enumerate(names))
-    marks = f"""transform(grams, (x, i) -> IF({one_of(sorted({b for name in names for b in parts[name]}))},
-                named_struct('at', i, 'b', x, 'ids', array_compact(array({ids}))), NULL))"""
+    def mark(x: Column, at: Column) -> Column:
+        bucket = F.get(looked_up, F.pmod(F.xxhash64(x), F.lit(len(buckets))).cast("int"))
+        return let(F.get(F.filter(bucket, lambda e: e["x"] == x), F.lit(0)), lambda e: F.when(e.isNotNull(), F.struct(at.alias("at"), e["b"].alias("b"), e["ids"].alias("ids"))))
 
     def common(hits: Column) -> Column:
         return F.size(F.array_distinct(F.transform(hits, lambda h: h["b"])))
@@ -117,10 +128,10 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
         # The order of names breaks ties, since a later one must be strictly better.
         return F.aggregate(found, F.get(found, F.lit(0)), lambda a, x: F.when(x["dice"] > a["dice"], x).otherwise(a))
 
-    def in_unit(unit: Column, word: Column, n_words: Column, grams: Column, marks: Column) -> Column:
+    def in_unit(unit: Column, word: Column, n_words: Column, grams: Column, marks: Column, likely: Column) -> Column:
         """The best match of a line or the whole text, null without one."""
         def compared(size: Column, hits: Column) -> Column:
-            near = F.filter(facts, lambda t: size.between(t["low"], t["high"]))
+            near = F.filter(likely, lambda t: size.between(t["low"], t["high"]))
             return first_best(F.filter(F.transform(near, lambda t: let(of(hits, t), lambda h: match(unit, t, common(h), size, word, n_words))),
                                        lambda m: m["dice"] >= threshold))
 
@@ -130,23 +141,60 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
 
     def runs(t: Column, hits: Column, grams: Column) -> Column:
         """The runs of words that are like template `t`; `hits` are its bigrams in the text."""
-        def run(place: Column) -> Column:
-            first = F.get(hits, place)["at"]
-            inside = F.filter(F.slice(hits, place + 1, t["length"]), lambda h: h["at"] < first + t["length"])
-            return let(inside, lambda h: let(F.element_at(h, -1)["at"] - first + 1, lambda n: match(
-                F.lit(-2), t, common(h), F.size(F.array_distinct(F.slice(grams, first + 1, n))), first, n + 1)))
-
-        def step(found: Column, place: Column) -> Column:
-            last, first = F.get(found, F.size(found) - 1), F.get(hits, place)["at"]
-            met = F.coalesce(last["word"] + last["n_words"] - 1 > first, F.lit(False))
-            better = F.floor(last["dice"] * t["size"] / (2 - last["dice"]) - 1e-6) + 1
-            least = F.when(met, F.greatest(better, t["low"])).otherwise(t["low"]).cast("int")
-            reach = F.get(hits, place + least - 1)["at"]
-            return F.when(F.coalesce(reach < first + t["length"], F.lit(False)), let(run(place), lambda r: F.when(r["dice"] < threshold, found).when(
-                ~met, F.concat(found, F.array(r))).when(r["dice"] > last["dice"], F.concat(F.slice(found, 1, F.size(found) - 1), F.array(r))).otherwise(found))
-            ).otherwise(found)
-
-        return F.when(F.size(hits) >= t["low"], F.aggregate(F.sequence(F.lit(0), F.size(hits) - 1), none, step)).otherwise(none)
+        # A hit is the first of its bigram in the runs that begin after `s`, the place before it or a template's length back.
+        by_bigram = F.array_sort(F.transform(hits, lambda h: F.struct(h["b"].alias("b"), h["at"].alias("at"))))
+
+        def opened(by: Column) -> Column:
+            def first_start(h: Column, i: Column) -> Column:
+                before = F.get(by, i - 1)
+                return F.greatest(F.when(before["b"] == h["b"], before["at"]).otherwise(-1), h["at"] - t["length"]) + 1
+            return F.transform(by, lambda h, i: F.struct(first_start(h, i).alias("p"), F.lit(0).alias("kind"), F.lit(0).alias("i")))
+
+        # Sorted together, a run's place in line tells how many hits are open at it, less those that it has behind it.
+        line = F.array_sort(F.concat(let(by_bigram, opened), F.transform(hits, lambda h, i: F.struct(h["at"].alias("p"), F.lit(1).alias("kind"), i.alias("i")))))
+        starts = F.filter(F.transform(line, lambda x, k: F.struct((2 * x["i"] - k).alias("minus"), x["p"].alias("p"), x["i"].alias("i"), x["kind"].alias("kind"))),
+                          lambda x: (x["kind"] == 1) & (-x["minus"] >= t["low"]))
+        # In the same way, how many hits lie before a run's furthest end.
+        stops = F.array_sort(F.concat(F.transform(hits, lambda h, i: F.struct((h["at"] + t["length"]).alias("p"), F.lit(0).alias("kind"), i.alias("i"))),
+                                      F.transform(hits, lambda h, i: F.struct(h["at"].alias("p"), F.lit(1).alias("kind"), i.alias("i")))))
+        reach = F.filter(F.transform(stops, lambda x, k: F.when(x["kind"] == 0, k - x["i"])), lambda n: n.isNotNull())
+        starts = let(reach, lambda r: F.transform(starts, lambda x: F.struct(x["minus"].alias("minus"), x["p"].alias("p"), x["i"].alias("i"), F.get(hits, F.get(r, x["i"]) - 1)["at"].alias("end"))))
+
+        def bound(x: Column) -> Column:
+            """The likeness of a run if all its bigrams are the template's."""
+            return F.round(-2.0 * x["minus"] / (t["size"] - x["minus"]), 9)
+
+        def run(x: Column) -> Column:
+            return let(x["end"] - x["p"] + 1, lambda n: match(
+                F.lit(-2), t, -x["minus"], F.size(F.array_distinct(F.slice(grams, x["p"] + 1, n))), x["p"], n + 1))
+
+        def better(r: Column, all_starts: Column) -> Column:
+            """Number of the best run that overlaps `r` and is better, the first of equal ones; -1 if there is none."""
+            pool = F.array_sort(F.filter(all_starts, lambda x: (x["p"] > r["word"]) & (x["p"] < r["word"] + r["n_words"] - 1) & (bound(x) > r["dice"])))
+
+            def look(best: Column, x: Column) -> Column:
+                def compared(q: Column) -> Column:
+                    wins = (q["dice"] > best["dice"]) | ((q["dice"] == best["dice"]) & (x["p"] < best["p"]))
+                    return F.when(wins, F.struct(q["dice"].alias("dice"), x["p"].alias("p"), x["i"].alias("i"))).otherwise(best)
+                return F.when((bound(x) > best["dice"]) | ((bound(x) == best["dice"]) & (x["p"] < best["p"])), let(run(x), compared)).otherwise(best)
+
+            return F.aggregate(pool, F.struct(r["dice"].alias("dice"), F.lit(-1).alias("p"), F.lit(-1).alias("i")), look)["i"]
+
+        def found_in(all_starts: Column) -> Column:
+            def step(state: Column, x: Column) -> Column:
+                found = state["found"]
+                last = F.get(found, F.size(found) - 1)
+                met = F.coalesce(last["word"] + last["n_words"] - 1 > x["p"], F.lit(False))
+
+                def taken(r: Column, kept_before: Column) -> Column:
+                    return F.struct(F.concat(kept_before, F.array(r)).alias("found"), better(r, all_starts).alias("next"))
+
+                return F.when(met & (state["next"] != x["i"]), state).otherwise(let(run(x), lambda r: F.when(met, taken(r, F.slice(found, 1, F.size(found) - 1))).when(
+                    r["dice"] >= threshold, taken(r, found)).otherwise(state)))
+
+            return F.aggregate(all_starts, F.struct(none.alias("found"), F.lit(-1).alias("next")), step)["found"]
+
+        return F.when(F.size(hits) >= t["low"], let(starts, found_in)).otherwise(none)
 
     none = F.array().cast("array<struct<unit:int,licence:string,dice:double,word:int,n_words:int,common:int>>")
 
@@ -170,13 +218,26 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
             result = F.when(key(a, field) < key(b, field), -sign).when(key(a, field) > key(b, field), sign).otherwise(result)
         return result
 
-    def scanned(counts: Column, grams: Column, marks: Column) -> Column:
+    def first_words(counts: Column) -> Column:
+        """Number of the first word of each line: sums before it, block by block, so that no array grows line by line."""
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(counts) - 1) / 256).cast("int")), lambda i: F.slice(counts, i * 256 + 1, 256))
+        inner = F.transform(blocks, lambda block: F.aggregate(block, F.array(F.lit(0)), lambda s, c: F.concat(s, F.array(F.element_at(s, -1) + c))))
+        return let(inner, lambda parts: let(
+            F.aggregate(parts, F.array(F.lit(0)), lambda s, p: F.concat(s, F.array(F.element_at(s, -1) + F.element_at(p, -1)))),
+            lambda before: F.flatten(F.transform(parts, lambda p, i: F.transform(F.slice(p, 1, F.size(p) - 1), lambda x: x + F.get(before, i))))))
+
+    def likely_templates(marks: Column) -> Column:
+        """Templates that have enough bigrams in the whole text."""
+        # Numbers only: structs would be told apart pair by pair.
+        kinds = F.array_distinct(F.transform(F.filter(marks, lambda h: h.isNotNull()), lambda h: h["b"]))
+        return let(F.flatten(F.transform(kinds, lambda b: F.get(templates_of, b))), lambda ids: F.filter(facts, lambda t: F.size(F.filter(ids, lambda k: k == t["id"])) >= t["low"]))
+
+    def scanned(counts: Column, grams: Column, marks: Column, likely: Column) -> Column:
         n_words = F.aggregate(counts, F.lit(0), lambda n, c: n + c)
-        starts = F.aggregate(counts, F.array(F.lit(0)), lambda s, c: F.concat(s, F.array(F.element_at(s, -1) + c)))
-        lines = let(starts, lambda s: F.transform(counts, lambda c, i: in_unit(i, F.get(s, i), c, grams, marks)))
-        whole = F.when(F.size(counts) > 1, let(n_words, lambda n: in_unit(F.lit(-1), F.lit(0), n, grams, marks)))
+        lines = let(first_words(counts), lambda s: F.transform(counts, lambda c, i: in_unit(i, F.get(s, i), c, grams, marks, likely)))
+        whole = F.when(F.size(counts) > 1, let(n_words, lambda n: in_unit(F.lit(-1), F.lit(0), n, grams, marks, likely)))
         fixed = F.filter(F.concat(lines, F.array(whole)), lambda m: m.isNotNull())
-        found = let(F.filter(marks, lambda h: h.isNotNull()), lambda hits: F.flatten(F.transform(facts, lambda t: let(of(hits, t), lambda h: runs(t, h, grams)))))
+        found = let(F.filter(marks, lambda h: h.isNotNull()), lambda hits: F.flatten(F.transform(likely, lambda t: let(of(hits, t), lambda h: runs(t, h, grams)))))
         return let(fixed, lambda f: let(found, lambda r: F.when(F.size(r) > 0, kept(f, r)).otherwise(f)))
 
     # Line breaks stay, everything else between words becomes one space.
@@ -185,9 +246,9 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     words = F.split(F.array_join(F.filter("lines", lambda x: x != ""), " "), " ")
     grams = let(words, lambda w: F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w)), lambda a, b: F.concat_ws(" ", a, b)))
     counted = lines.select("row", F.transform("lines", lambda x: F.when(x == "", 0).otherwise(F.size(F.split(x, " ")))).alias("counts"), grams.alias("grams"))
-    marked = counted.select("row", "counts", "grams", F.expr(marks).alias("marks"))
-    known = F.exists("marks", lambda h: h.isNotNull())
-    found = F.when(known, let(F.col("counts"), lambda c: let(F.col("grams"), lambda g: let(F.col("marks"), lambda m: scanned(c, g, m))))).otherwise(none)
+    marked = counted.select("row", "counts", "grams", F.transform("grams", mark).alias("marks")).select("*", likely_templates(F.col("marks")).alias("likely"))
+    found = F.when(F.size("likely") > 0, let(F.col("counts"), lambda c: let(F.col("grams"), lambda g: let(F.col("marks"), lambda m: let(
+        F.col("likely"), lambda k: scanned(c, g, m, k)))))).otherwise(none)
     whole = F.when((F.size("counts") > 1) & (F.size("grams") > 0), 1).otherwise(0)
     result = marked.select("row", (F.size(F.filter("counts", lambda c: c > 1)) + whole).alias("n_units"), found.alias("found"))
     top = F.get(F.array_sort("found", lambda a, b: ordered(a, b, ("dice", -1), ("rank", 1), ("word", 1))), F.lit(0))

@@ -81,3 +81,25 @@ def test_whole_texts_and_headers_are_found(spark):
     assert rows == {2 * i + k: name for i, name in enumerate(whole) for k in (0, 1)}
     words = {n: " ".join(licences.normalised_words(T[n])) for n in ("mit-whole", "isc-whole")}
     assert "without warranty of any kind" in words["mit-whole"] and "disclaim all warranties" in words["isc-whole"]
+
+
+def seconds(spark, text):
+    import time
+
+    frame = spark.createDataFrame([(1, text)], "doc_id bigint, text string").coalesce(1)
+    scanned = licences.scan(frame)
+    started = time.time()
+    rows = scanned.collect()
+    return rows[0], time.time() - started
+
+
+def test_long_texts_take_linear_time(spark):
+    seconds(spark, "warm up")
+    rng = random.Random(1)
+    pairs = "to the of the in the and the you may the work any person terms and conditions".split()
+    row, took = seconds(spark, " ".join(rng.choice(pairs) for _ in range(70_000)))
+    assert row.licence is None and took < 5
+    row, took = seconds(spark, "\n".join([T["gpl-3.0-text"]] * 8))
+    assert [m.licence for m in row.matches if m.unit == -2].count("gpl-3.0-text") == 8 and took < 5
+    row, took = seconds(spark, "word\n" * 100_000 + T["mit"])
+    assert row.licence == "mit" and row.unit == 100_000 and took < 5
