@@ -13,9 +13,10 @@ that can be equal:
 2. Rows of an anchor come sorted. A unit equal to an earlier one repeats as a whole. An anchor with only one kind of unit
    has nothing else; where there are several kinds, the first unit of each needs its bytes compared. Copies inside a
    task are settled before the shuffle, so a hot passage costs a row per task.
-3. The bytes of those units are sorted in suffix order, anchor by anchor, cut at LENGTH, and previous and next smaller positions
-   give LPF. An anchor with more than GROUP units is not gathered: its windows move one by one under their own hash, again after the
-   copies inside a task are settled, and are read as a sorted stream.
+3. The bytes of those units are sorted in suffix order, anchor by anchor, cut at LENGTH; common prefixes of neighbours and previous and next
+   smaller positions give LPF, cut at LENGTH. An anchor with more than GROUP units is not gathered in one task: its windows move one by one
+   under their own hash, again after the copies inside a task are settled, and equal ones, byte by byte, meet there. LENGTH bytes
+   are all that a window has, so an equal earlier one is its previous factor. Which way is taken changes memory, not the result.
 4. The spans meet their documents, and the bytes outside them are kept.
 """
 
@@ -185,7 +186,7 @@ _SUFFIXES = "h bigint, doc bigint, start bigint, n int, data binary"
 
 
 def _emit_suffixes(length: int):
-    """Bytes of the units to compare. `hot` units are cut to windows, each under its own hash, with a second hash as its bytes."""
+    """Bytes of the units to compare. `hot` units are cut to windows, each under its own hash."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows, hot = [], []
@@ -203,35 +204,50 @@ def _emit_suffixes(length: int):
                     prefix = prefix or Prefix(data)
                     starts = np.arange(start, start + count)
                     one = prefix.of(starts, starts + length)
-                    two = prefix.of(starts + 1, starts + length // 2) ^ _mixed(prefix.of(starts, starts + length // 3))
-                    hot.append((one.view(np.int64), two.view(np.int64), np.full(count, doc, np.int64), starts))
+                    windows = np.lib.stride_tricks.sliding_window_view(data, length)[start:start + count]
+                    hot.append((one.view(np.int64), windows, np.full(count, doc, np.int64), starts))
             if rows:
                 yield pd.DataFrame(rows, columns=["h", "doc", "start", "n", "data"]).astype({"h": "int64", "doc": "int64", "start": "int64", "n": "int32"})
             if hot:
-                one, two, doc, start = (np.concatenate(x) for x in zip(*hot, strict=True))
-                order, again = _settle((one, two), doc, start)
+                one, windows, doc, start = (np.concatenate(x) for x in zip(*hot, strict=True))
+                order, again = _settle((one,), doc, start)
+                # Equal hashes are equal windows only if their bytes are.
+                again[1:] &= (windows[order[1:]] == windows[order[:-1]]).all(axis=1)
                 kept = order[~again]
-                yield pd.DataFrame({"h": one[kept], "doc": doc[kept], "start": start[kept], "n": np.int32(0), "data": [x.tobytes() for x in two[kept]]})
+                yield pd.DataFrame({"h": one[kept], "doc": doc[kept], "start": start[kept], "n": np.int32(0), "data": [x.tobytes() for x in windows[kept]]})
                 if again.any():
                     d, s, e = merged(doc[order[again]], start[order[again]], start[order[again]] + length)
                     yield pd.DataFrame({"h": _mixed(d.view(np.uint64)).view(np.int64), "doc": d, "start": s, "n": (s - e).astype(np.int32), "data": [b""] * len(d)})
     return run
 
 
-def previous_factors(suffixes: np.ndarray, place: np.ndarray, length: int) -> np.ndarray:
-    """Which suffixes, given by their first `length` bytes (rows), have LPF >= length; `place` orders them in the corpus.
+def common_prefixes(rows: np.ndarray, lead: int) -> np.ndarray:
+    """Of each row but the first: how many bytes after the `lead` ones it shares with the row before; none if those differ."""
+    same = rows[1:] == rows[:-1]
+    shared = np.where(same.all(axis=1), rows.shape[1], same.argmin(axis=1))
+    return np.maximum(shared - lead, 0)
 
-    In suffix order the common prefix with a neighbour reaches `length` exactly inside a run of equal rows. There
-    the previous or the next smaller place exists for every row but the one of the smallest place.
+
+def previous_factors(suffixes: np.ndarray, place: np.ndarray, lead: int = 0) -> np.ndarray:
+    """LPF of the suffixes, given by their first bytes (rows, after `lead` bytes that name a group): the longest common prefix with
+    a suffix of smaller place. `place` orders the suffixes in the corpus.
+
+    In suffix order the longest match of smaller place is the previous or the next neighbour of smaller place. One pass holds the suffixes that
+    still wait for a next smaller place; each knows the prefix it shares with its previous smaller place.
     """
     order = np.argsort(np.ascontiguousarray(suffixes).view(f"S{suffixes.shape[1]}").ravel(), kind="stable")
-    same = (suffixes[order][1:] == suffixes[order][:-1]).all(axis=1)
-    starts = np.flatnonzero(np.r_[True, ~same])
-    smallest = np.minimum.reduceat(place[order], starts)
-    run = np.cumsum(np.r_[False, ~same])
-    found = np.zeros(len(place), bool)
-    found[order] = place[order] > smallest[run]
-    return found
+    shared = [0, *common_prefixes(suffixes[order], lead).tolist()]
+    out = np.zeros(len(place), np.int64)
+    waiting: list[tuple[int, int, int]] = []  # suffix, its place, prefix shared with its previous smaller place
+    for i, p, common in zip(order.tolist(), place[order].tolist(), shared, strict=True):
+        while waiting and waiting[-1][1] > p:
+            j, _, before = waiting.pop()
+            out[j] = max(before, common)
+            common = min(common, before)
+        waiting.append((i, p, common))
+    for j, _, before in waiting:
+        out[j] = before
+    return out
 
 
 _SPANS = "doc bigint, start bigint, stop bigint"
@@ -254,7 +270,7 @@ def _compare(length: int, chunk: int = 1 << 17):
         start = np.repeat(np.array([g[2] for g in group], np.int64), counts) + inside
         place = np.empty(total, np.int64)
         place[np.lexsort((start, doc))] = np.arange(total)
-        found = previous_factors(rows, place, length)
+        found = np.minimum(previous_factors(rows, place, 8), length) == length
         d, s, e = merged(doc[found], start[found], start[found] + length) if found.any() else (doc[:0], start[:0], start[:0])
         return pd.DataFrame({"doc": d, "start": s, "stop": e})
 
