@@ -7,7 +7,8 @@ often it is right (expectation-maximisation), and how voters still move together
 each other share one voice: the evidence of a voter is divided by the sum of its correlations. The posterior
 of the hidden class is the label on which a linear classifier is trained; the classifier scores every text.
 
-Labels are used to draw the lexicon only, from a bounded sample (`SAMPLE` rows of each class, chosen by a hash of the id).
+Labels are used to draw the lexicon, from a bounded sample (`SAMPLE` rows of each class, chosen by a hash of the id), and to weigh the sampled rows
+back to the classes' true shares, so that a score means the same at every table size.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from creditloom.llm.common import stored
 from creditloom.llm.quality import _sigmoid, descend, held_out
 from creditloom.session import small_side
 
@@ -83,31 +85,35 @@ def votes(present: list[int], facts: list[float], voters: int) -> np.ndarray:
     return out
 
 
-def label_model(v: np.ndarray, rounds: int = 50, prior: float = 0.1) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-    """Posterior of the toxic class per row, and the estimates: accuracy of each voter, correlations, class share.
+def label_model(v: np.ndarray, rounds: int = 50, prior: float = 0.1, weight: np.ndarray | None = None) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Posterior of the toxic class per row, and the estimates: accuracy of each voter, correlations, class share. Rows count by `weight`.
 
     The start is the majority of the votes. Each round estimates P(vote | class) with one pseudo-count and sets posteriors from
     the voters' evidence, divided by how much a voter repeats others.
     """
     n, m = v.shape
-    kinds = (-1, 0, 1)
-    said = [(v == k).astype(float) for k in kinds]
-    balance = (v == 1).sum(axis=1) - (v == -1).sum(axis=1)
+    weight = np.ones(n) if weight is None else weight
+    toxic, clean = (v == 1).astype(np.float32), (v == -1).astype(np.float32)
+    balance = toxic.sum(axis=1) - clean.sum(axis=1)
     post = np.clip(np.where(balance > 0, 0.95, np.where(balance < 0, 0.05, prior)), 0.01, 0.99)
     voice, share, table = np.ones(m), prior, np.full((2, 3, m), 1 / 3)
     correlation = np.eye(m)
     for round_ in range(rounds):
-        share = float(np.clip(post.mean(), 1e-3, 1 - 1e-3))
-        table = np.stack([np.stack([(w @ s + 0.5) / (w.sum() + 1.5) for s in said]) for w in (1 - post, post)])
+        share = float(np.clip(np.average(post, weights=weight), 1e-3, 1 - 1e-3))
+        rows = []
+        for w in (weight * (1 - post), weight * post):
+            said_clean, said_toxic = w @ clean, w @ toxic
+            rows.append(np.stack([said_clean, w.sum() - said_clean - said_toxic, said_toxic]) + 0.5)
+        table = np.stack(rows) / np.array([r.sum(axis=0) for r in rows])[:, None, :]
         if round_ in (3, 10):
             # What is left of each vote after its class mean; voters that move together share a voice.
             means = np.stack([table[c][2] - table[c][0] for c in (0, 1)])
             left = v - (np.outer(1 - post, means[0]) + np.outer(post, means[1]))
-            spread = np.sqrt((left**2).mean(axis=0)) + 1e-9
-            correlation = (left.T @ left) / n / np.outer(spread, spread)
+            spread = np.sqrt(np.average(left**2, axis=0, weights=weight)) + 1e-9
+            correlation = ((left * weight[:, None]).T @ left) / weight.sum() / np.outer(spread, spread)
             voice = 1 / np.maximum(1, np.clip(correlation, 0, 1).sum(axis=1))
-        logs = np.log(table[1]) - np.log(table[0])
-        evidence = sum(s @ (logs[k] * voice) for k, s in enumerate(said))
+        logs = (np.log(table[1]) - np.log(table[0])) * voice
+        evidence = clean @ (logs[0] - logs[1]) + toxic @ (logs[2] - logs[1]) + logs[1].sum()
         fresh = _sigmoid(evidence + math.log(share / (1 - share)))
         done = np.abs(fresh - post).max() < 1e-6 and round_ > 10
         post = fresh
@@ -133,8 +139,8 @@ class Model:
         return _sigmoid(out)
 
 
-def lexicon(docs: DataFrame, labelled: DataFrame, sample: int, terms: int) -> list[str]:
-    """Terms that mark toxic text, most telling first.
+def lexicon(labelled: DataFrame, terms: int) -> list[str]:
+    """Terms that mark toxic text, most telling first, from `labelled` (doc_id, text, toxic).
 
     A term counts once per document. It is kept when its count in toxic documents would be a surprise for a term that doesn't care
     about the class, with room for the number of terms looked at, and it is several times as frequent there.
@@ -145,13 +151,13 @@ def lexicon(docs: DataFrame, labelled: DataFrame, sample: int, terms: int) -> li
                 found = sorted({t for w in set(_WORD.findall((text or "").lower())) for t in terms_of(w)})
                 yield pd.DataFrame({"term": found, "toxic": np.full(len(found), toxic, np.int32)})
 
-    chosen = docs.select("doc_id", "text").join(small_side(labelled, 2 * sample), "doc_id").select("text", "toxic")
     sizes = labelled.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("t")).first()
     n_toxic, n_clean = int(sizes["t"]), int(sizes["n"] - sizes["t"])
     if not n_toxic:
         return []
     share = n_toxic / (n_toxic + n_clean)
-    counts = chosen.mapInPandas(words, "term string, toxic int").groupBy("term").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")).where("a >= 2")
+    counts = labelled.mapInPandas(words, "term string, toxic int").groupBy("term").agg(
+        F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")).where("a >= 2")
     # Kullback-Leibler surprise of a hits in toxic text out of a + b.
     p = F.col("a") / (F.col("a") + F.col("b"))
     surprise = F.col("a") * F.log(p / share) + F.when(F.col("b") > 0, F.col("b") * F.log((1 - p) / (1 - share + 1e-12))).otherwise(0.0)
@@ -162,40 +168,44 @@ def lexicon(docs: DataFrame, labelled: DataFrame, sample: int, terms: int) -> li
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int = TERMS, voters: int = VOTERS) -> Model:
-    """Learns from at most `sample` labelled documents of each class outside the held-out fold. Contradicting and null labels are left out.
+    """Learns from at most `sample` labelled documents of each class outside the held-out fold, weighed back to the classes' shares among all
+    labels. Contradicting and null labels are left out; of documents that share an id the one with the smallest text is learned from.
 
     Without toxic examples the lexicon is empty and scores stay low.
     """
     labelled = (labels.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("other"))
                 .where("toxic = other and toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic")))
+    every = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     each = [labelled.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for k in (0, 1)]
     chosen = each[0].union(each[1])
     known = chosen.sparkSession.createDataFrame(chosen.collect(), "doc_id bigint, toxic int")  # at most 2 x sample ids
-    words = lexicon(docs, known, sample, terms)
+    learned = stored(docs.select("doc_id", "text").join(small_side(known, 2 * sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), "toxicity-sample")
+    words = lexicon(learned, terms)
     spoken = min(voters, len(words))
 
     def see(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lookup = Lookup(words)
         for batch in batches:
             found = [vector(t or "", lookup) for t in batch["text"]]
-            yield pd.DataFrame({"present": [f[0] for f in found], "facts": [f[1] for f in found]})
+            yield pd.DataFrame({"toxic": batch["toxic"], "present": [f[0] for f in found], "facts": [f[1] for f in found]})
 
-    seen = docs.select("doc_id", "text").join(small_side(known.select("doc_id"), 2 * sample), "doc_id").select("text").mapInPandas(
-        see, "present array<int>, facts array<double>").toPandas()
-    rows = sorted((tuple(p), tuple(f)) for p, f in zip(seen["present"], seen["facts"], strict=True))
+    seen = learned.select("toxic", "text").mapInPandas(see, "toxic int, present array<int>, facts array<double>").toPandas()
+    rows = sorted((tuple(p), tuple(f), k) for p, f, k in zip(seen["present"], seen["facts"], seen["toxic"], strict=True))
     if not rows or not words:
         return Model(words, np.zeros(len(words) + 5), -4.0, np.zeros(0))
-    v = np.stack([votes(list(p), list(f), spoken) for p, f in rows]).astype(np.int8)
-    post, found = label_model(v, prior=0.2)
+    drawn = {k: min(n, sample) for k, n in every.items()}
+    weight = np.array([every[k] / drawn[k] for _, _, k in rows])
+    v = np.stack([votes(list(p), list(f), spoken) for p, f, _ in rows]).astype(np.int8)
+    post, found = label_model(v, prior=0.2, weight=weight)
     x = np.zeros((len(rows), len(words) + 6))
-    for i, (p, f) in enumerate(rows):
+    for i, (p, f, _) in enumerate(rows):
         x[i, list(p)] = 1
         x[i, len(words):-1] = f
     x[:, -1] = 1
     penalty = np.full(x.shape[1], 1e-4)
 
     def risk(w: np.ndarray) -> np.ndarray:
-        return (_sigmoid(x @ w) - post) @ x / len(x) + penalty * w
+        return (weight * (_sigmoid(x @ w) - post)) @ x / weight.sum() + penalty * w
 
     w = descend(risk, x.shape[1], 500, 0.05)
     return Model(words, w[:-1], float(w[-1]), found["accuracy"])
