@@ -57,7 +57,7 @@ class Parzen:
 
     def log_density(self, x: np.ndarray) -> np.ndarray:
         z = (x[:, None] - self.at[None, :]) / self.width[None, :]
-        return np.log((np.exp(-0.5 * z * z) / self.width / self.inside).mean(axis=1) + 1e-300)
+        return np.log((np.exp(-0.5 * z * z) / (math.sqrt(2 * math.pi) * self.width * self.inside)).mean(axis=1) + 1e-300)
 
 
 @dataclass
