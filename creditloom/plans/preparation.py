@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame
 
 from creditloom.operators.cleaning import align, cast_columns, infinities_to_null, predictors, type_mismatch
 from creditloom.operators.profiling import binary_to_bool, narrow, per_column_structs
 from creditloom.operators.splitting import SEED, stratified_split
-from creditloom.plans.features import Categories, LoanTables, feature_table
+from creditloom.plans.features import Categories, LoanTables, feature_table, limited_to
 
 
 @dataclass
@@ -51,8 +51,10 @@ def compact(df: DataFrame, key: str = "SK_ID_CURR", target: str = "TARGET") -> D
 def new_loan_features(tables: LoanTables, features: Sequence[str], categories: Categories,
                       types: Mapping[str, str] | None = None) -> tuple[DataFrame, list[str], list[str]]:
     """The training pipeline on new applications, with the training categories and no dropped first
-    category, aligned to the training features. Also returns both kinds of dictionary mismatch."""
-    built = infinities_to_null(feature_table(tables, categories, drop_first=False))
+    category, aligned to the training features. Only the new applicants' satellite rows are rolled up, if the categories of all tables are
+    known. Also returns both kinds of dictionary mismatch."""
+    known = {f.name for f in fields(tables)} <= set(categories.tables)
+    built = infinities_to_null(feature_table(limited_to(tables, tables.application) if known else tables, categories, drop_first=False))
     out = align(built, features)
     unused, untyped = type_mismatch(features, types or {})
     return (cast_columns(out, types) if types else out), unused, untyped
