@@ -9,6 +9,7 @@ from creditloom.catalog.registry import query, settled
 from creditloom.functions.columns import finite, hm, hms
 from creditloom.functions.naming import clean_names
 from creditloom.operators.encoding import category_dictionary, label_encode, one_hot
+from creditloom.operators import partials
 from creditloom.operators.lookup import unmatched
 from creditloom.plans import features as P
 from creditloom.plans import specs as S
@@ -189,6 +190,35 @@ def card_rollup(spark, sf):
     return settled(P.card_features(star.card_balance(spark, sf)))
 
 
+def _by_states(spark, rows, spec, batch):
+    """The roll-up through stored states: the older batches make a stored total, the newest is read alone and merged with it."""
+    path, totals = scratch_path(spark, "states"), scratch_path(spark, "totals")
+    batches = ["0", "1", "2"]
+    for b in batches:
+        partials.write_batch(partials.states(rows.filter(batch == int(b)), P.KEY, spec), path, b)
+    partials.write_batch(partials.merged(partials.read_batches(spark, path, batches[:2]), P.KEY, spec), totals, "1")
+    old, new = partials.read_batches(spark, totals, ["1"]), partials.read_batches(spark, path, batches[2:])
+    return settled(partials.finished(partials.merged(old.unionByName(new), P.KEY, spec), P.KEY, spec))
+
+
+@query("merged_previous", V.using("prev", _previous_sql(False)))
+def merged_previous(spark, sf):
+    rows = P.with_previous_ratios(star.previous_application(spark, sf))
+    return _by_states(spark, rows, P.previous_spec(category_dictionary(rows)), F.pmod("DAYS_DECISION", F.lit(3)))
+
+
+@query("merged_instalments", V.using("instal", V.grouped("SK_ID_CURR", "instal", _INSTAL_SQL)))
+def merged_instalments(spark, sf):
+    rows = P.with_payment_gaps(star.instalments(spark, sf))
+    return _by_states(spark, rows, P.instalment_spec(category_dictionary(rows)), F.pmod(F.col("DAYS_INSTALMENT").cast("int"), F.lit(3)))
+
+
+@query("merged_card", V.using("card", V.grouped("SK_ID_CURR", "card", _CARD_SQL)))
+def merged_card(spark, sf):
+    rows = star.card_balance(spark, sf).drop("SK_ID_PREV")
+    return _by_states(spark, rows, P.card_spec(rows, category_dictionary(rows)), F.pmod("MONTHS_BALANCE", F.lit(3)))
+
+
 _APP_COLUMNS = ["SK_ID_CURR", "CODE_GENDER", "FLAG_OWN_CAR", "FLAG_OWN_REALTY", "EMERGENCYSTATE_MODE", "DAYS_EMPLOYED", "DAYS_BIRTH",
                 "DAYS_LAST_PHONE_CHANGE", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE", "AMT_INCOME_TOTAL"]
 _RATIO_SQL = [f"round({c}, 6) AS {c}" for c in S.APPLICATION_RATIOS]

@@ -118,9 +118,11 @@ def previous_features(previous: DataFrame, categories: Dictionary | None = None,
                       strict_inf: bool = False) -> DataFrame:
     """Previous applications per client with approved and refused subsets."""
     dictionary = categories if categories is not None else category_dictionary(previous)
-    spec = Rollup("PREV_", specs.PREVIOUS_MEASURES, dictionary,
-                  subsets=_predicates(specs.PREVIOUS_SUBSETS))
-    return rollup(with_previous_ratios(previous, strict_inf), KEY, spec)
+    return rollup(with_previous_ratios(previous, strict_inf), KEY, previous_spec(dictionary))
+
+
+def previous_spec(dictionary: Dictionary) -> Rollup:
+    return Rollup("PREV_", specs.PREVIOUS_MEASURES, dictionary, subsets=_predicates(specs.PREVIOUS_SUBSETS))
 
 
 def pos_features(pos: DataFrame, categories: Dictionary | None = None) -> DataFrame:
@@ -142,17 +144,23 @@ def with_payment_gaps(instalments: DataFrame, strict_inf: bool = False) -> DataF
 def instalment_features(instalments: DataFrame, categories: Dictionary | None = None,
                         strict_inf: bool = False) -> DataFrame:
     dictionary = categories if categories is not None else category_dictionary(instalments)
-    spec = Rollup("INSTAL_", specs.INSTALMENT_MEASURES, dictionary, count_as="INSTAL_COUNT")
-    return rollup(with_payment_gaps(instalments, strict_inf), KEY, spec)
+    return rollup(with_payment_gaps(instalments, strict_inf), KEY, instalment_spec(dictionary))
+
+
+def instalment_spec(dictionary: Dictionary) -> Rollup:
+    return Rollup("INSTAL_", specs.INSTALMENT_MEASURES, dictionary, count_as="INSTAL_COUNT")
 
 
 def card_features(card: DataFrame, categories: Dictionary | None = None) -> DataFrame:
     """Five statistics of every numeric column, three of every category, in one aggregate."""
     card = card.drop("SK_ID_PREV")
     dictionary = categories if categories is not None else category_dictionary(card)
-    measures = {c: specs.CARD_NUMERIC_FUNCS for c in numeric_columns(card, exclude=(KEY,))}
-    spec = Rollup("CC_", measures, dictionary, specs.CARD_CATEGORY_FUNCS, count_as="CC_COUNT")
-    return rollup(card, KEY, spec)
+    return rollup(card, KEY, card_spec(card, dictionary))
+
+
+def card_spec(card: DataFrame, dictionary: Dictionary) -> Rollup:
+    measures = {c: specs.CARD_NUMERIC_FUNCS for c in numeric_columns(card, exclude=(KEY, "SK_ID_PREV"))}
+    return Rollup("CC_", measures, dictionary, specs.CARD_CATEGORY_FUNCS, count_as="CC_COUNT")
 
 
 def limited_to(tables: LoanTables, applicants: DataFrame) -> LoanTables:
