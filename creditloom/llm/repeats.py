@@ -12,7 +12,9 @@ that can be equal:
    hash of the unit's bytes, document, place).
 2. Rows of an anchor come sorted. A unit equal to an earlier one repeats as a whole. An anchor with only one kind of unit
    has nothing else; where there are several kinds, the first unit of each needs its bytes compared. Copies inside a
-   task are settled before the shuffle, so a hot passage costs a row per task.
+   batch are settled before the shuffle, so a hot passage costs a row per batch. An anchor that shows several kinds in one batch
+   (a footer between different neighbours) needs comparing whatever comes: its units are dealt out by their content, and one
+   mark per batch tells the units of other batches. So no task gets more than two rows of an anchor from a batch, whatever repeats.
 3. The bytes of those units are sorted in suffix order, anchor by anchor, cut at LENGTH; common prefixes of neighbours and previous and next
    smaller positions give LPF, cut at LENGTH. An anchor with more than GROUP units is not gathered in one task: its windows move one by one
    under their own hash, again after the copies inside a task are settled, and equal ones, byte by byte, meet there. LENGTH bytes
@@ -91,7 +93,9 @@ def _settle(keys: tuple[np.ndarray, ...], doc: np.ndarray, at: np.ndarray) -> tu
     return order, again
 
 
-_UNITS = "h bigint, c bigint, doc bigint, at bigint, settled boolean"
+# `dealt` is 0, or the content hash of a unit that is dealt out by it; `kind` one of the following.
+_UNITS = "h bigint, dealt bigint, kind tinyint, c bigint, doc bigint, at bigint"
+_MARK, _UNIT, _SETTLED = np.int8(0), np.int8(1), np.int8(2)
 
 
 def _emit_units(length: int, k: int):
@@ -108,7 +112,14 @@ def _emit_units(length: int, k: int):
             h, c, doc, at = (np.concatenate(p) for p in zip(*parts, strict=True))
             order, again = _settle((h, c), doc, at)
             h, c, doc, at = h[order], c[order], doc[order], at[order]
-            yield pd.DataFrame({"h": h[~again], "c": c[~again], "doc": doc[~again], "at": at[~again], "settled": False})
+            left = np.flatnonzero(~again)
+            new = np.r_[True, h[left][1:] != h[left][:-1]]
+            kinds = np.bincount(np.cumsum(new) - 1)
+            several = np.repeat(kinds > 1, kinds)
+            yield pd.DataFrame({"h": h[left], "dealt": np.where(several, c[left] | 1, 0), "kind": _UNIT, "c": c[left], "doc": doc[left], "at": at[left]})
+            marked = h[left][new & several]
+            if len(marked):
+                yield pd.DataFrame({"h": marked, "dealt": 0, "kind": _MARK, "c": 0, "doc": 0, "at": 0})
             if again.any():
                 # Settled copies ride along, joined to spans of their document.
                 yield _spans_frame(doc[again], at[again] >> 32, (at[again] >> 32) + (at[again] & 0xFFFFFFFF) - 1 + length)
@@ -131,54 +142,60 @@ def _spans_frame(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> pd.Data
     doc, start, end = merged(doc, start, end)
     with np.errstate(over="ignore"):
         spread = _mixed(doc.view(np.uint64) + start.astype(np.uint64)).view(np.int64)
-    return pd.DataFrame({"h": spread, "c": np.int64(0), "doc": doc, "at": _packed(start, end - start), "settled": True})
+    return pd.DataFrame({"h": spread, "dealt": np.int64(0), "kind": _SETTLED, "c": np.int64(0), "doc": doc, "at": _packed(start, end - start)})
 
 
 _FINDINGS = "doc bigint, at bigint, h bigint, span boolean"
 
 
 def _find(length: int):
-    """Rows sorted by h, c, doc, at: spans of repeated units, and (with their anchor) first units that need their bytes compared."""
+    """Rows sorted by h, dealt, kind, c, doc, at: spans of repeated units, and (with their anchor) first units that need their bytes compared.
+
+    The rows of one (h, dealt) are a group. A dealt group and one that starts with a mark need comparing from the first unit on.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last_h = last_c = None
-        pending = None  # the only kind of unit of the open anchor, so far
+        last = last_c = None  # the open group, and its last kind of unit
+        sure = False  # whether the open group is known to need comparing
+        pending = None  # its only kind of unit so far, where it is not
         for batch in batches:
-            if not len(batch):
-                continue
-            settled = batch["settled"].to_numpy()
+            settled = batch["kind"].to_numpy() == _SETTLED
             done = batch[settled]
             if len(done):
                 yield pd.DataFrame({"doc": done["doc"], "at": done["at"], "h": np.int64(0), "span": True})
             rest = batch[~settled]
             if not len(rest):
                 continue
-            h, c, doc, at = (rest[n].to_numpy() for n in ("h", "c", "doc", "at"))
-            new_h = np.r_[last_h is None or h[0] != last_h, h[1:] != h[:-1]]
-            new_c = new_h | np.r_[last_c is None or c[0] != last_c, c[1:] != c[:-1]]
-            again = ~new_c
+            h, dealt, kind, c, doc, at = (rest[n].to_numpy() for n in ("h", "dealt", "kind", "c", "doc", "at"))
+            unit = kind == _UNIT
+            goes_on = last == (h[0], dealt[0])
+            new = np.r_[not goes_on, (h[1:] != h[:-1]) | (dealt[1:] != dealt[:-1])]
+            group = np.cumsum(new) - new[0]
+            # The row before a unit may be a mark, which is no unit of any kind.
+            again = unit & ~new & np.r_[goes_on and last_c == c[0], unit[:-1] & (c[1:] == c[:-1])]
             if again.any():
                 start, count = at[again] >> 32, at[again] & 0xFFFFFFFF
                 d, s, e = merged(doc[again], start, start + count - 1 + length)
                 yield pd.DataFrame({"doc": d, "at": _packed(s, e - s), "h": np.int64(0), "span": True})
-            # Anchor groups of this batch; group 0 may be a part of the open one.
-            group = np.cumsum(new_h) - (1 if new_h[0] else 0)
-            kinds = np.bincount(group, weights=new_c).astype(np.int64)
-            many = kinds > 1
-            if not new_h[0]:
-                many[0] = kinds[0] > 0  # any new kind joins the one that came before
-            firsts = np.flatnonzero(new_c & many[group])
+            first = unit & ~again
+            kinds = np.bincount(group, weights=first).astype(np.int64)
+            compare = (kinds > 1) | (np.bincount(group, weights=~unit | (dealt != 0)) > 0)
+            if goes_on:
+                # A new kind joins the one that came before.
+                compare[0] |= sure or (pending is not None and kinds[0] > 0)
+            firsts = np.flatnonzero(first & compare[group])
             out = [(doc[firsts], at[firsts], h[firsts])]
-            if pending is not None and (new_h[0] or many[0]):
-                if not new_h[0]:
-                    out.append(tuple(np.array([x]) for x in pending))
+            if goes_on and compare[0] and pending is not None:
+                out.append(tuple(np.array([x]) for x in pending))
+            if not goes_on or len(kinds) > 1 or compare[0]:
                 pending = None
-            if len(kinds) > 1 or new_h[0]:
-                i = np.flatnonzero(new_c)[-1]
-                pending = None if many[-1] else (doc[i], at[i], h[i])
+            sure = bool(compare[-1])
+            only = np.flatnonzero(first & (group == group[-1]))
+            if len(only) and not sure:
+                pending = (doc[only[0]], at[only[0]], h[only[0]])
             d, a, g = (np.concatenate(x) for x in zip(*out, strict=True))
             if len(d):
                 yield pd.DataFrame({"doc": d, "at": a, "h": g, "span": False})
-            last_h, last_c = h[-1], c[-1]
+            last, last_c = (h[-1], dealt[-1]), c[-1] if unit[-1] else None
     return run
 
 
@@ -320,7 +337,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, k: int = K, group: int
     if not 1 <= k <= length:
         raise ValueError("the anchor fits into the matched length")
     texts = rows.select("doc", "text")
-    sorted_units = texts.mapInPandas(_emit_units(length, k), _UNITS).repartition("h").sortWithinPartitions("h", "c", "doc", "at")
+    sorted_units = texts.mapInPandas(_emit_units(length, k), _UNITS).repartition("h", "dealt").sortWithinPartitions("h", "dealt", "kind", "c", "doc", "at")
     findings = stored(sorted_units.mapInPandas(_find(length), _FINDINGS), "repeat-findings")
     compared = findings.where("not span")
     hot = compared.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > group).select("h", F.lit(True).alias("hot"))
