@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from creditloom.llm.common import stored
 from creditloom.llm.winnowing import _POWERS, rolling_hashes
+from creditloom.session import small_side
 
 LENGTH, K = 100, 32
 GROUP = 8192
@@ -340,7 +341,8 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, k: int = K, group: int
     sorted_units = texts.mapInPandas(_emit_units(length, k), _UNITS).repartition("h", "dealt").sortWithinPartitions("h", "dealt", "kind", "c", "doc", "at")
     findings = stored(sorted_units.mapInPandas(_find(length), _FINDINGS), "repeat-findings")
     compared = findings.where("not span")
-    hot = compared.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > group).select("h", F.lit(True).alias("hot"))
+    # Few by nature, one per `group` units at most; counted before they are broadcast, and joined by shuffle beyond that.
+    hot = small_side(compared.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > group).select("h", F.lit(True).alias("hot")))
     units_of = (compared.join(hot, "h", "left").groupBy("doc")
                 .agg(F.collect_list(F.struct("h", "at", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("units")))
     suffixes = texts.join(units_of, "doc", "left").mapInPandas(_emit_suffixes(length), _SUFFIXES)
