@@ -16,6 +16,7 @@ from creditloom.plans import specs as S
 from creditloom.plans.preparation import clean_and_split, new_loan_features
 from creditloom.plans.training import build
 from creditloom.session import scratch_path
+from creditloom.sources import layout
 from creditloom.sources import starschema as star
 
 
@@ -238,6 +239,15 @@ def feature_table(spark, sf):
     return settled(P.feature_table(star.loan_tables(spark, sf)))
 
 
+@query("stored_feature_table", _FEATURE_SQL)
+def stored_feature_table(spark, sf):
+    """The same from tables bucketed by client, once they are written; clients with more than a thousand rows in a table are built apart."""
+    path = scratch_path(spark, "layout")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = layout.store(star.loan_tables(spark, sf), path, f"layout_{path[-32:]}", buckets, hot_rows=1000)
+    return settled(layout.stored_feature_table(stored))
+
+
 # A training list as it is after selection: one category new data never shows, one extra ratio.
 NEW_LOAN_FEATURES = [
     "CODE_GENDER", "AMT_ANNUITY", "DAYS_EMPLOYED", "CREDIT_TO_ANNUITY_RATIO", "NAME_INCOME_TYPE_BUILDING", "NAME_INCOME_TYPE_MACHINERY",

@@ -88,8 +88,8 @@ def _share(prefix: str, column: str, value: object, func: str) -> Column:
     return F.expr(f"{text} AS {name}")
 
 
-def rollup(df: DataFrame, key: str, spec: Rollup) -> DataFrame:
-    return df.groupBy(key).agg(*spec.columns())
+def rollup(df: DataFrame, key: str | Sequence[str], spec: Rollup) -> DataFrame:
+    return df.groupBy(*([key] if isinstance(key, str) else key)).agg(*spec.columns())
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:

@@ -84,10 +84,15 @@ def application_features(df: DataFrame, categories: Dictionary | None = None, dr
     return one_hot(coded, dictionary, drop_first=drop_first)[0]
 
 
+def _credit_keys(balance: DataFrame) -> list[str]:
+    """Balances that know their client (`sources.layout`) group and join by both, which keeps a partitioning by client."""
+    return [*([KEY] if KEY in balance.columns else []), "SK_ID_BUREAU"]
+
+
 def balance_rollup(balance: DataFrame, categories: Dictionary | None = None) -> DataFrame:
     """Monthly statuses per bureau credit."""
     dictionary = categories if categories is not None else category_dictionary(balance)
-    return rollup(balance, "SK_ID_BUREAU", Rollup("", specs.BALANCE_MEASURES, dictionary))
+    return rollup(balance, _credit_keys(balance), Rollup("", specs.BALANCE_MEASURES, dictionary))
 
 
 def _predicates(subsets: Mapping[str, tuple[str, str]]) -> dict[str, str]:
@@ -100,7 +105,7 @@ def bureau_features(bureau: DataFrame, balance: DataFrame, bureau_categories: Di
     in_bureau = bureau_categories if bureau_categories is not None else category_dictionary(bureau)
     in_balance = balance_categories if balance_categories is not None else category_dictionary(balance)
     months = balance_rollup(balance, in_balance)
-    joined = bureau.join(months, "SK_ID_BUREAU", "left")
+    joined = bureau.join(months, _credit_keys(balance), "left")
     shares = {f"{dummy_name(c, v)}_MEAN": ["mean"] for c, values in in_balance.items() for v in values}
     main = Rollup("BURO_", {**specs.BUREAU_MEASURES, **shares}, in_bureau)
     subsets = Rollup("", specs.BUREAU_MEASURES, subsets=_predicates(specs.BUREAU_SUBSETS))
@@ -181,15 +186,19 @@ def limited_to(tables: LoanTables, applicants: DataFrame) -> LoanTables:
                    instalments=mine(tables.instalments), card_balance=mine(tables.card_balance))
 
 
+def learned(tables: LoanTables, known: Categories) -> Categories:
+    """`known` with the dictionaries of all tables, from one job."""
+    known.learn({"application": recode_application(tables.application), "bureau": tables.bureau, "bureau_balance": tables.bureau_balance,
+                 "previous_application": tables.previous_application, "pos_cash": tables.pos_cash,
+                 "instalments": tables.instalments, "card_balance": tables.card_balance})
+    return known
+
+
 def feature_table(tables: LoanTables, categories: Categories | None = None, drop_first: bool = True,
                   strict_inf: bool = False) -> DataFrame:
     """The wide table: applications left-joined with the five satellite roll-ups."""
-    known = categories if categories is not None else Categories()
-    coded = recode_application(tables.application)
-    known.learn({"application": coded, "bureau": tables.bureau, "bureau_balance": tables.bureau_balance,
-                 "previous_application": tables.previous_application, "pos_cash": tables.pos_cash,
-                 "instalments": tables.instalments, "card_balance": tables.card_balance})
-    out = application_features(tables.application, known.of("application", coded), drop_first, strict_inf)
+    known = learned(tables, categories if categories is not None else Categories())
+    out = application_features(tables.application, known.of("application", tables.application), drop_first, strict_inf)
     satellites = [
         bureau_features(tables.bureau, tables.bureau_balance, known.of("bureau", tables.bureau),
                         known.of("bureau_balance", tables.bureau_balance)),
