@@ -17,6 +17,7 @@ from creditloom.operators import models as L
 from creditloom.operators import runs as R
 from creditloom.operators import selection as S
 from creditloom.operators.boosting import routed_trees
+from creditloom.operators.encoding import category_dictionary
 from creditloom.operators.neighbours import nearest_neighbours
 from creditloom.operators.profiling import missing_pct
 from creditloom.operators.resampling import smote, synthetic_minority
@@ -113,15 +114,90 @@ def fitted_sweep(spark, sf):
 _LEFT_OUT = "CAST(sum(p) OVER (PARTITION BY {0}) - p AS DOUBLE) / (sum(n) OVER (PARTITION BY {0}) - n)"
 
 
+def _flagged(spark, sf):
+    """The population with a 0/1 column per segment but the first, and their names. A logistic model of them that is not penalised scores with class shares."""
+    people = stratified_folds(star.scored_population(spark, sf), "SK_ID_CURR", "TARGET", 5)
+    names = category_dictionary(people, ["SEGMENT"], nulls=False)["SEGMENT"]
+    flags = {f"S{i}": (F.col("SEGMENT") == n).cast("double") for i, n in enumerate(names[1:], start=1)}
+    return people.withColumns(flags), list(flags)
+
+
+def _unpenalised(features):
+    return L.logistic(features, c=1e9, max_iter=200, tol=1e-10)
+
+
+_PLACED = "SELECT *, CAST(dense_rank() OVER (ORDER BY SEGMENT) - 1 AS INTEGER) AS i FROM folded"
+
+
+@query("saturated_predict", V.using("scored", """
+SELECT SK_ID_CURR, round(share, 4) AS PROBA, CAST(share > CAST(0.0901 AS DOUBLE) AS INTEGER) AS PREDICTION, CAST(0.0901 AS DOUBLE) AS THRESHOLD
+FROM (SELECT SK_ID_CURR, avg(TARGET) OVER (PARTITION BY SEGMENT) AS share FROM scored)"""))
+def saturated_predict(spark, sf):
+    """Batch scores of a model whose scores are the class shares of the segments."""
+    people, flags = _flagged(spark, sf)
+    return settled(L.predict(_unpenalised(flags).fit(people), people, ["SK_ID_CURR"], threshold=0.0901), 4)
+
+
+_LOSS = 0.002
+_UNIT_GAIN = "avg(CAST(tp + tn - fp - 10 * fn + 10 * (tp + fn) + (tn + fp) AS DOUBLE) / (2 * (tn + fp) + 11 * (tp + fn)))"
+
+
+def _cells(positives: str, rows: str) -> str:
+    """Confusion counts of groups whose score is `share`."""
+    hit, no = "share > CAST(0.0901 AS DOUBLE)", f"({rows} - ({positives}))"
+    return ", ".join(f"sum(CASE WHEN {test} THEN {n} ELSE 0 END) AS {name}" for name, test, n in (
+        ("tp", hit, positives), ("fp", hit, no), ("fn", f"NOT ({hit})", positives), ("tn", f"NOT ({hit})", no)))
+
+
+@query("saturated_elbow", V.using("folded", f"""
+SELECT CAST(size AS INTEGER) AS n_features, round(gain_train, 6) AS gain_train, round(gain_val, 6) AS gain_val FROM (
+  SELECT *, count(*) FILTER (WHERE gain_val < best - {_LOSS}) OVER (ORDER BY size DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS fallen
+  FROM (SELECT *, first_value(gain_val) OVER (ORDER BY size DESC) AS best FROM val JOIN train USING (size))) WHERE fallen = 0""",
+    placed=_PLACED, c="SELECT size, fold, CASE WHEN i <= size THEN i ELSE 0 END AS g, count(*) AS n, sum(TARGET) AS p FROM placed, (SELECT unnest([4, 3, 2, 1]) AS size) GROUP BY 1, 2, 3",
+    s=f"""SELECT *, sum(n) OVER (PARTITION BY size, g) - n AS tn_rows, sum(p) OVER (PARTITION BY size, g) - p AS tp_rows,
+  {_LEFT_OUT.format('size, g')} AS share FROM c""",
+    val=f"SELECT size, {_UNIT_GAIN} AS gain_val FROM (SELECT size, fold, {_cells('p', 'n')} FROM s GROUP BY 1, 2) GROUP BY 1",
+    train=f"SELECT size, {_UNIT_GAIN} AS gain_train FROM (SELECT size, fold, {_cells('tp_rows', 'tn_rows')} FROM s GROUP BY 1, 2) GROUP BY 1"))
+def saturated_elbow(spark, sf):
+    """Fewer and fewer segments told apart; the scores are class shares, so that SQL knows every gain and where the search stops."""
+    people, flags = _flagged(spark, sf)
+    return settled(S.elbow(people, flags, "TARGET", "fold", 5, _unpenalised, sizes=(4, 3, 2, 1), loss=_LOSS, threshold=0.0901).drop("fit_ms"))
+
+
+def _round_sql(r: int) -> dict[str, str]:
+    """Views of one round of elimination: groups told apart by the flags left, scores, importances, the flag that goes, the AUC, the flags after it."""
+    return {
+        f"c{r}": f"SELECT fold, coalesce(l.i, 0) AS g, count(*) AS n, sum(TARGET) AS p FROM placed LEFT JOIN left{r} l USING (i) GROUP BY 1, 2",
+        f"t{r}": f"""SELECT *, sum(n) OVER (PARTITION BY g) - n AS rows_in, sum(n) OVER () - sum(n) OVER (PARTITION BY fold) AS all_in,
+  {_LEFT_OUT.format('g')} AS share FROM c{r}""",
+        f"m{r}": f"""SELECT a.g AS i, avg(abs(ln(a.share / (1 - a.share)) - ln(b.share / (1 - b.share)))
+  * sqrt(CAST(a.rows_in AS DOUBLE) / a.all_in * (1 - CAST(a.rows_in AS DOUBLE) / a.all_in))) AS importance
+FROM t{r} a JOIN t{r} b ON a.fold = b.fold AND a.g > 0 AND b.g = 0 GROUP BY 1""",
+        f"out{r}": f"SELECT i FROM m{r} WHERE (SELECT count(*) FROM m{r}) > 1 ORDER BY importance, i LIMIT 1",
+        f"auc{r}": f"""SELECT avg(auc) AS auc FROM (SELECT a.fold, CAST(sum(a.p * (b.n - b.p) * CASE WHEN round(a.share, 6) > round(b.share, 6) THEN 1
+  WHEN round(a.share, 6) = round(b.share, 6) THEN 0.5 ELSE 0 END) AS DOUBLE) / (sum(a.p * (b.n - b.p))) AS auc FROM t{r} a JOIN t{r} b ON a.fold = b.fold GROUP BY 1)""",
+        f"left{r + 1}": f"SELECT i FROM left{r} WHERE i NOT IN (SELECT i FROM out{r})",
+    }
+
+
+@query("saturated_elimination", V.using("folded", " UNION ALL ".join(f"""
+SELECT CAST({r} AS INTEGER) AS iteration, CAST((SELECT count(*) FROM left{r}) AS INTEGER) AS n_features, round((SELECT auc FROM auc{r}), 5) AS auc,
+  (SELECT string_agg('S' || i, ',' ORDER BY i) FROM left{r}) AS features, coalesce((SELECT string_agg('S' || i, ',') FROM out{r}), '') AS removed""" for r in (1, 2, 3, 4)),
+    placed=_PLACED, left1="SELECT DISTINCT i FROM placed WHERE i > 0", **{k: v for r in (1, 2, 3, 4) for k, v in _round_sql(r).items()}))
+def saturated_elimination(spark, sf):
+    """Recursive elimination one by one. Coefficients of the saturated model are differences of log odds, so that SQL knows the whole history."""
+    people, flags = _flagged(spark, sf)
+    history = S.eliminate(people, flags, "TARGET", "fold", 5, _unpenalised, min_features=1, step=1, score_digits=6)
+    return settled(history.withColumns({c: F.array_join(c, ",") for c in ("features", "removed")}), 5)
+
+
 @query("saturated_logistic", V.using("folded", f"""
 SELECT fold, SEGMENT, n, round({_LEFT_OUT.format('SEGMENT')}, 4) AS proba FROM s""",
                                      s="SELECT fold, SEGMENT, count(*) AS n, sum(TARGET) AS p FROM folded GROUP BY 1, 2"))
 def saturated_logistic(spark, sf):
     """A logistic model of one category, unpenalised, scores held-out rows with the share of its training folds."""
-    people = stratified_folds(star.scored_population(spark, sf), "SK_ID_CURR", "TARGET", 5)
-    names = [r[0] for r in people.select("SEGMENT").distinct().orderBy("SEGMENT").limit(100).collect()]
-    flags = {f"S{i}": (F.col("SEGMENT") == n).cast("double") for i, n in enumerate(names[1:])}
-    cv = L.cross_validate(people.withColumns(flags), list(flags), "TARGET", "fold", 5, lambda f: L.logistic(f, c=1e9, max_iter=200, tol=1e-10))
+    people, flags = _flagged(spark, sf)
+    cv = L.cross_validate(people, flags, "TARGET", "fold", 5, _unpenalised)
     return settled(cv.scores.join(people.select("SK_ID_CURR", "SEGMENT"), "SK_ID_CURR").groupBy("fold", "SEGMENT").agg(
         F.count(F.lit(1)).alias("n"), F.avg("PROBA").alias("proba")), 4)
 

@@ -8,8 +8,10 @@ from creditloom.catalog import views as V
 from creditloom.catalog.registry import query, settled
 from creditloom.functions.columns import decision
 from creditloom.operators import narrative as N
+from creditloom.operators import partials, sketches
 from creditloom.operators import population as P
 from creditloom.operators.cleaning import drop_incomplete
+from creditloom.session import cut_lineage, scratch_path
 from creditloom.sources import starschema as star
 
 
@@ -81,6 +83,22 @@ def box_stats_lines(spark, sf):
     return settled(P.box_stats(df, "l_extendedprice", "flag").select("flag", "n", "q1", "median", "q3"), 4)
 
 
+@query("sketched_box_lines", """
+SELECT l_returnflag AS flag, count(l_extendedprice) AS n, min(l_extendedprice) AS low, max(l_extendedprice) AS high, CAST(0 AS BIGINT) AS quartiles_off
+FROM lineitem GROUP BY 1""")
+def sketched_box_lines(spark, sf):
+    """Boxes from sketches of three stored batches; no quartile may miss its rank by more than three times the error stated at 99 % confidence."""
+    lines = star.read(spark, sf, "lineitem").select(F.col("l_returnflag").alias("flag"), F.col("l_extendedprice").alias("price"), "l_linenumber")
+    path = scratch_path(spark, "sketches")
+    for b in range(3):
+        partials.write_batch(sketches.states(lines.filter(F.col("l_linenumber") % 3 == b), ["flag"], ["price"]), path, str(b))
+    found = sketches.boxes(sketches.merged(partials.read_batches(spark, path), ["flag"], ["price"]), ["flag"], ["price"])
+    state = cut_lineage(found)
+    off = sum(((F.col(q) > 3 * sketches.rank_error()).cast("long") for q in ("q1", "median", "q3")), F.lit(0).cast("long"))
+    gaps = sketches.rank_gaps(lines, state, "flag", "price").select("flag", off.alias("quartiles_off"))
+    return state.select("flag", "n", "low", "high").join(gaps, "flag")
+
+
 @query("outlier_flag", _on("""
 SELECT SK_ID_CURR, SEGMENT, BALANCE AS value, round(median, 5) AS median, CAST(BALANCE < "lower" OR BALANCE > "upper" AS INTEGER) AS is_outlier,
   CAST(BALANCE > median AS INTEGER) AS above_median FROM d JOIN b USING (SEGMENT)""", b=_BOX))

@@ -30,9 +30,12 @@ HISTORY = "iteration int, n_features int, auc double, features array<string>, re
 
 
 def eliminate(df: DataFrame, features: Sequence[str], label: str, fold: str, k: int, make: Callable[[Sequence[str]], Pipeline],
-              min_features: int = 100, step: float = 1, key: str = "SK_ID_CURR", extra: Sequence[str] = (), **kw) -> DataFrame:
+              min_features: int = 100, step: float = 1, key: str = "SK_ID_CURR", extra: Sequence[str] = (),
+              score_digits: int | None = None, **kw) -> DataFrame:
     """Recursive elimination history: (iteration, n_features, auc, features, removed).
 
+    `score_digits` rounds scores before they are ranked, so that those which differ only by the optimiser's tolerance tie.
+
     Each round drops the least important features: `step` of them, or that share of what is left
     when below 1, which bounds the number of rounds by a logarithm.
     """
@@ -41,7 +44,8 @@ def eliminate(df: DataFrame, features: Sequence[str], label: str, fold: str, k:
         while left:
             i += 1
             cv = cross_validate(data, left, label, fold, k, make, key, extra, cached=True, **kw)
-            per_fold = roc_auc(score_totals(cv.scores, label, "PROBA", [fold]), [fold])
+            scores = cv.scores if score_digits is None else cv.scores.withColumn("PROBA", F.round("PROBA", score_digits))
+            per_fold = roc_auc(score_totals(scores, label, "PROBA", [fold]), [fold])
             auc = per_fold.agg(F.avg("auc")).first()[0]
             cv.release()
             means: dict[str, float] = {}
