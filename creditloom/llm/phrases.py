@@ -37,7 +37,8 @@ from creditloom.llm.common import stored
 from creditloom.session import small_side
 
 LONGEST, LEAST, TOP = 5, 100, 2000
-SHARD_WORDS, CHUNK_BYTES = 1 << 21, 1 << 20
+SHARD_WORDS, WORD_BYTES, CHUNK_BYTES = 1 << 21, 16, 1 << 20
+SOME_WORDS = 1 << 16
 RANGE_PAIRS, MOST_CUTS, SAMPLED = 100_000, 20_000, 64
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28
 UNITE_BYTES = 16 << 20
@@ -69,7 +70,7 @@ def words_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not len(starts):
         return starts, ends, np.zeros(0, np.uint64)
     first = np.r_[0, np.cumsum(ends - starts)[:-1]]
-    place = np.arange(first[-1] + ends[-1] - starts[-1]) - np.repeat(first, ends - starts)
+    place = np.arange(first[-1] + ends[-1] - starts[-1], dtype=np.int32) - np.repeat(first.astype(np.int32), ends - starts)
     return starts, ends, np.add.reduceat(_HASH_OF[((place & 63) << 8) | data[inside]], first)
 
 
@@ -80,14 +81,14 @@ class _Numbers(dict):
 
 
 class Shard:
-    """Words of some texts: where they stand, their hashes, the number of their piece and their language."""
+    """Words of some texts: where they stand, their hashes, and their language. About 35 bytes a word, and the texts."""
 
     def __init__(self) -> None:
         self.langs = _Numbers()
         self.waiting: list[bytes] = []
         self.owners: list[tuple[int, int]] = []
         self.bytes: list[bytes] = []
-        self.arrays: list[tuple] = []
+        self.arrays: list[list[np.ndarray]] = [[], [], [], [], []]
         self.length = self.pieces = self.size = self.held = 0
 
     def add(self, part: bytes, lang: str) -> None:
@@ -101,10 +102,12 @@ class Shard:
         joined = b"".join(self.waiting)
         data = np.frombuffer(joined, np.uint8)
         starts, ends, h = words_of(data)
-        breaks = np.cumsum(data == _BREAK)
+        breaks = np.cumsum(data == _BREAK, dtype=np.int32)
         owner = np.searchsorted(np.cumsum([n for _, n in self.owners]), starts, side="right")
         lang = np.array([a for a, _ in self.owners], np.int32)[owner]
-        self.arrays.append((starts + self.length, ends + self.length, h, breaks[starts] + self.pieces, lang))
+        small = np.int32 if self.length + len(joined) < 2**31 else np.int64
+        for held, found in zip(self.arrays, ((starts + self.length).astype(small), (ends + self.length).astype(small), h, breaks[starts].astype(small) + small(self.pieces), lang), strict=True):
+            held.append(found)
         self.bytes.append(joined)
         self.length, self.pieces, self.size = self.length + len(joined), self.pieces + int(breaks[-1]), self.size + len(starts)
         self.waiting, self.owners, self.held = [], [], 0
@@ -112,16 +115,28 @@ class Shard:
     def close(self) -> Shard:
         if self.waiting:
             self.scan()
-        self.starts, self.ends, self.word, piece, self.lang = (np.concatenate(a) for a in zip(*self.arrays, strict=True))
-        self.data, self.bytes, self.arrays = b"".join(self.bytes), [], []
-        names = np.fromiter((xxhash.xxh3_64_intdigest(x.encode()) for x in self.langs), np.uint64, len(self.langs))
+        self.starts, self.ends, self.word, piece, self.lang = (self._whole(i) for i in range(5))
+        self.data, self.bytes = b"".join(self.bytes), []
         with np.errstate(over="ignore"):
-            self.one = _mixed(self.word + names[self.lang])
-            self.two = _mixed(self.one + np.r_[self.word[1:], np.uint64(0)][:len(self.word)] * _TURN)
+            two = self.one
+            two[:-1] += self.word[1:] * _TURN
+            self.two = _mixed(two)
         # Where a word and the next one stand in one piece.
         self.paired = np.r_[piece[1:] == piece[:-1], False][:len(piece)]
         return self
 
+    def _whole(self, i: int) -> np.ndarray:
+        """One of the arrays; its pieces are let go before the next is put together."""
+        pieces, self.arrays[i] = self.arrays[i], []
+        return np.concatenate(pieces)
+
+    @property
+    def one(self) -> np.ndarray:
+        """Hash of each word with its language, made anew."""
+        names = np.fromiter((xxhash.xxh3_64_intdigest(x.encode()) for x in self.langs), np.uint64, len(self.langs))
+        with np.errstate(over="ignore"):
+            return _mixed(names[self.lang] + self.word)
+
     def triples(self, at: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
             return _mixed(self.two[at] * _TRIPLE + self.word[at + 2])
@@ -141,13 +156,19 @@ class Shard:
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return h ^ (h >> np.uint64(32))
+    """Hashes mixed in place."""
+    for _ in range(2):
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    return h
 
 
 def shards(batches: Iterator[pd.DataFrame], shard_words: int) -> Iterator[Shard]:
-    """Closed shards of about `shard_words` words. Long texts are taken in parts; a shard ends where a piece does."""
+    """Closed shards of about `shard_words` words, fewer where words or gaps are long. Long texts are taken in parts; a shard ends where a piece does.
+
+    No shard is held here once it is handed out, so that it can go before the next is filled.
+    """
     shard = Shard()
     for batch in batches:
         for text, lang in zip(batch["text"], batch["lang"], strict=True):
@@ -157,18 +178,21 @@ def shards(batches: Iterator[pd.DataFrame], shard_words: int) -> Iterator[Shard]
                 stop = gap.end() if gap else len(data)
                 shard.add(data[start:stop], lang)
                 start = stop
-                if shard.size >= shard_words and data[stop - 1] == _BREAK:
-                    yield shard.close()
-                    shard = Shard()
+                if (shard.size >= shard_words or shard.length >= WORD_BYTES * shard_words) and data[stop - 1] == _BREAK:
+                    full, shard = [shard], Shard()
+                    yield full.pop().close()
     if shard.size or shard.waiting:
-        yield shard.close()
+        full, shard = [shard], None
+        yield full.pop().close()
 
 
 def _pair_counts(shard_words: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for shard in shards(batches, shard_words):
             h, n = np.unique(shard.two[shard.paired], return_counts=True)
+            del shard
             yield pd.DataFrame({"h": h.view(np.int64), "n": n})
+            del h, n
     return run
 
 
@@ -187,8 +211,10 @@ def _triple_counts(bits, shard_words: int, longest: int, least: int):
             some = np.flatnonzero(pair & (shard.two < np.uint64(2**64 // SAMPLED)))
             some = some[np.unique(shard.two[some], return_index=True)[1]].tolist()
             names, words = list(shard.langs), np.bincount(shard.lang, minlength=len(shard.langs)).tolist()
-            yield pd.DataFrame({"h": [None] * (len(some) + len(names)), "n": [0] * len(some) + words,
-                                "pair": [[names[shard.lang[i]], shard.text(i), shard.text(i + 1)] for i in some] + [None] * len(names), "lang": [None] * len(some) + names})
+            last = pd.DataFrame({"h": [None] * (len(some) + len(names)), "n": [0] * len(some) + words,
+                                 "pair": [[names[shard.lang[i]], shard.text(i), shard.text(i + 1)] for i in some] + [None] * len(names), "lang": [None] * len(some) + names})
+            del shard, pair, at, h, n, marked
+            yield last
     return run
 
 
@@ -209,37 +235,74 @@ def bitmap(counts: DataFrame, least: int) -> np.ndarray:
 
 
 def _seen(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    place = h & np.uint64(len(bits) * 32 - 1)
-    return (bits[(place >> np.uint64(5)).astype(np.int64)] >> (place & np.uint64(31)).astype(np.uint32)) & 1 == 1
+    out = np.empty(len(h), bool)
+    for i in range(0, len(h), SOME_WORDS):
+        place = h[i:i + SOME_WORDS] & np.uint64(len(bits) * 32 - 1)
+        out[i:i + SOME_WORDS] = (bits[(place >> np.uint64(5)).astype(np.int64)] >> (place & np.uint64(31)).astype(np.uint32)) & 1 == 1
+    return out
+
 
+def counted_windows(shard: Shard, pair_bits: np.ndarray, triple_bits: np.ndarray, longest: int) -> Iterator[tuple[tuple[str, ...], int]]:
+    """The phrases of a shard that the bitmaps let through, with their counts, sorted; the language is the first word of a key.
+
+    They are counted at once, and wait as rows of small numbers. Strings are made of them one by one, when the shard can be gone.
+    """
+    windows, found, langs, names = _window_rows(shard, pair_bits, triple_bits, longest)
+    order = np.lexsort(windows.T[::-1])
 
-def counted_windows(shard: Shard, pair_bits: np.ndarray, triple_bits: np.ndarray, longest: int) -> list[tuple[tuple[str, ...], int]]:
-    """The phrases of a shard that the bitmaps let through, with their counts, sorted; the language is the first word of a key."""
+    def items() -> Iterator[tuple[tuple[str, ...], int]]:
+        for i in range(0, len(order), SOME_WORDS):
+            some = order[i:i + SOME_WORDS]
+            for (lang, *words), n in zip(windows[some].tolist(), found[some].tolist(), strict=True):
+                yield (langs[lang], *[names[t] for t in words if t]), n
+    return items()
+
+
+def _window_rows(shard: Shard, pair_bits: np.ndarray, triple_bits: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, list[str], list[str]]:
+    """One row of numbers per phrase (language, words, 0 after the last), its counts, and the sorted names of languages and words."""
     pair = shard.pairs(pair_bits)
-    triple, at = np.zeros(len(pair), bool), np.flatnonzero(pair[:-1] & pair[1:])
-    triple[at[_seen(shard.triples(at), triple_bits)]] = True
+    triple, triples_at = np.zeros(len(pair), bool), np.flatnonzero(pair[:-1] & pair[1:])
+    triple[triples_at[_seen(shard.triples(triples_at), triple_bits)]] = True
     at = np.flatnonzero(_seen(shard.marks(), triple_bits))
+    del triples_at
     # Words are told apart by their bytes; only those that stand in some pair need a number.
     numbers, data = _Numbers({b"": 0}), shard.data
     tokens = np.zeros(len(pair), np.int32)
-    tokens[at] = np.fromiter((numbers[data[a:z]] for a, z in zip(shard.starts[at].tolist(), shard.ends[at].tolist(), strict=True)), np.int32, len(at))
-    names, langs, width = [w.decode() for w in numbers], list(shard.langs), len(numbers)
-    out, rank, key = [], np.full(len(tokens), -1, np.int64), shard.lang.astype(np.int64) * width + tokens
+    for i in range(0, len(at), SOME_WORDS):
+        some = at[i:i + SOME_WORDS]
+        tokens[some] = [numbers[data[a:z]] for a, z in zip(shard.starts[some].tolist(), shard.ends[some].tolist(), strict=True)]
+    (names, words), (langs, lang) = _in_order([w.decode() for w in numbers]), _in_order(list(shard.langs))
+    tokens, lang, width = words[tokens], lang[shard.lang], len(names)
+    rows, found, rank = [], [], np.zeros(len(tokens), np.int32)
     for k in range(1, longest + 1):
         if k > 1:
             at = at[at + k - 1 < len(tokens)]
             at = at[pair[at]] if k == 2 else at[triple[at + k - 3]]
-            key = rank * width + np.r_[tokens[k - 1:], np.zeros(k - 1, np.int32)]
         if not len(at):
             break
-        _, group, counts = np.unique(key[at], return_inverse=True, return_counts=True)
+        key = (lang if k == 1 else rank)[at].astype(np.int64) * width
+        key += tokens[at + k - 1]
+        kinds, n = np.unique(key, return_counts=True)
+        group = np.searchsorted(kinds, key)
         rank[at] = group
-        first = np.empty(len(counts), np.int64)
-        first[group[::-1]] = at[::-1]
-        for p, n in zip(first.tolist(), counts.tolist(), strict=True):
-            out.append(((langs[shard.lang[p]], *[names[t] for t in tokens[p:p + k].tolist()]), n))
-    out.sort()
-    return out
+        one = np.empty(len(kinds), np.int64)
+        one[group] = at
+        del key, kinds, group
+        row = np.zeros((len(one), longest + 1), np.int32)
+        row[:, 0] = lang[one]
+        for j in range(k):
+            row[:, j + 1] = tokens[one + j]
+        rows.append(row)
+        found.append(n)
+    return np.concatenate(rows or [np.zeros((0, longest + 1), np.int32)]), np.concatenate(found or [np.zeros(0, np.int64)]), langs, names
+
+
+def _in_order(names: list[str]) -> tuple[list[str], np.ndarray]:
+    """The names sorted, and the place of each there."""
+    order = sorted(range(len(names)), key=names.__getitem__)
+    place = np.empty(len(names), np.int32)
+    place[order] = np.arange(len(names), dtype=np.int32)
+    return [names[i] for i in order], place
 
 
 def _place(key: tuple[str, ...]) -> tuple[str, str, str]:
@@ -260,7 +323,14 @@ def _shard_automata(pair_bits, triple_bits, longest: int, shard_words: int, cuts
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for shard in shards(batches, shard_words):
             items = counted_windows(shard, pair_bits.value, triple_bits.value, longest)
-            rows = [(place, build(some).to_bytes()) for place, some in groupby(items, key=lambda item: bisect_right(cuts, _place(item[0])))]
+            del shard
+            rows, size = [], 0
+            for place, some in groupby(items, key=lambda item: bisect_right(cuts, _place(item[0]))):
+                rows.append((place, build(some).to_bytes()))
+                size += len(rows[-1][1])
+                if size > CHUNK_BYTES:
+                    yield pd.DataFrame(rows, columns=["range", "automaton"])
+                    rows, size = [], 0
             yield pd.DataFrame(rows, columns=["range", "automaton"])
     return run
 

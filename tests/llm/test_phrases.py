@@ -74,6 +74,34 @@ def test_long_texts_are_taken_in_parts(spark, monkeypatch):
     assert [whole.text(i) for i in range(4)] == ["a", "b", "c", "d"]
 
 
+def test_a_task_holds_few_bytes_a_word():
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pandas as pd
+
+    rng, every = random.Random(6), SimpleNamespace(value=np.full(1 << 15, 0xFFFFFFFF, np.uint32))
+    some = [" ".join(f"w{rng.randrange(2000)}" for _ in range(5)) for _ in range(400)]
+    batch = pd.DataFrame({"text": [". ".join(rng.choices(some, k=1000)) for _ in range(100)], "lang": "en"})
+    work = phrases._shard_automata(every, every, 5, 250_000, [])
+    assert len(list(work(iter([batch[:1]])))) == 1
+    tracemalloc.start()
+    assert sum(len(found) for found in work(iter([batch]))) == 2
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # 250,000 words of about 7 bytes at a time.
+    assert peak < 160 * 250_000
+
+
+def test_blanks_and_long_words_end_a_shard(monkeypatch):
+    import pandas as pd
+
+    monkeypatch.setattr(phrases, "CHUNK_BYTES", 1000)
+    batch = pd.DataFrame({"text": ["a b" + " " * 5000 + "c", "d" * 3000] * 6, "lang": "en"})
+    found = list(phrases.shards(iter([batch]), 100))
+    assert sum(s.size for s in found) == 24 and all(len(s.data) < 100 * phrases.WORD_BYTES + 5100 for s in found)
+
+
 def test_hot_word_and_long_text(spark):
     rows = spark.range(400).selectExpr("id as doc_id", "'en' as lang", "repeat('the end ', 500) as text")
     got = [tuple(r) for r in phrases.mine(rows, longest=3, shard_words=5000).drop("words").collect()]
