@@ -29,15 +29,18 @@ SAMPLE = 20_000
 PART_ROWS, MOST_PARTS = 250, 128
 BLOCK_ROWS, CHUNK_QUERIES = 4_096, 20_000
 RECALL = 0.93
+CELLS = 1 << 20  # numbers of a matrix that is worked on at once while the sample is learned from, 8 MB
 
 
 def near_graph(x: np.ndarray, k: int) -> np.ndarray:
     """Numbers of the k nearest rows of each row, itself left out."""
-    out, norms = np.empty((len(x), k), np.int32), (x * x).sum(axis=1)
-    for i in range(0, len(x), 1024):
-        d = norms[None, :] - 2 * (x[i:i + 1024] @ x.T)
+    out, norms, step = np.empty((len(x), k), np.int32), (x * x).sum(axis=1), max(1, CELLS // len(x))
+    for i in range(0, len(x), step):
+        d = x[i:i + step] @ x.T
+        d *= -2
+        d += norms[None, :]
         d[np.arange(len(d)), np.arange(i, i + len(d))] = np.inf
-        out[i:i + 1024] = np.argpartition(d, k - 1, axis=1)[:, :k]
+        out[i:i + step] = np.argpartition(d, k - 1, axis=1)[:, :k]
     return out
 
 
@@ -98,7 +101,10 @@ class Router:
     outer: np.ndarray
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
-        return _softmax(_ones(np.maximum(_ones((x - self.mean) / self.scale) @ self.inner, 0)) @ self.outer)
+        out, step = np.empty((len(x), self.outer.shape[1])), max(1, CELLS // max(self.inner.shape + self.outer.shape))
+        for i in range(0, len(x), step):
+            out[i:i + step] = _softmax(_ones(np.maximum(_ones((x[i:i + step] - self.mean) / self.scale) @ self.inner, 0)) @ self.outer)
+        return out
 
 
 def _ones(x: np.ndarray) -> np.ndarray:
@@ -181,6 +187,19 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return rows if facts["n"] == facts["d"] else rows.groupBy("id").agg(F.min("vec").alias("vec"))
 
 
+def drawn(points: DataFrame, n: int, sample: int) -> np.ndarray:
+    """At most `sample` of n points (ids, vec): those whose smallest ids have the smallest hashes.
+
+    A limit lets every task send `sample` rows, so tasks first leave out hashes that can hardly be among them; a few rows more than
+    `sample` go to the driver in all, however many tasks there are. They come as Arrow batches, without an object per number.
+    """
+    rows, share = points.select(F.element_at("ids", 1).alias("id"), F.col("vec").cast("array<double>").alias("vec")), (1.1 * sample + 1000) / max(n, 1)
+    if share < 1:
+        rows = rows.where(F.xxhash64("id") < F.lit(int((share - 0.5) * 2**64)))
+    vec = rows.orderBy(F.xxhash64("id"), "id").limit(sample).select("vec").toArrow()["vec"].combine_chunks()
+    return vec.flatten().to_numpy().reshape(len(vec), -1) if len(vec) else np.zeros((0, 0))
+
+
 def nearest(vectors: DataFrame, k: int = 10, key: str = "vec_id", vector: str = "embedding", every: int = 100, sample: int = SAMPLE,
             part_rows: int = PART_ROWS, target_recall: float = RECALL, block_rows: int = BLOCK_ROWS, chunk_queries: int = CHUNK_QUERIES) -> DataFrame:
     """(query_id, rank from 1, `key`, score): the k nearest rows found for every row whose key is divisible by `every`.
@@ -197,8 +216,7 @@ def nearest(vectors: DataFrame, k: int = 10, key: str = "vec_id", vector: str =
     distinct = stored(points.withColumn("r", F.row_number().over(smallest)).where(F.col("r") <= k + 1).groupBy("vec")
                       .agg(F.array_sort(F.collect_list("id")).alias("ids")), "ann-points")
     n = distinct.count()
-    drawn = distinct.select(F.element_at("ids", 1).alias("id"), "vec").orderBy(F.xxhash64("id"), "id").limit(sample).collect() if n else []
-    index = learn(np.array([r["vec"] for r in drawn], float), min(MOST_PARTS, -(-n // part_rows)), k, target_recall)
+    index = learn(drawn(distinct, n, sample), min(MOST_PARTS, -(-n // part_rows)), k, target_recall)
     model = vectors.sparkSession.sparkContext.broadcast(index)
     vec_type = points.schema["vec"].dataType.simpleString()
 

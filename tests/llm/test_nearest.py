@@ -62,6 +62,32 @@ def test_parts_are_balanced_and_cut_fewer_edges():
     assert (part[graph] != part[:, None]).sum() < (first[graph] != first[:, None]).sum()
 
 
+def test_learning_holds_no_large_matrix():
+    import tracemalloc
+
+    x = np.random.default_rng(2).normal(size=(4000, 8))
+    router = nearest.Router(x.mean(axis=0), 1.0, np.ones((9, 128)), np.ones((129, 128)))
+    tracemalloc.start()
+    graph = nearest.near_graph(x, 5)
+    p = router.probabilities(x)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # The graph by blocks of 8 MB instead of 33 MB at a time, each held some three times.
+    assert peak < 40e6 and p.shape == (4000, 128) and np.allclose(p, 1 / 128)
+    far = ((x[:50, None, :] - x[None, :, :]) ** 2).sum(axis=2)
+    far[np.arange(50), np.arange(50)] = np.inf
+    assert [set(g) for g in graph[:50].tolist()] == [set(o) for o in np.argsort(far, axis=1)[:, :5].tolist()]
+
+
+def test_sample_is_of_the_smallest_hashes_and_few_rows_are_sent(spark):
+    from pyspark.sql import functions as F
+
+    points = spark.range(20_000).select(F.array("id").alias("ids"), F.array(F.col("id").cast("float"), F.lit(1).cast("float")).alias("vec")).repartition(20)
+    want = [[float(r.id), 1.0] for r in spark.range(20_000).orderBy(F.xxhash64("id"), "id").limit(300).collect()]
+    assert nearest.drawn(points, 20_000, 300).tolist() == want
+    assert nearest.drawn(points.limit(0), 0, 300).shape == (0, 0) and len(nearest.drawn(points, 20_000, 30_000)) == 20_000
+
+
 def test_copies_ties_and_vectors_that_take_no_part(spark):
     rng = np.random.default_rng(8)
     rows = [(i, rng.integers(-2, 3, 4).astype(float).tolist()) for i in range(900)]  # many ties
