@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from itertools import combinations
-from math import factorial
+from math import factorial, inf, log
 
 from pyspark.sql import functions as F
 
@@ -59,11 +59,16 @@ SELECT feature, CASE WHEN cut < 1e300 THEN cut END AS cut, null_left, n_left, n_
 def null_gain_table(spark, sf):
     """What every cut of every feature would gain at the root, for both ways of sending NULL, from one histogram aggregate."""
     tree = _stump()
-    rows = B.binned(holed(spark, sf), FEATURES, CUTS, ["TARGET"])
+    rows = holed(spark, sf)
     share = rows.agg(F.avg(F.col("TARGET").cast("double"))).scalar()
-    graded = rows.select("bins", (share - F.col("TARGET")).alias("g"), (share * (1 - share)).alias("h"))
+    base = log(share / (1 - share)) if 0 < share < 1 else inf * (share - 0.5)
+    path = scratch_path(spark, "gain-bins")
+    # A row without a target has no gradient, but counts.
+    B.write_blocks(rows.select(F.lit(0).cast("bigint").alias("k"), F.coalesce(F.col("TARGET").cast("double"), F.lit(share)).alias("y"), F.lit(1.0).alias("w"), *FEATURES), FEATURES, CUTS, path)
+    blocks = B.Blocks.read(spark.read.parquet(path), FEATURES, CUTS, base)
     n_cuts = [len(CUTS[f]) for f in FEATURES]
-    sums = tree._histograms(graded, [(0, "true")], len(FEATURES), max(n_cuts) + 2)[0]
+    sums = tree._histograms(blocks, [(0, ())], len(FEATURES), max(n_cuts) + 2)[0]
+    blocks.rdd.unpersist()
     gain, left = B.split_gains(sums, n_cuts, 1.0, 20, 0.0)
     whole = sums[2, 0].sum()
     out = [(f, CUTS[f][c] if c < n_cuts[j] else None, side == 0, round(left[2, j, c, side]), round(whole - left[2, j, c, side]), float(gain[j, c, side]))

@@ -1,5 +1,10 @@
-"""A search over few rows: its jobs have few tasks, whatever the partitions its rows come in."""
+"""A search over few rows: its jobs are few and have few tasks, whatever the partitions its rows come in."""
 
+import numpy as np
+import pytest
+
+from creditloom.operators import boosting as B
+from creditloom.operators import histograms as H
 from creditloom.operators import models as L
 from creditloom.operators.search import Study
 from creditloom.operators.selection import model_search, packed
@@ -30,3 +35,47 @@ def test_packing_keeps_rows_and_follows_their_number(spark):
     assert [packed(df, n).rdd.getNumPartitions() for n in (1000, 999, 100, 10)] == [1, 2, 10, 24]
     assert packed(df, 100).selectExpr("count(*) AS n", "sum(id) AS s").first() == (1000, 499500)
     df.unpersist()
+
+
+NAMES = [f"f{j}" for j in range(4)]
+
+
+@pytest.fixture(scope="module")
+def noisy(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(4000, 4)).round(2)
+    y = (x[:, 0] * x[:, 1] + np.sin(3 * x[:, 2]) + x[:, 3] + rng.normal(size=4000) > 0).astype(int)
+    rows = [(i, int(y[i]), *[None if rng.random() < 0.1 else float(v) for v in x[i]]) for i in range(4000)]
+    return spark.createDataFrame(rows, "SK_ID_CURR bigint, TARGET int, " + ", ".join(f"{f} double" for f in NAMES)).repartition(16).cache()
+
+
+def test_a_tree_takes_no_more_histograms_than_levels(noisy, monkeypatch):
+    seen = []
+    original = B.NullRoutingTrees._histograms
+
+    def spied(self, graded, wanted, *args):
+        seen.append((graded.tasks, len(wanted)))
+        return original(self, graded, wanted, *args)
+
+    monkeypatch.setattr(B.NullRoutingTrees, "_histograms", spied)
+    m = B.NullRoutingTrees(NAMES, trees=2, max_depth=6, max_leaves=31, min_rows=5).fit(noisy)
+    assert [sum(n.feature is None for n in t.values()) for t in m.trees] == [31, 31]
+    assert len(seen) <= 2 * 6 and {tasks for tasks, _ in seen} == {1} and max(n for _, n in seen) <= 32
+
+
+def test_trees_do_not_depend_on_how_rows_are_dealt(noisy, monkeypatch):
+    trees = B.NullRoutingTrees(NAMES, trees=12, max_depth=4, subsample=0.7, feature_share=0.75, positive_weight=3.0)
+    whole = trees.fit(noisy)
+    monkeypatch.setattr(B, "ROWS_PER_TASK", 500)
+    monkeypatch.setattr(B, "DIRECT_BYTES", 0)
+    dealt = trees.fit(noisy)
+    assert len(whole.nodes) == len(dealt.nodes) > 12 * 8
+    for a, b in zip(whole.nodes, dealt.nodes):
+        assert (a.tree, a.node, a.feature, a.cut, a.null_left, a.left, a.right, a.n_rows) == (b.tree, b.node, b.feature, b.cut, b.null_left, b.left, b.right, b.n_rows)
+        assert [a.value or 0, a.gain or 0] == pytest.approx([b.value or 0, b.gain or 0], rel=1e-6)
+
+
+def test_draws_are_those_of_sql(spark):
+    rows = spark.range(50).selectExpr("id * 7919 AS k").selectExpr("xxhash64(k, 42) AS seed", "xxhash64(k, 42, 5) AS at_5", "xxhash64(k, 42, -3) AS at_minus_3").toPandas()
+    for value, name in ((5, "at_5"), (-3, "at_minus_3")):
+        assert H.hashed_int(value, rows["seed"].to_numpy()).tolist() == rows[name].tolist()
