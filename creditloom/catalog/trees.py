@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from itertools import combinations
-from math import factorial, inf, log
+from math import factorial, inf, log, nan
 
 from pyspark.sql import functions as F
 
@@ -60,11 +60,11 @@ def null_gain_table(spark, sf):
     """What every cut of every feature would gain at the root, for both ways of sending NULL, from one histogram aggregate."""
     tree = _stump()
     rows = holed(spark, sf)
-    share = rows.agg(F.avg(F.col("TARGET").cast("double"))).scalar()
-    base = log(share / (1 - share)) if 0 < share < 1 else inf * (share - 0.5)
+    share = rows.agg(F.avg(F.col("TARGET").cast("double"))).first()[0]
+    base = nan if share is None else log(share / (1 - share)) if 0 < share < 1 else inf * (share - 0.5)
     path = scratch_path(spark, "gain-bins")
     # A row without a target has no gradient, but counts.
-    B.write_blocks(rows.select(F.lit(0).cast("bigint").alias("k"), F.coalesce(F.col("TARGET").cast("double"), F.lit(share)).alias("y"), F.lit(1.0).alias("w"), *FEATURES), FEATURES, CUTS, path)
+    B.write_blocks(rows.select(F.lit(0).cast("bigint").alias("k"), F.coalesce(F.col("TARGET").cast("double"), F.lit(share).cast("double")).alias("y"), F.lit(1.0).alias("w"), *FEATURES), FEATURES, CUTS, path)
     blocks = B.Blocks.read(spark.read.parquet(path), FEATURES, CUTS, base)
     n_cuts = [len(CUTS[f]) for f in FEATURES]
     sums = tree._histograms(blocks, [(0, ())], len(FEATURES), max(n_cuts) + 2)[0]

@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from creditloom.catalog import trees
 from creditloom.operators import boosting as B
 from creditloom.operators import histograms as H
 from creditloom.operators import models as L
@@ -64,11 +65,11 @@ def test_a_tree_takes_no_more_histograms_than_levels(noisy, monkeypatch):
 
 
 def test_trees_do_not_depend_on_how_rows_are_dealt(noisy, monkeypatch):
-    trees = B.NullRoutingTrees(NAMES, trees=12, max_depth=4, subsample=0.7, feature_share=0.75, positive_weight=3.0)
-    whole = trees.fit(noisy)
+    twelve = B.NullRoutingTrees(NAMES, trees=12, max_depth=4, subsample=0.7, feature_share=0.75, positive_weight=3.0)
+    whole = twelve.fit(noisy)
     monkeypatch.setattr(B, "ROWS_PER_TASK", 500)
     monkeypatch.setattr(B, "DIRECT_BYTES", 0)
-    dealt = trees.fit(noisy)
+    dealt = twelve.fit(noisy)
     assert len(whole.nodes) == len(dealt.nodes) > 12 * 8
     for a, b in zip(whole.nodes, dealt.nodes):
         assert (a.tree, a.node, a.feature, a.cut, a.null_left, a.left, a.right, a.n_rows) == (b.tree, b.node, b.feature, b.cut, b.null_left, b.left, b.right, b.n_rows)
@@ -79,3 +80,18 @@ def test_draws_are_those_of_sql(spark):
     rows = spark.range(50).selectExpr("id * 7919 AS k").selectExpr("xxhash64(k, 42) AS seed", "xxhash64(k, 42, 5) AS at_5", "xxhash64(k, 42, -3) AS at_minus_3").toPandas()
     for value, name in ((5, "at_5"), (-3, "at_minus_3")):
         assert H.hashed_int(value, rows["seed"].to_numpy()).tolist() == rows[name].tolist()
+
+
+def test_gains_at_the_root_with_few_or_no_targets(spark, monkeypatch):
+    def gains(targets):
+        rows = [(i, t, float(i % 25), float(i % 9) * 100_000 + 500_000, float(i % 17), -1000.0 - i) for i, t in enumerate(targets)]
+        frame = spark.createDataFrame(rows, "SK_ID_CURR bigint, TARGET int, NATION double, DEBT double, N_CREDITS double, DAYS double")
+        monkeypatch.setattr(trees, "holed", lambda *_: frame)
+        return {(r["feature"], r["cut"], r["null_left"]): (r["n_left"], r["n_right"], r["gain"]) for r in trees.null_gain_table(spark, "").collect()}
+
+    found = gains([None if i % 5 == 0 else int(i % 25 < 10) for i in range(200)])
+    n_left, n_right, gain = found["NATION", 9.0, True]
+    p, left, right = 0.4, (64 * 0.4 - 64, 80 * 0.24), (96 * 0.4, 120 * 0.24)  # a row without a target counts, with no gradient
+    assert (n_left, n_right) == (80, 120) and gain == pytest.approx(left[0] ** 2 / (left[1] + 1) + right[0] ** 2 / (right[1] + 1) - 0 / (200 * p * (1 - p) + 1), abs=1e-5)
+    assert set(gains([1] * 100).values()) and {g for *_, g in gains([1] * 100).values()} == {0.0}
+    assert gains([None] * 100) == {} and gains([]) == {}
